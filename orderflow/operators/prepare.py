@@ -23,32 +23,25 @@ _FIELDS = {
 def message_fields(messages: DataFrame, rules: S.MessageRules) -> DataFrame:
     """The six fields of every message as text, next to the message's own columns."""
     fields = messages.select("*", json_fields(F.col("value"), *_FIELDS).alias(*_FIELDS.values()))
-    if rules.trim:
-        for name in ("request_id", "notify_time", "result_code"):
-            fields = fields.withColumn(name, F.trim(name))
-    return fields
+    if not rules.trim:
+        return fields
+    trimmed = ("request_id", "notify_time", "result_code")
+    return fields.withColumns({name: F.trim(name) for name in trimmed})
 
 
 def _reject_reason(rules: S.MessageRules) -> Column:
     """Why a message cannot become an order, or NULL when it can."""
-    unreadable = F.lit(True)
-    for name in _FIELDS.values():
-        unreadable = unreadable & F.col(name).isNull()
-    missing = (
-        F.col("request_id").isNull()
-        | F.col("province_code").isNull()
-        | F.col("result_code").isNull()
-        | F.col("fee_text").isNull()
-    )
+    required = "request_id IS NULL OR province_code IS NULL OR result_code IS NULL"
     if rules.service is not None:
-        missing = missing | F.col("service_name").isNull()
-    bad_end = F.col("notify_time").isNotNull() & F.col("notified_ts").isNull()
-    return (
-        F.when(unreadable, "unreadable")
-        .when(missing, "missing_field")
-        .when(F.col("fee").isNull(), "bad_fee")
-        .when(F.col("start_ts").isNull(), "bad_start_time")
-        .when(bad_end, "bad_end_time")
+        required += " OR service_name IS NULL"
+    return F.expr(
+        f"""CASE
+          WHEN coalesce({", ".join(_FIELDS.values())}) IS NULL THEN 'unreadable'
+          WHEN {required} OR fee_text IS NULL THEN 'missing_field'
+          WHEN fee IS NULL THEN 'bad_fee'
+          WHEN start_ts IS NULL THEN 'bad_start_time'
+          WHEN notify_time IS NOT NULL AND notified_ts IS NULL THEN 'bad_end_time'
+        END"""
     )
 
 

@@ -25,6 +25,7 @@ class NotifyReport:
     Orders with an unknown province count in the daily and hourly results.
     """
 
+    group = "notify-report"
     rules = S.NOTIFY_RULES
 
     def increments(self, rolled: DataFrame) -> dict[str, DataFrame]:
@@ -69,6 +70,7 @@ class NotifyReport:
 class AllOrdersReport:
     """Results over the orders of every service whose province is known."""
 
+    group = "all-orders-report"
     rules = S.ALL_ORDERS_RULES
 
     def increments(self, rolled: DataFrame) -> dict[str, DataFrame]:
@@ -135,11 +137,10 @@ def write_increments(
         **report.increments(rolled),
         "unknown_codes": unknown.agg(F.sum("orders").alias("orders")),
         "rejected": prepare.rejected(checked),
-        "offsets": offsets.offset_ranges(checked),
+        "offsets": offsets.offset_ranges(checked).withColumn("grp", F.lit(report.group)),
     }
     try:
-        for name, rows in results.items():
-            batches.write_batch(rows, f"{folder}/{name}", batch_id)
+        batches.write_batches(results, folder, batch_id)
     finally:
         rolled.unpersist()
         checked.unpersist()
@@ -164,10 +165,23 @@ def start_report(
     return start(messages, on_batch, f"{folder}/checkpoint", interval=interval)
 
 
-def daily_report(messages: DataFrame, dimension: DataFrame) -> dict[str, DataFrame]:
+def resume_offsets(spark: SparkSession, report: Report, folder: str, earliest: DataFrame) -> str:
+    """Starting offsets for a new query from the ledger a report has kept.
+
+    ``earliest`` holds the first offset each partition still has
+    (``topic, partition, earliest_offset``).
+    """
+    saved = offsets.saved_offsets(_written(spark, folder, "offsets"), report.group)
+    return offsets.starting_offsets_json(offsets.resume_plan(saved, earliest))
+
+
+def daily_report(
+    messages: DataFrame, dimension: DataFrame, small: bool | None = None
+) -> dict[str, DataFrame]:
     """The daily report over bounded messages: failures and their leaders."""
     results = prepare.parse_day_results(messages)
-    facts = metrics.day_result_facts(lookup.attach_province(results, dimension, "inner"))
+    located = lookup.attach_province(results, dimension, "inner", broadcast=small)
+    facts = metrics.day_result_facts(located)
     daily = metrics.daily_province_failures(facts)
     return {
         "daily_province_failures": daily,

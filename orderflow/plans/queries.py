@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +46,24 @@ def _all_province_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _province_facts(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    dimension = fixtures.provinces(spark, sf_dir)
-    return metrics.order_facts(lookup.attach_province(orders, dimension, "inner"))
+    return metrics.order_facts(_with_province(spark, sf_dir, orders, "inner"))
+
+
+def _with_province(spark: SparkSession, sf_dir: str, orders: DataFrame, how: str) -> DataFrame:
+    small = _dimension_is_small(spark.sparkContext.applicationId, sf_dir)
+    return lookup.attach_province(orders, fixtures.provinces(spark, sf_dir), how, small)
+
+
+@cache
+def _dimension_is_small(application: str, sf_dir: str) -> bool:
+    """Measured once per application and input."""
+    return lookup.fits_broadcast(fixtures.provinces(SparkSession.active(), sf_dir))
 
 
 def _daily_report(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return jobs.daily_report(fixtures.messages(spark, sf_dir), fixtures.provinces(spark, sf_dir))
+    small = _dimension_is_small(spark.sparkContext.applicationId, sf_dir)
+    messages = fixtures.messages(spark, sf_dir)
+    return jobs.daily_report(messages, fixtures.provinces(spark, sf_dir), small)
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +146,7 @@ def offline_orders_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def province_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, S.ALL_ORDERS_RULES)
-    joined = lookup.attach_province(orders, fixtures.provinces(spark, sf_dir), "left")
+    joined = _with_province(spark, sf_dir, orders, "left")
     return joined.select("request_id", "province_code", "province")
 
 

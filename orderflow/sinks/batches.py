@@ -8,6 +8,9 @@ view taken over the batches.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,25 @@ def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
+def write_batches(results: dict[str, DataFrame], folder: str, batch_id: int) -> None:
+    """Write several results of one batch side by side.
+
+    Each is small, so one after the other would leave most of a cluster idle.
+    """
+    with ThreadPoolExecutor(max_workers=len(results)) as pool:
+        writes = [
+            pool.submit(
+                inheritable_thread_target(rows.sparkSession)(write_batch),
+                rows,
+                f"{folder}/{name}",
+                batch_id,
+            )
+            for name, rows in results.items()
+        ]
+        for write in writes:
+            write.result()
+
+
 def read_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Every row ever written, with the ``batch_id`` it came from."""
     return spark.read.parquet(folder).withColumn("batch_id", F.col("batch_id").cast("bigint"))

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
-from orderflow.functions.numbers import whole_quotient
 from orderflow.session import new_folder
 from orderflow.sources.dimension import dimension_from_table
 
+EVENTS = "event_id bigint, ts timestamp_ntz, event_type string, value double, props string"
+NATION = "n_nationkey int, n_name string"
 PARTITIONS = 3
 BATCH_ROWS = 1000  # messages per batch in the ledger
 RETAINED_FROM = "2024-01-30"  # the log has dropped older messages
@@ -24,32 +25,45 @@ BEHIND_GROUP = "auditing"  # always one batch behind
 NUMBERING_BLOCK = 1 << 20
 
 
+def _events_as_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The table, spread over the cores when it has fewer splits than that.
+
+    A large table has many splits and is taken as it is, with no shuffle.
+    """
+    table = _events_as_stored(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if scan_splits(table) < cores else table
+
+
+def scan_splits(table: DataFrame) -> int:
+    """How many tasks a plain scan takes; plans the scan but runs nothing."""
+    return table.rdd.getNumPartitions()
 
 
 def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet")
     return dimension_from_table(nation, "n_nationkey", "n_name")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and JSON text of one message per event."""
-    return events(spark, sf_dir).select(_key().alias("key"), _text().alias("value"))
+    return _cut_off(events(spark, sf_dir).select("event_id", _key(), _text())).drop("event_id")
 
 
 def records(spark: SparkSession, sf_dir: str, block: int = NUMBERING_BLOCK) -> DataFrame:
     """Messages with topic, partition and offset, as a broker would hold them."""
-    placed = events(spark, sf_dir).withColumns(
-        {"topic": _topic(), "partition": _partition(), "key": _key(), "value": _text()}
-    )
-    return with_offsets(placed, block).select(*S.MESSAGE_SCHEMA.names)
+    whole = events(spark, sf_dir).select("event_id", _key(), _text(), _topic(), _partition())
+    return with_offsets(_cut_off(whole), block).select(*S.MESSAGE_SCHEMA.names)
 
 
 def positions(spark: SparkSession, sf_dir: str, block: int = NUMBERING_BLOCK) -> DataFrame:
     """Topic, partition and offset of every message, with its batch and time."""
     placed = events(spark, sf_dir).select(
-        "event_id", "ts", _topic().alias("topic"), _partition().alias("partition")
+        "event_id", "ts", _topic(), _partition()
     )
     batch = F.expr(f"event_id div {BATCH_ROWS}")
     return with_offsets(placed, block).select(
@@ -118,7 +132,7 @@ def land(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[str, int]:
     """
     source = (spark.sparkContext.applicationId, sf_dir)
     if source not in _landed:
-        files = max(batches, events(spark, sf_dir).rdd.getNumPartitions())
+        files = max(batches, scan_splits(_events_as_stored(spark, sf_dir)))
         folder = new_folder(spark, "landed")
         records(spark, sf_dir).repartition(files, "key").write.parquet(folder)
         _landed[source] = (folder, -(-files // batches))
@@ -126,41 +140,38 @@ def land(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[str, int]:
 
 
 def _key() -> Column:
-    return F.col("event_id").cast("string")
+    return F.col("event_id").cast("string").alias("key")
 
 
 def _topic() -> Column:
-    return F.when(F.col("event_type") == "error", "orders_failed").otherwise("orders")
+    failed = F.col("event_type") == "error"
+    return F.when(failed, "orders_failed").otherwise("orders").alias("topic")
 
 
 def _partition() -> Column:
-    return (F.col("event_id") % PARTITIONS).cast("int")
+    return (F.col("event_id") % PARTITIONS).cast("int").alias("partition")
 
 
-def _text() -> Column:
-    """The JSON text; every 997th message is cut off in the middle."""
-    start = F.date_format("ts", "yyyyMMddHHmmssSSS")
-    delay_ms = (F.col("event_id") * 37) % 5000
-    end = F.col("ts") + F.make_dt_interval(secs=(delay_ms / 1000).cast("decimal(18,6)"))
-    padded = F.expr("lpad(CAST(event_id AS STRING), greatest(8, length(event_id)), '0')")
-    province = F.get_json_object("props", "$.k").cast("int") % 27
-    whole = F.to_json(
-        F.struct(
-            F.concat(start, padded).alias(S.REQUEST_ID),
-            F.when(F.col("event_id") % 10 != 0, F.date_format(end, "yyyyMMddHHmmssSSS")).alias(
-                S.NOTIFY_TIME
-            ),
-            province.cast("string").alias(S.PROVINCE_CODE),
-            F.when(F.col("event_type") == "error", "1001")
-            .otherwise(S.SUCCESS_CODE)
-            .alias(S.RESULT),
-            F.round(F.col("value") * 100).cast("bigint").cast("string").alias(S.FEE),
-            F.when(F.col("event_type") == "view", "reChargeReq")
-            .otherwise(S.NOTIFY_SERVICE)
-            .alias(S.SERVICE),
-        )
-    )
-    half = F.expr("event_id % 997 = 0")
-    return F.when(half, F.left(whole, whole_quotient(F.length(whole), F.lit(2)).cast("int"))).otherwise(
-        whole
+def _cut_off(whole: DataFrame) -> DataFrame:
+    """Cut every 997th text in the middle: the malformed messages."""
+    return whole.withColumn(
+        "value",
+        F.expr("IF(event_id % 997 = 0, left(value, CAST(length(value) div 2 AS INT)), value)"),
     )
+
+
+def _text() -> Column:
+    return F.expr(
+        f"""to_json(named_struct(
+          '{S.REQUEST_ID}', date_format(ts, 'yyyyMMddHHmmssSSS')
+            || lpad(CAST(event_id AS STRING), greatest(8, length(event_id)), '0'),
+          '{S.NOTIFY_TIME}', CASE WHEN event_id % 10 <> 0 THEN date_format(
+            timestampadd(MILLISECOND, CAST(event_id * 37 % 5000 AS INT), ts),
+            'yyyyMMddHHmmssSSS') END,
+          '{S.PROVINCE_CODE}',
+            CAST(CAST(get_json_object(props, '$.k') AS INT) % 27 AS STRING),
+          '{S.RESULT}', CASE WHEN event_type = 'error' THEN '1001' ELSE '{S.SUCCESS_CODE}' END,
+          '{S.FEE}', CAST(CAST(round(value * 100) AS BIGINT) AS STRING),
+          '{S.SERVICE}', CASE WHEN event_type = 'view' THEN 'reChargeReq'
+            ELSE '{S.NOTIFY_SERVICE}' END))"""
+    ).alias("value")

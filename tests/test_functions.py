@@ -1,0 +1,84 @@
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from orderflow.functions import numbers, texts, times
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "digits", "expected"),
+    [(57, 200, 2, 0.29), (1, 8, 2, 0.13), (1, 3, 5, 0.33333), (2, 3, 3, 0.667), (0, 5, 2, 0.0)],
+)
+def test_rounded_ratio(spark, part, whole, digits, expected):
+    column = numbers.rounded_ratio(F.lit(part), F.lit(whole), digits)
+    assert value(spark, column) == expected
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 10**12), st.integers(1, 10**12)), min_size=20, max_size=50
+    )
+)
+def test_rounded_ratio_is_half_up(spark, pairs):
+    rows = spark.createDataFrame(pairs, "a bigint, b bigint")
+    for digits in (2, 3, 5):
+        got = rows.select(numbers.rounded_ratio(F.col("a"), F.col("b"), digits).alias("v"))
+        unit = Decimal(1).scaleb(-digits)
+        for (a, b), row in zip(pairs, got.collect()):
+            exact = (2 * a * 10**digits + b) // (2 * b)
+            assert row["v"] == exact / 10**digits
+            if a < 10**6 and b < 10**6:
+                rounded = (Decimal(a) / Decimal(b)).quantize(unit, ROUND_HALF_UP)
+                assert row["v"] == float(rounded)
+
+
+def test_ratios_of_nothing_are_null(spark):
+    zero = F.lit(0)
+    assert value(spark, numbers.rounded_ratio(zero, zero, 2)) is None
+    assert value(spark, numbers.ratio(zero, zero)) is None
+    assert value(spark, numbers.whole_quotient(zero, zero)) is None
+
+
+def test_whole_quotient_goes_towards_zero(spark):
+    assert value(spark, numbers.whole_quotient(F.lit(-7), F.lit(2))) == -3
+    assert value(spark, numbers.whole_quotient(F.lit(7), F.lit(2))) == 3
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [("12", 12), ("-12", -12), ("+12", 12), ("007", 7), ("12x", None), ("1 2", None), ("", None)],
+)
+def test_strict_int(spark, text, expected):
+    assert value(spark, numbers.strict_int(F.lit(text))) == expected
+
+
+def test_counters(spark):
+    rows = spark.createDataFrame([(True,), (False,), (None,)], "ok boolean")
+    assert rows.select(numbers.count_where(F.col("ok")).alias("v")).first()["v"] == 1
+    assert value(spark, numbers.or_zero(F.lit(None).cast("int"))) == 0
+
+
+def test_text_words_and_keys(spark):
+    line = F.lit("311 NAME more")
+    assert value(spark, texts.word(line, 0)) == "311"
+    assert value(spark, texts.word(line, 1)) == "NAME"
+    assert value(spark, texts.word(line, 5)) is None
+    assert value(spark, texts.display_key(F.lit(3), F.lit(14))) == "3-14"
+
+
+def test_elapsed_and_minutes(spark):
+    start = F.lit("2024-01-07 10:59:59.900").cast("timestamp")
+    end = F.lit("2024-01-07 11:00:00.150").cast("timestamp")
+    assert value(spark, times.elapsed_ms(start, end)) == 250
+    assert value(spark, times.minute(start)) == 59
+    assert value(spark, times.hour(end)) == 11
+    assert value(spark, times.weekday(start)) == 0
+    assert value(spark, times.day_text(start)) == "2024-01-07"
