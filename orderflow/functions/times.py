@@ -14,14 +14,17 @@ def compact_time(text: Column) -> Column:
     NULL when the text is shorter or names no real time. Spark cannot read
     milliseconds that directly follow the seconds, so a dot goes in between.
     """
-    dotted = F.concat(F.substring(text, 1, 14), F.lit("."), F.substring(text, 15, 3))
-    long_enough = F.when(F.length(text) >= TIME_DIGITS, dotted)
-    return F.try_to_timestamp(long_enough, F.lit("yyyyMMddHHmmss.SSS"))
+    return _dotted_time(text, F.length(text) >= TIME_DIGITS)
 
 
 def whole_compact_time(text: Column) -> Column:
     """As ``compact_time``, but the text must be the time and nothing else."""
-    return compact_time(F.when(F.length(text) == TIME_DIGITS, text))
+    return _dotted_time(text, F.length(text) == TIME_DIGITS)
+
+
+def _dotted_time(text: Column, fits: Column) -> Column:
+    dotted = F.concat(F.substring(text, 1, 14), F.lit("."), F.substring(text, 15, 3))
+    return F.try_to_timestamp(F.when(fits, dotted), F.lit("yyyyMMddHHmmss.SSS"))
 
 
 def day_of(ts: Column) -> Column:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    chosen = tempfile.mkdtemp(prefix="orderflow-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    return _one_machine_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _one_machine_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"orderflow-{application}-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
