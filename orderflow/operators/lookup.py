@@ -51,7 +51,14 @@ def attach_province(
 def unknown_province_codes(orders: DataFrame, dimension: DataFrame) -> DataFrame:
     """Codes the dimension lacks, with their order count.
 
-    Orders are counted per code first, so the join sees one row per code.
+    Orders are counted per code first, so the join sees one row per code. It is
+    an outer join because the optimizer would move an anti join back below the
+    count.
     """
     per_code = orders.groupBy("province_code").agg(F.count("*").alias("orders"))
-    return per_code.join(dimension, "province_code", "left_anti")
+    known = dimension.select("province_code", F.lit(True).alias("known"))
+    return (
+        per_code.join(known, "province_code", "left")
+        .filter("known IS NULL")
+        .select("province_code", "orders")
+    )

@@ -388,10 +388,13 @@ def offset_ledger_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offset_resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = fixtures.positions(spark, sf_dir)
-    ledger = fixtures.ledger(offsets.offset_ranges(placed, "batch_id"))
+    """The ledger against the log it points into; the log is numbered once."""
+    folder = new_folder(spark, "log")
+    fixtures.positions(spark, sf_dir).write.parquet(folder)
+    log = spark.read.parquet(folder)
+    ledger = fixtures.ledger(offsets.offset_ranges(log, "batch_id"))
     saved = offsets.saved_offsets(ledger, fixtures.BEHIND_GROUP)
-    return offsets.resume_plan(saved, fixtures.earliest_offsets(placed))
+    return offsets.resume_plan(saved, fixtures.earliest_offsets(fixtures.retained(log)))
 
 
 def offset_ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,10 +46,13 @@ def read_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def newest_per_key(history: DataFrame, *keys: str) -> DataFrame:
-    """Keyed upsert: the row of each key from the last batch that wrote the key."""
+    """Keyed upsert: the row of each key from the last batch that wrote the key.
+
+    A batch holds a key once. The values are picked column by column, because
+    numbers then stay in a hash aggregate and a struct of them would not.
+    """
     values = [c for c in history.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("newest")
-    return history.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    return history.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
 def counter_sums(history: DataFrame, *keys: str) -> DataFrame:

@@ -51,26 +51,31 @@ def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and JSON text of one message per event."""
-    return _cut_off(events(spark, sf_dir).select("event_id", _key(), _text())).drop("event_id")
+    return _as_messages(events(spark, sf_dir))
 
 
 def records(spark: SparkSession, sf_dir: str, block: int = NUMBERING_BLOCK) -> DataFrame:
     """Messages with topic, partition and offset, as a broker would hold them."""
-    whole = events(spark, sf_dir).select("event_id", _key(), _text(), _topic(), _partition())
-    return with_offsets(_cut_off(whole), block).select(*S.MESSAGE_SCHEMA.names)
+    return _as_messages(_placed_events(spark, sf_dir, block), "topic", "partition", "offset")
 
 
 def positions(spark: SparkSession, sf_dir: str, block: int = NUMBERING_BLOCK) -> DataFrame:
     """Topic, partition and offset of every message, with its batch and time."""
-    placed = events(spark, sf_dir).select(
-        "event_id", "ts", _topic(), _partition()
-    )
-    batch = F.expr(f"event_id div {BATCH_ROWS}")
-    return with_offsets(placed, block).select(
-        batch.alias("batch_id"), "ts", "topic", "partition", "offset"
+    return _placed_events(spark, sf_dir, block).select(
+        F.expr(f"event_id div {BATCH_ROWS}").alias("batch_id"),
+        "ts",
+        "topic",
+        "partition",
+        "offset",
     )
 
 
+def _placed_events(spark: SparkSession, sf_dir: str, block: int) -> DataFrame:
+    """Events with their place in the log. Narrower than texts, so shuffled before them."""
+    stored = _events_as_stored(spark, sf_dir)
+    return with_offsets(stored.select("*", _topic(), _partition()), block)
+
+
 def with_offsets(placed: DataFrame, block: int = NUMBERING_BLOCK) -> DataFrame:
     """Number the messages of each topic partition from 0, in ``event_id`` order.
 
@@ -111,13 +116,14 @@ def ledger(ranges: DataFrame) -> DataFrame:
     return ranges.select("batch_id", "topic", "partition", F.inline(groups))
 
 
-def earliest_offsets(placed: DataFrame) -> DataFrame:
-    """First offset of each topic partition the log still holds."""
-    return (
-        placed.filter(F.col("ts") >= F.lit(RETAINED_FROM).cast("timestamp_ntz"))
-        .groupBy("topic", "partition")
-        .agg(F.min("offset").alias("earliest_offset"))
-    )
+def retained(placed: DataFrame) -> DataFrame:
+    """The part of the log that is still held."""
+    return placed.filter(F.col("ts") >= F.lit(RETAINED_FROM).cast("timestamp_ntz"))
+
+
+def earliest_offsets(held: DataFrame) -> DataFrame:
+    """First held offset of each topic partition."""
+    return held.groupBy("topic", "partition").agg(F.min("offset").alias("earliest_offset"))
 
 
 # Landed copies of this process: (application, input) -> (folder, files per batch).
@@ -134,15 +140,12 @@ def land(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[str, int]:
     if source not in _landed:
         files = max(batches, scan_splits(_events_as_stored(spark, sf_dir)))
         folder = new_folder(spark, "landed")
-        records(spark, sf_dir).repartition(files, "key").write.parquet(folder)
+        placed = _placed_events(spark, sf_dir, NUMBERING_BLOCK).repartition(files, "event_id")
+        _as_messages(placed, "topic", "partition", "offset").write.parquet(folder)
         _landed[source] = (folder, -(-files // batches))
     return _landed[source]
 
 
-def _key() -> Column:
-    return F.col("event_id").cast("string").alias("key")
-
-
 def _topic() -> Column:
     failed = F.col("event_type") == "error"
     return F.when(failed, "orders_failed").otherwise("orders").alias("topic")
@@ -152,12 +155,12 @@ def _partition() -> Column:
     return (F.col("event_id") % PARTITIONS).cast("int").alias("partition")
 
 
-def _cut_off(whole: DataFrame) -> DataFrame:
-    """Cut every 997th text in the middle: the malformed messages."""
-    return whole.withColumn(
-        "value",
-        F.expr("IF(event_id % 997 = 0, left(value, CAST(length(value) div 2 AS INT)), value)"),
-    )
+def _as_messages(rows: DataFrame, *places: str) -> DataFrame:
+    """Key and text per event; every 997th text is cut in the middle: malformed."""
+    key = F.col("event_id").cast("string").alias("key")
+    cut = "IF(event_id % 997 = 0, left(value, CAST(length(value) div 2 AS INT)), value)"
+    whole = rows.select("event_id", key, _text(), *places)
+    return whole.select("key", F.expr(cut).alias("value"), *places)
 
 
 def _text() -> Column:

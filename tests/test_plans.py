@@ -10,6 +10,8 @@ from orderflow import schema as S
 from orderflow.operators import lookup, metrics, prepare
 from orderflow.plans.queries import QUERIES
 from orderflow.session import local_session, new_folder, settings, shared_folder
+from orderflow.sinks import batches
+from orderflow.sources import fixtures
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,8 +28,6 @@ def plan(df):
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """Messages as a landed table, so plans show the operators alone."""
-    from orderflow.sources import fixtures
-
     folder = str(tmp_path_factory.mktemp("plans") / "messages")
     fixtures.messages(spark, SF_DIR).write.parquet(folder)
     return spark.read.parquet(folder)
@@ -58,8 +58,6 @@ def test_the_service_filter_runs_before_times_are_parsed(spark, stored):
 
 
 def test_a_small_dimension_is_broadcast_and_a_large_one_salted(spark, stored):
-    from orderflow.sources import fixtures
-
     orders = prepare.parse_orders(stored, S.ALL_ORDERS_RULES)
     names = fixtures.provinces(spark, SF_DIR)
     assert "BroadcastHashJoin" in plan(lookup.attach_province(orders, names))
@@ -69,6 +67,20 @@ def test_a_small_dimension_is_broadcast_and_a_large_one_salted(spark, stored):
     assert "Broadcast" not in large
 
 
+def test_unknown_codes_are_counted_before_the_join(spark, stored):
+    orders = prepare.parse_orders(stored, S.ALL_ORDERS_RULES)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(lookup.unknown_province_codes(orders, fixtures.provinces(spark, SF_DIR)))
+    assert text.index("Join") < text.index("partial_count")
+
+
+def test_keyed_views_use_hash_aggregates(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1, 2.0)], "province string, n bigint, r double")
+    batches.write_batch(rows, str(tmp_path / "t"), 0)
+    view = batches.newest_per_key(batches.read_batches(spark, str(tmp_path / "t")), "province")
+    assert "SortAggregate" not in plan(view)
+
+
 def test_boards_take_the_top_without_a_full_sort(spark):
     for name in ("top10_province_orders", "top3_failures", "bottom10_province_success"):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF_DIR))
