@@ -11,20 +11,34 @@ from orderflow.schema import DAY_DIGITS, TIME_DIGITS
 def compact_time(text: Column) -> Column:
     """Leading ``yyyyMMddHHmmssSSS`` of a text as a timestamp.
 
-    NULL when the text is shorter or names no real time. Spark cannot read
-    milliseconds that directly follow the seconds, so a dot goes in between.
+    NULL when the text does not start with 17 digits or they are no real time.
     """
-    return _dotted_time(text, F.length(text) >= TIME_DIGITS)
+    return _digits_time(F.substring(text, 1, TIME_DIGITS))
 
 
 def whole_compact_time(text: Column) -> Column:
     """As ``compact_time``, but the text must be the time and nothing else."""
-    return _dotted_time(text, F.length(text) == TIME_DIGITS)
+    return _digits_time(F.when(F.length(text) == TIME_DIGITS, text))
 
 
-def _dotted_time(text: Column, fits: Column) -> Column:
-    dotted = F.concat(F.substring(text, 1, 14), F.lit("."), F.substring(text, 15, 3))
-    return F.try_to_timestamp(F.when(fits, dotted), F.lit("yyyyMMddHHmmss.SSS"))
+def _digits_time(text: Column) -> Column:
+    """Take the parts off as one number, several times faster than a time pattern.
+
+    A number in the range checked has 17 digits, so 17 characters that make it hold
+    neither sign nor blank. ``try_make_timestamp`` refuses months, days and hours that do not
+    exist, but takes 60 seconds for a full minute.
+    """
+    digits = text.try_cast("bigint")
+
+    def part(place: int, width: int = 2) -> Column:
+        shifted = F.call_function("div", digits, F.lit(10**place))
+        return (shifted % 10**width).cast("int")
+
+    seconds = F.try_make_timestamp(
+        part(13, 4), part(11), part(9), part(7), part(5), part(3).cast("decimal(16,6)")
+    )
+    real = digits.between(10 ** (TIME_DIGITS - 1), 10**TIME_DIGITS - 1) & (part(3) < 60)
+    return F.when(real, F.timestamp_add("MILLISECOND", part(0, 3), seconds))
 
 
 def day_of(ts: Column) -> Column:

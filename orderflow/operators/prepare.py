@@ -79,7 +79,8 @@ def accepted(checked: DataFrame, rules: S.MessageRules) -> DataFrame:
     """The usable orders, of one service where the rules name one."""
     if rules.service is not None:
         checked = checked.filter(F.col("service_name") == rules.service)
-    return checked.filter("reason IS NULL").select(*S.ORDER_SCHEMA.names)
+    kept = [c for c in S.ORDER_SCHEMA.names if c in checked.columns]
+    return checked.filter("reason IS NULL").select(*kept)
 
 
 def rejected(checked: DataFrame) -> DataFrame:

@@ -119,12 +119,14 @@ def write_increments(
 ) -> None:
     """Everything one micro-batch adds: results, rejects and stream positions.
 
-    The batch is parsed once and kept for the four passes over it; the text is
-    kept for rejected messages only.
+    The batch is parsed once and kept for the passes over it, without the columns
+    no result needs and with the text of rejected messages only.
     """
+    bad = F.col("reason").isNotNull()
     checked = (
         prepare.check_messages(messages, report.rules)
-        .withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+        .drop("request_id", "result_code", "end_ts")
+        .withColumns({c: F.when(bad, F.col(c)) for c in ("key", "value")})
         .persist()
     )
     orders = prepare.accepted(checked, report.rules)

@@ -172,7 +172,7 @@ def _text() -> Column:
             timestampadd(MILLISECOND, CAST(event_id * 37 % 5000 AS INT), ts),
             'yyyyMMddHHmmssSSS') END,
           '{S.PROVINCE_CODE}',
-            CAST(CAST(get_json_object(props, '$.k') AS INT) % 27 AS STRING),
+            CAST(try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) % 27 AS STRING),
           '{S.RESULT}', CASE WHEN event_type = 'error' THEN '1001' ELSE '{S.SUCCESS_CODE}' END,
           '{S.FEE}', CAST(CAST(round(value * 100) AS BIGINT) AS STRING),
           '{S.SERVICE}', CASE WHEN event_type = 'view' THEN 'reChargeReq'

@@ -1,3 +1,4 @@
+import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -82,3 +83,64 @@ def test_elapsed_and_minutes(spark):
     assert value(spark, times.hour(end)) == 11
     assert value(spark, times.weekday(start)) == 0
     assert value(spark, times.day_text(start)) == "2024-01-07"
+
+
+DIGITS = "20240229235958777"
+
+
+@pytest.mark.parametrize(
+    ("text", "leading", "whole"),
+    [
+        (DIGITS, True, True),
+        (DIGITS + "00001", True, False),
+        (DIGITS + " ", True, False),
+        (" " + DIGITS, False, False),
+        ("+" + DIGITS[1:], False, False),
+        ("-" + DIGITS, False, False),
+        (DIGITS[:16], False, False),
+        (DIGITS[:16] + " ", False, False),
+        (DIGITS[:14] + ".77", False, False),
+        ("20230229235958777", False, False),
+        ("20241301000000000", False, False),
+        ("20240001000000000", False, False),
+        ("20240100000000000", False, False),
+        ("20240101240000000", False, False),
+        ("20240101006000000", False, False),
+        ("20240101000060000", False, False),
+        ("99999999999999999", False, False),
+        ("00240101000000000", False, False),
+        ("", False, False),
+        (None, False, False),
+    ],
+)
+def test_times_are_strict(spark, text, leading, whole):
+    column = F.lit(text).cast("string")
+    assert (value(spark, times.compact_time(column)) is not None) is leading
+    assert (value(spark, times.whole_compact_time(column)) is not None) is whole
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.datetimes(dt.datetime(1900, 1, 1), dt.datetime(2199, 1, 1)), min_size=30))
+def test_times_keep_every_millisecond(spark, moments):
+    exact = [m.replace(microsecond=m.microsecond // 1000 * 1000) for m in moments]
+    rows = [(m.strftime("%Y%m%d%H%M%S") + f"{m.microsecond // 1000:03d}", m) for m in exact]
+    frame = spark.createDataFrame(rows, "text string, moment timestamp_ntz")
+    parsed = times.compact_time(F.col("text")).cast("timestamp_ntz")
+    assert frame.filter(~parsed.eqNullSafe(F.col("moment"))).count() == 0
+
+
+def test_times_are_wall_clock_times_of_the_session(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        start = times.compact_time(F.lit("20240107230509001"))
+        keys = spark.range(1).select(
+            times.day_text(start).alias("d"),
+            times.weekday(start).alias("w"),
+            times.hour(start).alias("h"),
+            F.unix_millis(start).alias("ms"),
+        )
+        moment = dt.datetime(2024, 1, 7, 15, 5, 9, 1000, tzinfo=dt.timezone.utc)
+        assert tuple(keys.first()) == ("2024-01-07", 0, 23, round(moment.timestamp() * 1000))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

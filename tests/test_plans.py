@@ -44,7 +44,7 @@ def test_text_is_parsed_once_and_nothing_else_is_read(spark, stored):
     facts = metrics.order_facts(prepare.parse_orders(stored, S.NOTIFY_RULES))
     text = plan(metrics.daily_overview(facts))
     assert text.count("Generate json_tuple") == 1
-    assert text.count("gettimestamp") == 2
+    assert text.count("make_timestamp(") == 2
     assert text.count("Exchange") == 1
     assert text.count("partial_sum") > 0
     assert "ReadSchema: struct<value:string>" in text
