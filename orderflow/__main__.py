@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         _common(report)
     daily = jobs_of.add_parser("daily", help="daily report over a file of messages")
     daily.add_argument("--messages", required=True, help="text, one message per line")
+    daily.add_argument(
+        "--run",
+        type=int,
+        default=int(date.today().strftime("%Y%m%d")),
+        help="number of this run; a repeated run replaces its results",
+    )
     _common(daily)
     return parser.parse_args(argv)
 
@@ -47,8 +54,7 @@ def _common(parser: argparse.ArgumentParser) -> None:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     names = read_province_dimension(spark, args.dimension) if args.dimension else provinces(spark)
     if args.job == "daily":
-        for name, rows in jobs.daily_report(text_messages(spark, args.messages), names).items():
-            rows.write.mode("overwrite").parquet(f"{args.out}/{name}")
+        jobs.write_daily_report(text_messages(spark, args.messages), names, args.out, args.run)
         return
     interval = None if args.once else args.interval
     query = jobs.start_report(REPORTS[args.job](), _stream(spark, args), names, args.out, interval)

@@ -177,13 +177,17 @@ def resume_offsets(spark: SparkSession, report: Report, folder: str, earliest: D
     return offsets.starting_offsets_json(offsets.resume_plan(saved, earliest))
 
 
-def daily_report(
+def daily_facts(
     messages: DataFrame, dimension: DataFrame, small: bool | None = None
-) -> dict[str, DataFrame]:
-    """The daily report over bounded messages: failures and their leaders."""
+) -> DataFrame:
+    """Facts of the daily report: day, province and result of bounded messages."""
     results = prepare.parse_day_results(messages)
     located = lookup.attach_province(results, dimension, "inner", broadcast=small)
-    facts = metrics.day_result_facts(located)
+    return metrics.day_result_facts(located)
+
+
+def daily_results(facts: DataFrame) -> dict[str, DataFrame]:
+    """The daily report: failures per day and province, and their leaders."""
     daily = metrics.daily_province_failures(facts)
     return {
         "daily_province_failures": daily,
@@ -191,3 +195,21 @@ def daily_report(
         "top3_failures": leaders.top_failures(daily),
         "top3_failures_per_day": leaders.top_failures_per_day(daily),
     }
+
+
+def write_daily_report(
+    messages: DataFrame, dimension: DataFrame, folder: str, run_id: int
+) -> None:
+    """Append the daily report as one run; the same run again replaces itself.
+
+    Messages are read once, into one row per day and province.
+    """
+    facts = daily_facts(messages, dimension)
+    totals = facts.groupBy("day", "province").agg(
+        F.sum("orders").alias("orders"), F.sum("failures").alias("failures")
+    )
+    totals.persist()
+    try:
+        batches.write_batches(daily_results(totals), folder, run_id)
+    finally:
+        totals.unpersist()

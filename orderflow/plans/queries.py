@@ -63,7 +63,8 @@ def _dimension_is_small(application: str, sf_dir: str) -> bool:
 def _daily_report(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     small = _dimension_is_small(spark.sparkContext.applicationId, sf_dir)
     messages = fixtures.messages(spark, sf_dir)
-    return jobs.daily_report(messages, fixtures.provinces(spark, sf_dir), small)
+    facts = jobs.daily_facts(messages, fixtures.provinces(spark, sf_dir), small)
+    return jobs.daily_results(facts)
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:

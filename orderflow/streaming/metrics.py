@@ -16,12 +16,17 @@ from orderflow.streaming.run import run_to_end
 Sink = Callable[[DataFrame, int], None]
 
 
-def folder_sink(folder: str, deliveries: int = 1) -> Sink:
-    """Write each batch to ``folder``; more deliveries act out a replay."""
+def folder_sink(folder: str, deliveries: int = 1, one_file: bool = False) -> Sink:
+    """Write each batch to ``folder``; more deliveries act out a replay.
+
+    ``one_file`` is for results of few keys: their state is spread over several
+    partitions, which would leave as many tiny files in every batch.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        out = rows.repartition(1) if one_file else rows
         for _ in range(deliveries):
-            batches.write_batch(rows, folder, batch_id)
+            batches.write_batch(out, folder, batch_id)
 
     return write
 
@@ -35,7 +40,7 @@ def touched_keys(
     """
     run_to_end(
         running,
-        folder_sink(f"{folder}/rows", deliveries),
+        folder_sink(f"{folder}/rows", deliveries, one_file=few_keys),
         f"{folder}/checkpoint",
         mode="update",
         few_keys=few_keys,
@@ -43,11 +48,11 @@ def touched_keys(
     return batches.read_batches(spark, f"{folder}/rows")
 
 
-def all_keys(spark: SparkSession, running: DataFrame, folder: str, deliveries: int = 1) -> DataFrame:
-    """Running sums whose batches hold every key. Returns the history."""
+def all_keys(spark: SparkSession, running: DataFrame, folder: str) -> DataFrame:
+    """Running sums of few keys whose batches hold every key. Returns the history."""
     run_to_end(
         running,
-        folder_sink(f"{folder}/rows", deliveries),
+        folder_sink(f"{folder}/rows", one_file=True),
         f"{folder}/checkpoint",
         mode="complete",
         few_keys=True,

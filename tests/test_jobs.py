@@ -120,7 +120,8 @@ def test_the_ledger_of_a_report_seeds_a_new_query(spark, landed, tmp_path):
 
 def test_daily_report(spark):
     texts = [order("1", 0), order("1", 1, "1001"), order("2", 1, "1"), order("9", 1, "1"), "nope"]
-    views = jobs.daily_report(messages(spark, *texts), dimension(spark, NAMES))
+    facts = jobs.daily_facts(messages(spark, *texts), dimension(spark, NAMES))
+    views = jobs.daily_results(facts)
     assert as_set(views["daily_province_failures"]) == {
         ("20240101", "North", 1, 2, 0.5),
         ("20240101", "South", 1, 1, 1.0),
@@ -136,12 +137,21 @@ def test_command_line(spark, landed, tmp_path):
     lines = tmp_path / "lines.txt"
     lines.write_text("\n".join(TEXTS[0]), encoding="utf-8")
     daily = ["daily", "--messages", str(lines), "--dimension", str(names)]
-    cli.run(spark, cli.arguments([*daily, "--out", str(tmp_path / "daily")]))
-    top = spark.read.parquet(str(tmp_path / "daily/top3_failures"))
-    assert as_set(top.select("day", "province", "failures")) == {
+    for run_id in ("20240102", "20240102", "20240103"):
+        cli.run(
+            spark, cli.arguments([*daily, "--run", run_id, "--out", str(tmp_path / "daily")])
+        )
+    top = batches.read_batches(spark, str(tmp_path / "daily/top3_failures"))
+    assert top.count() == 4
+    assert as_set(top.filter("batch_id = 20240103").select("day", "province", "failures")) == {
         ("20240101", "North", 1),
         ("20240101", "South", 0),
     }
+    rates = batches.read_batches(spark, str(tmp_path / "daily/province_failure_rate"))
+    assert as_set(rates.filter("batch_id = 20240103").drop("batch_id")) == {
+        ("North", 1, 2, 0.5),
+        ("South", 0, 1, 0.0),
+    }
     out = str(tmp_path / "report")
     report = ["all-orders", "--landed", landed, "--dimension", str(names), "--once"]
     cli.run(spark, cli.arguments([*report, "--out", out]))
