@@ -14,7 +14,6 @@ from orderflow.functions import times
 from orderflow.functions.numbers import ratio, rounded_ratio, whole_quotient
 
 MEASURES = ("orders", "successes", "failures", "fee_all", "fee_success", "duration_ms")
-TIME_KEYS = ("day", "weekday", "hour")
 
 _SECONDS_PER_HOUR = 3600
 _SECONDS_TIMES_60 = 216000
