@@ -238,9 +238,7 @@ def stream_weekday_hour_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_province_day_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = metrics.province_day_volume(_notify_province_stream(spark, sf_dir))
-    history = running.touched_keys(
-        spark, volume, new_folder(spark, "province-day"), few_keys=False
-    )
+    history = running.touched_keys(spark, volume, new_folder(spark, "province-day"))
     return _shown_day(batches.newest_per_key(history, "day", "province"))
 
 

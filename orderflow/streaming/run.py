@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderflow.session import settings
 
-# Partitions of a state store with few keys (hours, weekdays, provinces). Partial
+# Partitions of a state store with few keys (hours, weekdays, days, provinces). Partial
 # aggregation leaves at most one row per key and task, whatever the input size.
 FEW_KEYS_PARTITIONS = 32
 
