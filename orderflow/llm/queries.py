@@ -5,15 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderflow.llm.decontamination import decontaminate
 from orderflow.llm.jaccard_join import jaccard_join
+from orderflow.llm.line_dedup import line_dedup
 from orderflow.llm.tables import table
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"), min_words=5, near_words=10)
+    return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13, percent=5
+    ).drop("doc")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), size=5, percent=75)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_line_dedup": op6_line_dedup,
+    "op8_decontamination": op8_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }

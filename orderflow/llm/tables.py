@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderflow.session import new_folder
 
@@ -25,3 +26,11 @@ def kept_table(rows: DataFrame, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
+
+
+def small_side(rows: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """Rows to broadcast if a count shows that they are few, else rows for a shuffled join.
+
+    rows: a written table, so that counting reads its footers only.
+    """
+    return F.broadcast(rows) if rows.count() <= limit else rows
