@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.decontamination import decontaminate
 from orderflow.llm.jaccard_join import jaccard_join
 from orderflow.llm.line_dedup import line_dedup
+from orderflow.llm.quality import quality_rules
 from orderflow.llm.tables import table
 
 
@@ -18,6 +19,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13, percent=5
@@ -30,6 +35,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
