@@ -6,9 +6,9 @@ shingles reaches a threshold. The join is exact, up to 64-bit hashes of shingles
 1. One pass over the texts gives each document its set's size, an identity of
    the set, a bitmap of its hashed shingles, and the shingles with the smallest
    hashes: linked sets share at least one of these.
-2. Rows of (shingle, set) are dealt by shingle. Each set is tied to the smallest
-   set it shares a shingle with; ties that a full comparison confirms make
-   first groups. This is linear in the rows, also for thousands of near copies.
+2. Rows of (shingle, set) are dealt by shingle. Each set is tied to the most
+   central set of each shingle; ties that a full comparison confirms make first
+   groups. This is linear in the rows, also for thousands of near copies.
 3. Shingles whose sets are in several first groups get signature trees. A node
    holds the OR of its sets' bitmaps, their size range, and whether all are in
    one group. Two trees are descended together; a pair of nodes ends where sizes
@@ -51,7 +51,8 @@ def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.nda
     for row in range(batch.num_rows):
         begin, end = first[row], first[row + 1]
         if end - begin >= size:
-            yield row, np.unique(shingles[begin : end - size + 1])
+            own = np.sort(shingles[begin : end - size + 1])
+            yield row, own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif end > begin:
             yield row, np.array([words.sequence_hash(hashes[begin:end])], np.uint64)
         else:
@@ -68,8 +69,8 @@ def set_identity(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """A bit for each token's hash; twice as many bits as tokens, from 64 to 65,536."""
-    width = 1 << min(16, max(6, int(2 * len(tokens) - 1).bit_length()))
+    """A bit for each token's hash; 4 to 8 times as many bits as tokens, from 64 to 262,144."""
+    width = 1 << min(18, max(6, int(4 * len(tokens) - 1).bit_length()))
     bits = np.zeros(width, bool)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
@@ -262,54 +263,108 @@ class Tree:
         yield self.order[i[rows]], other.order[k[cols]]
 
 
+def stacked(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps as rows of words, all folded to the narrowest."""
+    widths = {len(b) for b in bits}
+    if len(widths) == 1:
+        return np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1)
+    return np.stack([fold(as_words(b), min(widths) // 8) for b in bits])
+
+
 def _block_pairs(percent: int):
     """Candidates of blocks: rows are sorted by block, and a block is held at once."""
-
-    def of_block(rows: pd.DataFrame) -> pd.DataFrame:
-        width = min(len(b) for b in rows["bits"]) // 8
-        bits = np.stack([fold(as_words(b), width) for b in rows["bits"]])
-        n, group, ids = (rows[c].to_numpy() for c in ("n", "group", "set_id"))
-        own, part = rows["own"].to_numpy(), rows["part"].to_numpy()
-        i, k = rows["i"].iloc[0], rows["k"].iloc[0]
-        found = []
+    names = ("token", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
+
+    def of_block(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, group, ids, own, part = (rows[c] for c in ("n", "group", "set_id", "own", "part"))
+        if group.min() == group.max():
+            return
+        bits = stacked(rows["bits"])
+        i, k = rows["i"][0], rows["k"][0]
         # A set of the class below meets the class's own sets here, and its like elsewhere.
         kinds = [(own & (part == i), own & (part == k), i == k), (own & (part == i), ~own & (part == k), False)]
         if i != k:
             kinds.append((own & (part == k), ~own & (part == i), False))
         for left, right, same in kinds:
             left, right = np.flatnonzero(left), np.flatnonzero(right)
-            if len(left) and len(right):
+            if len(left) and len(right) and (len(left) > 1 or not same):
                 tree = Tree(n[left], group[left], bits[left])
                 other = tree if same else Tree(n[right], group[right], bits[right])
-                found += [(ids[left[p]], ids[right[q]]) for p, q in tree.pairs(other, percent)]
-        a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                for p, q in tree.pairs(other, percent):
+                    yield ids[left[p]], ids[right[q]]
 
     def block_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
-            rows = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            keys = rows[["token", "class", "i", "k"]].to_numpy()
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            for begin, end in zip([0, *cuts[:-1]], cuts):
-                if end - begin > 1:
-                    yield of_block(rows.iloc[begin:end])
-            rest = rows.iloc[cuts[-1] if len(cuts) else 0 :]
-        if rest is not None and len(rest) > 1:
-            yield of_block(rest)
+            rows = {c: frame[c].to_numpy() for c in names}
+            if rest is not None:
+                rows = {c: np.concatenate([rest[c], rows[c]]) for c in names}
+            new = np.zeros(len(rows["token"]) - 1, bool)
+            for c in names[:4]:
+                new |= rows[c][1:] != rows[c][:-1]
+            cuts = np.flatnonzero(new) + 1
+            found = [
+                pair
+                for begin, end in zip([0, *cuts[:-1]], cuts)
+                if end - begin > 1
+                for pair in of_block({c: v[begin:end] for c, v in rows.items()})
+            ]
+            rest = {c: v[cuts[-1] if len(cuts) else 0 :] for c, v in rows.items()}
+            yield _ordered(found)
+        if rest is not None and len(rest["token"]) > 1:
+            yield _ordered(list(of_block(rest)))
 
     return block_pairs
 
 
-def tree_candidates(ties: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of sets in different groups that share a shingle and may reach the threshold."""
-    members = (
-        ties.select("token", "set_id", "n")
-        .union(ties.select("token", F.col("anchor"), F.col("anchor_n")))
+def _ordered(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    a = np.concatenate([np.zeros(0, np.int64), *[x for x, _ in found]])
+    b = np.concatenate([np.zeros(0, np.int64), *[x for _, x in found]])
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def shared_postings(signed: DataFrame) -> DataFrame:
+    """``token``, ``set_id``, ``n`` of shingles that several sets have among their smallest."""
+    by_token = Window.partitionBy("token").orderBy("set_id")
+    whole = by_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return kept_table(
+        signed.select("set_id", "n", F.explode("prefix").alias("token"))
+        .withColumn("before", F.lag("set_id").over(by_token))
+        .withColumn("low", F.first("set_id").over(whole))
+        .withColumn("high", F.last("set_id").over(whole))
+        .where("low != high and (before is null or before != set_id)")
+        .select("token", "set_id", "n"),
+        "postings",
+    )
+
+
+def ties_to_central(postings: DataFrame) -> DataFrame:
+    """Each set of a shingle (``a``, ``na``) with the shingle's most central set (``b``, ``nb``).
+
+    Central is the set whose shingles are shared most often for its size: the
+    original more than its edited copies.
+    """
+    often = postings.groupBy("token").agg(F.count("*").alias("sets"))
+    central = (
+        postings.join(often, "token").groupBy("set_id", "n").agg((F.sum("sets") / F.col("n")).alias("central"))
+    )
+    anchors = (
+        postings.join(central, ["set_id", "n"])
+        .groupBy("token")
+        .agg(F.max(F.struct("central", "set_id", "n")).alias("anchor"))
+    )
+    return (
+        postings.join(anchors, "token")
+        .where("set_id != anchor.set_id")
+        .select(F.col("set_id").alias("a"), F.col("anchor.set_id").alias("b"), F.col("n").alias("na"), F.col("anchor.n").alias("nb"))
         .distinct()
-        .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
-        .select("token", "set_id", "n", F.coalesce("root", "set_id").alias("group"))
+    )
+
+
+def tree_candidates(postings: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs of sets in different groups that share a shingle and may reach the threshold."""
+    members = postings.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
+        "token", "set_id", "n", F.coalesce("root", "set_id").alias("group")
     )
     # Two sets alone have been compared already.
     mixed = (
@@ -318,14 +373,31 @@ def tree_candidates(ties: DataFrame, groups: DataFrame, sets: DataFrame, percent
         .where("sets > 2 and low != high")
         .select("token")
     )
-    members = kept_table(members.join(mixed, "token", "left_semi"), "members")
     own_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
-    classed = members.withColumn("class", own_class).select(
-        "token", "set_id", "n", "group", F.inline(F.expr("array(struct(class as class, true as own), struct(class + 1 as class, false as own))"))
+    classed = kept_table(
+        members.join(mixed, "token", "left_semi")
+        .withColumn("class", own_class)
+        .select("token", "set_id", "n", "group", F.inline(F.expr("array(struct(class as class, true as own), struct(class + 1 as class, false as own))"))),
+        "members",
+    )
+    # Shingles with the same sets in a class need one tree.
+    counts = (
+        classed.groupBy("token", "class")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count(F.when(F.col("own"), 1)).alias("owners"),
+            F.min("group").alias("low"),
+            F.max("group").alias("high"),
+            F.bit_xor(F.xxhash64("set_id", "own")).alias("who"),
+            F.bit_xor(F.xxhash64("own", "set_id")).alias("who_else"),
+        )
+        .where("owners > 0 and low != high")
+        .groupBy("class", "rows", "who", "who_else")
+        .agg(F.min("token").alias("token"))
+        .select("token", "class", "rows")
     )
-    counts = classed.groupBy("token", "class").agg(F.count("*").alias("rows"), F.count(F.when(F.col("own"), 1)).alias("owners"))
     blocks = (
-        classed.join(counts.where("owners > 0 and rows > 1"), ["token", "class"])
+        classed.join(counts, ["token", "class"])
         .withColumn("parts", F.ceil(F.col("rows") / block))
         .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")))
         .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
@@ -354,22 +426,13 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     sets = signed.where("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("bits").alias("bits")
     )
-    by_token = Window.partitionBy("token").orderBy("set_id")
-    ties = kept_table(
-        signed.select("set_id", "n", F.explode("prefix").alias("token"))
-        .withColumn("first", F.first(F.struct("set_id", "n")).over(by_token))
-        .where("set_id != first.set_id")
-        .select("token", "set_id", "n", F.col("first.set_id").alias("anchor"), F.col("first.n").alias("anchor_n")),
-        "ties",
-    )
-    stars = ties.select(
-        F.col("set_id").alias("a"), F.col("anchor").alias("b"), F.col("n").alias("na"), F.col("anchor_n").alias("nb")
-    ).distinct()
+    postings = shared_postings(signed)
+    stars = kept_table(ties_to_central(postings), "stars")
     links = kept_table(confirmed(stars, sets, docs, size, percent), "links")
     groups = kept_table(components(links), "groups")
     sizes = sets.select("set_id", "n")
     more = (
-        tree_candidates(ties, groups, sets, percent, block)
+        tree_candidates(postings, groups, sets, percent, block)
         .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         .join(sizes.select(F.col("set_id").alias("a"), F.col("n").alias("na")), "a")
         .join(sizes.select(F.col("set_id").alias("b"), F.col("n").alias("nb")), "b")
