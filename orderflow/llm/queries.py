@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.llm.chat import chat_digest, rendered, replayed
+from orderflow.llm.curriculum import curriculum
 from orderflow.llm.decontamination import decontaminate
 from orderflow.llm.jaccard_join import jaccard_join
 from orderflow.llm.line_dedup import line_dedup
 from orderflow.llm.quality import quality_rules
+from orderflow.llm.secrets import secret_report
 from orderflow.llm.tables import table
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"), scope=300)
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
+    )
+    # Every row of the table is a whole message.
+    log = turns.unionByName(probe).withColumns({"seq": F.col("turn"), "kind": F.lit("message")})
+    return chat_digest(rendered(replayed(log)))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(table(spark, sf_dir, "documents"), min_words=5, near_words=10)
     return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("kept_sha256"))
@@ -29,13 +49,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("doc")
 
 
+def op9_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = curriculum(table(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=150, cap=2)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), size=5, percent=75)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scans": op2_secret_scans,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
+    "op9_curriculum": op9_curriculum,
     "op10_jaccard_join": op10_jaccard_join,
 }
