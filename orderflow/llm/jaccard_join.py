@@ -9,9 +9,9 @@ shingles reaches a threshold. The join is exact, up to 64-bit hashes of shingles
 2. Rows of (shingle, set) are dealt by shingle. Each set is tied to the most
    central set of each shingle; ties that a full comparison confirms make first
    groups. This is linear in the rows, also for thousands of near copies.
-3. Shingles whose sets are in several first groups get signature trees. A node
-   holds the OR of its sets' bitmaps, their size range, and whether all are in
-   one group. Two trees are descended together; a pair of nodes ends where sizes
+3. Sets tied to one central set, in several first groups, get signature trees. A
+   node holds the OR of its sets' bitmaps, their size range, and whether all are
+   in one group. Two trees are descended together; a pair of nodes ends where sizes
    or bitmaps rule the overlap out or where both are one group already. Sets of
    one size class share a tree; a large one is cut into blocks, and a task gets
    two blocks at most.
@@ -273,7 +273,7 @@ def stacked(bits: np.ndarray) -> np.ndarray:
 
 def _block_pairs(percent: int):
     """Candidates of blocks: rows are sorted by block, and a block is held at once."""
-    names = ("token", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
+    names = ("anchor", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
 
     def of_block(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n, group, ids, own, part = (rows[c] for c in ("n", "group", "set_id", "own", "part"))
@@ -299,7 +299,7 @@ def _block_pairs(percent: int):
             rows = {c: frame[c].to_numpy() for c in names}
             if rest is not None:
                 rows = {c: np.concatenate([rest[c], rows[c]]) for c in names}
-            new = np.zeros(len(rows["token"]) - 1, bool)
+            new = np.zeros(len(rows["anchor"]) - 1, bool)
             for c in names[:4]:
                 new |= rows[c][1:] != rows[c][:-1]
             cuts = np.flatnonzero(new) + 1
@@ -311,7 +311,7 @@ def _block_pairs(percent: int):
             ]
             rest = {c: v[cuts[-1] if len(cuts) else 0 :] for c, v in rows.items()}
             yield _ordered(found)
-        if rest is not None and len(rest["token"]) > 1:
+        if rest is not None and len(rest["anchor"]) > 1:
             yield _ordered(list(of_block(rest)))
 
     return block_pairs
@@ -361,54 +361,47 @@ def ties_to_central(postings: DataFrame) -> DataFrame:
     )
 
 
-def tree_candidates(postings: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of sets in different groups that share a shingle and may reach the threshold."""
-    members = postings.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
-        "token", "set_id", "n", F.coalesce("root", "set_id").alias("group")
-    )
-    # Two sets alone have been compared already.
-    mixed = (
-        members.groupBy("token")
-        .agg(F.count("*").alias("sets"), F.min("group").alias("low"), F.max("group").alias("high"))
-        .where("sets > 2 and low != high")
-        .select("token")
+def tree_candidates(stars: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs of sets in different groups that share a shingle and may reach the threshold.
+
+    Sets that share a shingle are tied to the same central set, so there is one
+    tree for each central set and not for each shingle.
+    """
+    members = (
+        stars.select(F.col("b").alias("anchor"), F.col("a").alias("set_id"), F.col("na").alias("n"))
+        .union(stars.select("b", "b", "nb").distinct())
+        .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
+        .select("anchor", "set_id", "n", F.coalesce("root", "set_id").alias("group"))
     )
     own_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
     classed = kept_table(
-        members.join(mixed, "token", "left_semi")
-        .withColumn("class", own_class)
-        .select("token", "set_id", "n", "group", F.inline(F.expr("array(struct(class as class, true as own), struct(class + 1 as class, false as own))"))),
+        members.withColumn("class", own_class).select(
+            "anchor", "set_id", "n", "group", F.inline(F.expr("array(struct(class as class, true as own), struct(class + 1 as class, false as own))"))
+        ),
         "members",
     )
-    # Shingles with the same sets in a class need one tree.
+    # One group needs no links.
     counts = (
-        classed.groupBy("token", "class")
+        classed.groupBy("anchor", "class")
         .agg(
-            F.count("*").alias("rows"),
-            F.count(F.when(F.col("own"), 1)).alias("owners"),
-            F.min("group").alias("low"),
-            F.max("group").alias("high"),
-            F.bit_xor(F.xxhash64("set_id", "own")).alias("who"),
-            F.bit_xor(F.xxhash64("own", "set_id")).alias("who_else"),
+            F.count("*").alias("rows"), F.count(F.when(F.col("own"), 1)).alias("owners"), F.min("group").alias("low"), F.max("group").alias("high")
         )
         .where("owners > 0 and low != high")
-        .groupBy("class", "rows", "who", "who_else")
-        .agg(F.min("token").alias("token"))
-        .select("token", "class", "rows")
+        .select("anchor", "class", "rows")
     )
     blocks = (
-        classed.join(counts, ["token", "class"])
+        classed.join(counts, ["anchor", "class"])
         .withColumn("parts", F.ceil(F.col("rows") / block))
         .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")))
         .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
         .withColumn("i", F.least("part", "other"))
         .withColumn("k", F.greatest("part", "other"))
         .join(sets.select("set_id", "bits"), "set_id")
-        .select("token", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
+        .select("anchor", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
     )
     return (
-        blocks.repartition("token", "class", "i", "k")
-        .sortWithinPartitions("token", "class", "i", "k")
+        blocks.repartition("anchor", "class", "i", "k")
+        .sortWithinPartitions("anchor", "class", "i", "k")
         .mapInPandas(_block_pairs(percent), "a long, b long")
         .distinct()
     )
@@ -426,13 +419,12 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     sets = signed.where("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("bits").alias("bits")
     )
-    postings = shared_postings(signed)
-    stars = kept_table(ties_to_central(postings), "stars")
+    stars = kept_table(ties_to_central(shared_postings(signed)), "stars")
     links = kept_table(confirmed(stars, sets, docs, size, percent), "links")
     groups = kept_table(components(links), "groups")
     sizes = sets.select("set_id", "n")
     more = (
-        tree_candidates(postings, groups, sets, percent, block)
+        tree_candidates(stars, groups, sets, percent, block)
         .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         .join(sizes.select(F.col("set_id").alias("a"), F.col("n").alias("na")), "a")
         .join(sizes.select(F.col("set_id").alias("b"), F.col("n").alias("nb")), "b")
