@@ -48,12 +48,10 @@ def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     """``doc``, ``body`` (hash of the text), ``line``, ``h`` (hash of the words), ``n``, ``halves``."""
     return (
         docs.where("text is not null")
-        .select(
-            F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-            F.xxhash64("text").alias("body"),
-            F.posexplode(F.split("text", "\n")).alias("line", "string"),
-        )
-        .withColumn("words", line_words(F.col("string")))
+        .select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("body"), "text")
+        .select("doc", "body", F.posexplode(F.split("text", "\n")).alias("line", "string"))
+        # As a generated column the words are split once, not again in the filter.
+        .select("doc", "body", "line", F.explode(F.array(line_words(F.col("string")))).alias("words"))
         .withColumn("n", F.when(F.element_at("words", 1) == "", 0).otherwise(F.size("words")))
         .where(F.col("n") >= min_words)
         .select(
