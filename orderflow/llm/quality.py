@@ -219,13 +219,15 @@ def quality_rules(
     max_repeat_percent: int = 50,
     max_class_distance: float = 0.31,
     max_word_distance: float = 0.4,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
-    ``n_repeat_words``, ``base_failed``, ``kept``, and both distances.
+    ``n_repeat_words``, ``base_failed``, ``kept``, and both distances; if ``keyed`` also ``doc``, a hash of id and text.
 
     docs: ``doc_id``, ``text``, ``lang``; other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    key = [F.xxhash64(F.col("doc_id").cast("long"), "text").alias("doc")] if keyed else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", *key)
     known = docs.sparkSession.sparkContext.broadcast(learn_references(docs))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,13 +246,15 @@ def quality_rules(
                 values = [n, got.word_chars, got.n_symbols, got.n_dup_lines, got.n_repeat_words]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *[pa.array(v.astype(np.int64)) for v in values]]
-                    + [pa.array(failed), pa.array(kept), pa.array(classes), pa.array(common)],
+                    + [pa.array(failed), pa.array(kept), pa.array(classes), pa.array(common)]
+                    + ([part.column("doc")] if keyed else []),
                     names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-                    + ["base_failed", "kept", "class_distance", "word_distance"],
+                    + ["base_failed", "kept", "class_distance", "word_distance"]
+                    + (["doc"] if keyed else []),
                 )
 
     return docs.mapInArrow(
         judged,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-        " base_failed boolean, kept boolean, class_distance double, word_distance double",
+        " base_failed boolean, kept boolean, class_distance double, word_distance double" + (", doc long" if keyed else ""),
     )

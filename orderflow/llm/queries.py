@@ -10,17 +10,34 @@ from pyspark.sql import functions as F
 from orderflow.llm.chat import chat_digest, rendered, replayed
 from orderflow.llm.curriculum import curriculum
 from orderflow.llm.decontamination import decontaminate
+from orderflow.llm.html_text import extract_main_text
 from orderflow.llm.jaccard_join import jaccard_join
+from orderflow.llm.language_id import identify_languages
 from orderflow.llm.line_dedup import line_dedup
 from orderflow.llm.quality import quality_rules
 from orderflow.llm.secrets import secret_report
 from orderflow.llm.tables import table
+from orderflow.llm.url_templates import RULES, url_verdicts
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"), scope=300)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    found = identify_languages(table(spark, sf_dir, "documents"), training=~held_out, size=400)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"), rules=RULES)
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame(
@@ -59,7 +76,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_secret_scans": op2_secret_scans,
+    "op3_language_id": op3_language_id,
+    "op4_url_filters": op4_url_filters,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
