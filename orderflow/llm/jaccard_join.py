@@ -39,7 +39,7 @@ from orderflow.llm.tables import kept_table
 
 LEAF = 32
 FAN = 8
-SIGNATURE = "doc_id long, set_id long, n long, bits binary, prefix array<long>"
+SIGNATURE = "doc_id long, doc long, set_id long, n long, bits binary, prefix array<long>"
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -82,7 +82,7 @@ def needed_overlap(n: int, percent: int) -> int:
 
 def _signatures(size: int, percent: int):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("prefix", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("doc", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("prefix", pa.list_(pa.int64()))]
     )
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,7 @@ def _signatures(size: int, percent: int):
                 bounds = np.concatenate([[0], np.cumsum([len(x) for x in prefixes])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), lists],
+                    [part.column("doc_id"), part.column("doc"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), lists],
                     schema=schema,
                 )
 
@@ -177,10 +177,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
         "pairs",
     )
     ends = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "set_id")
-    wanted = sets.join(ends, "set_id", "left_semi").select("doc_id").distinct()
+    wanted = sets.join(ends, "set_id", "left_semi").select("doc")
     tokens = kept_table(
-        docs.select("doc_id", "text")
-        .join(wanted, "doc_id", "left_semi")
+        docs.select("doc", "text")
+        .join(wanted, "doc", "left_semi")
         .select("text")
         .mapInArrow(_full_sets(size), "set_id long, tokens binary")
         .groupBy("set_id")
@@ -414,10 +414,11 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     gives no rows. ``percent`` is the threshold in hundredths; ``block`` bounds
     how many sets of a tree a task holds twice over.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    docs = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc"), "text")
     signed = kept_table(docs.mapInArrow(_signatures(size, percent), SIGNATURE), "signatures")
     sets = signed.where("n > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("bits").alias("bits")
+        F.min("doc").alias("doc"), F.max("n").alias("n"), F.first("bits").alias("bits")
     )
     stars = kept_table(ties_to_central(shared_postings(signed)), "stars")
     links = kept_table(confirmed(stars, sets, docs, size, percent), "links")

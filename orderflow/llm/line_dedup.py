@@ -185,8 +185,8 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
         .where("repeat or near")
         .groupBy("doc", "body")
         .agg(
-            F.collect_list(F.when(F.col("repeat"), F.col("line"))).alias("exact"),
-            F.collect_list(F.when(~F.col("repeat"), F.col("line"))).alias("near"),
+            F.collect_set(F.when(F.col("repeat"), F.col("line"))).alias("exact"),
+            F.collect_set(F.when(~F.col("repeat"), F.col("line"))).alias("near"),
         )
     )
 
