@@ -96,11 +96,11 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         inside = points > 0
         # One mark between words: keep letters, and others that follow or precede a letter only once.
         keep = inside | np.concatenate([[False], inside[:-1]]) | np.concatenate([inside[1:], [False]])
+        if not inside.any():
+            continue
         seq = np.where(inside, points, MARK)[keep]
         double = np.concatenate([[False], (seq[1:] == MARK) & (seq[:-1] == MARK)])
         seq = seq[~double]
-        if len(seq) < 3:
-            continue
         found, number = _counted(seq)
         if len(grams):
             found, inverse = np.unique(np.concatenate([grams, found]), return_inverse=True)

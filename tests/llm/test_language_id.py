@@ -1,0 +1,82 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import samples
+from pyspark.sql import functions as F
+
+from orderflow.llm import language_id as op
+
+
+def counts(text):
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    s = "_" + "_".join(re.findall(r"[^\W\d_]+", low)) + "_"
+    pack = lambda x: sum(ord(c) << (21 * (len(x) - 1 - k)) for k, c in enumerate(x))
+    out = Counter()
+    for k in range(len(s)):
+        if s[k] != "_":
+            out[pack(s[k])] += 1
+        if k + 1 < len(s):
+            out[pack(s[k : k + 2])] += 1
+        if k + 2 < len(s) and s[k + 1] != "_":
+            out[pack(s[k : k + 3])] += 1
+    return out
+
+
+MANY = "".join(chr(random.Random(4).randrange(0x4E00, 0x9000)) for _ in range(400))
+
+
+@pytest.mark.parametrize("text", ["Hello wörld, hello", "a", "ab  12 cd", "ÀÉ x ß 漢字 漢字かな", "漢" * 50 + " abc", MANY, MANY + " abc"])
+def test_gram_counts(text):
+    grams, times = op.gram_counts(text)
+    assert dict(zip(grams.tolist(), times.tolist())) == counts(text) and (np.diff(grams) > 0).all()
+
+
+def test_texts_longer_than_a_part(monkeypatch):
+    text = samples.prose(3, 400)
+    whole = op.gram_counts(text)
+    monkeypatch.setattr(op, "CHUNK", 100)
+    parts = op.gram_counts(text)
+    assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+@pytest.mark.parametrize("text", [None, "", "12 !?", "_"])
+def test_no_letter(text):
+    profiles = op.Profiles(["en"], np.array([97]), np.array([[0]]), 400)
+    assert op.predicted(text, profiles) == ("und", 0.0)
+
+
+LANGS = {
+    "en": "the of and to in is that for it was on with as are this be by from or an",
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als",
+    "fr": "de la le et les des en un du une que est pour qui dans par sur pas au plus",
+}
+
+
+def rows():
+    rnd = random.Random(2)
+    return [
+        (k, " ".join(rnd.choices(LANGS[lang].split(), k=40)), lang, "s", 1) for k, lang in enumerate(list(LANGS) * 40)
+    ]
+
+
+def test_held_out_accuracy(spark):
+    docs = samples.documents(spark, rows() + samples.awkward_rows()[4:6])
+    got = op.identify_languages(docs, F.col("doc_id") % 5 != 0).collect()
+    held = [r for r in got if r.doc_id % 5 == 0 and r.doc_id != 5]
+    assert all(r.lang_pred == list(LANGS)[r.doc_id % 3] and 0 < r.score <= 1 for r in held)
+    assert len(got) == 122
+
+
+def test_predictions_ignore_the_language_column(spark):
+    training = F.col("doc_id") % 5 != 0
+    docs = samples.documents(spark, rows())
+    other = docs.withColumn("lang", F.when(training, F.col("lang")).otherwise("xx"))
+    assert op.identify_languages(docs, training).exceptAll(op.identify_languages(other, training)).count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    assert op.identify_languages(samples.documents(spark), F.lit(False)).select("lang_pred").distinct().collect()[0][0] == "und"
+    assert op.identify_languages(samples.empty(spark), F.lit(True)).count() == 0
