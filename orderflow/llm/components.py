@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        far = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        far = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = far.groupBy("a").agg(F.min("b").alias("m"))
         near = (
             far.join(least, "a")

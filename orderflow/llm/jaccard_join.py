@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 
 from orderflow.llm import words
 from orderflow.llm.components import components
-from orderflow.llm.tables import kept_table
+from orderflow.llm.tables import kept_table, small_side
 
 LEAF = 32
 FAN = 8
@@ -324,7 +324,7 @@ def _ordered(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
 
 
 def shared_postings(signed: DataFrame) -> DataFrame:
-    """``token``, ``set_id``, ``n`` of shingles that several sets have among their smallest."""
+    """``token``, ``set_id``, ``n`` of shingles that several sets have among their smallest, and ``rows`` of the shingle."""
     by_token = Window.partitionBy("token").orderBy("set_id")
     whole = by_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return kept_table(
@@ -332,8 +332,9 @@ def shared_postings(signed: DataFrame) -> DataFrame:
         .withColumn("before", F.lag("set_id").over(by_token))
         .withColumn("low", F.first("set_id").over(whole))
         .withColumn("high", F.last("set_id").over(whole))
+        .withColumn("rows", F.count("*").over(whole))
         .where("low != high and (before is null or before != set_id)")
-        .select("token", "set_id", "n"),
+        .select("token", "set_id", "n", "rows"),
         "postings",
     )
 
@@ -344,17 +345,11 @@ def ties_to_central(postings: DataFrame) -> DataFrame:
     Central is the set whose shingles are shared most often for its size: the
     original more than its edited copies.
     """
-    often = postings.groupBy("token").agg(F.count("*").alias("sets"))
-    central = (
-        postings.join(often, "token").groupBy("set_id", "n").agg((F.sum("sets") / F.col("n")).alias("central"))
-    )
-    anchors = (
-        postings.join(central, ["set_id", "n"])
-        .groupBy("token")
-        .agg(F.max(F.struct("central", "set_id", "n")).alias("anchor"))
-    )
+    central = postings.groupBy("set_id", "n").agg((F.sum("rows") / F.col("n")).alias("central"))
+    first = Window.partitionBy("token").orderBy(F.desc("central"), "set_id")
     return (
-        postings.join(anchors, "token")
+        postings.join(central, ["set_id", "n"])
+        .withColumn("anchor", F.first(F.struct("set_id", "n")).over(first))
         .where("set_id != anchor.set_id")
         .select(F.col("set_id").alias("a"), F.col("anchor.set_id").alias("b"), F.col("n").alias("na"), F.col("anchor.n").alias("nb"))
         .distinct()
@@ -417,10 +412,15 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     doc_id = F.col("doc_id").cast("long")
     docs = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc"), "text")
     signed = kept_table(docs.mapInArrow(_signatures(size, percent), SIGNATURE), "signatures")
-    sets = signed.where("n > 0").groupBy("set_id").agg(
-        F.min("doc").alias("doc"), F.max("n").alias("n"), F.first("bits").alias("bits")
-    )
     stars = kept_table(ties_to_central(shared_postings(signed)), "stars")
+    # All later steps are about these sets only.
+    tied = small_side(kept_table(stars.select(F.col("a").alias("set_id")).union(stars.select("b")).distinct(), "tied"))
+    sets = kept_table(
+        signed.join(tied, "set_id", "left_semi")
+        .groupBy("set_id")
+        .agg(F.min("doc").alias("doc"), F.max("n").alias("n"), F.first("bits").alias("bits")),
+        "sets",
+    )
     links = kept_table(confirmed(stars, sets, docs, size, percent), "links")
     groups = kept_table(components(links), "groups")
     sizes = sets.select("set_id", "n")
@@ -432,7 +432,8 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     )
     found = kept_table(confirmed(more, sets, docs, size, percent), "links")
     if not found.isEmpty():
-        groups = kept_table(components(links.unionByName(found)), "groups")
+        stars = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        groups = kept_table(components(stars.unionByName(found)), "groups")
     placed = (
         signed.select("doc_id", "set_id", "n")
         .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
