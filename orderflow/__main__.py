@@ -30,6 +30,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         source.add_argument("--landed", help="folder of landed message files")
         report.add_argument("--topics", default="recharge", help="topics, comma separated")
         report.add_argument("--starting-offsets", help="JSON, for a query with no checkpoint yet")
+        report.add_argument("--checkpoint", help="of the query; inside --out if left out")
+        report.add_argument(
+            "--resume-from",
+            help="parquet of topic, partition, earliest_offset: start a new query at the saved offsets in --out",
+        )
+        report.add_argument(
+            "--max-offsets-per-trigger", type=int, default=5_000_000, help="messages a batch takes at most"
+        )
+        report.add_argument(
+            "--allow-data-loss", action="store_true", help="go on when the broker has dropped unread messages"
+        )
+        report.add_argument("--fold-every", type=int, default=jobs.FOLD_EVERY, help="batches")
         report.add_argument("--files-per-batch", type=int, default=1000)
         report.add_argument("--interval", default="5 seconds")
         report.add_argument("--once", action="store_true", help="take what is there and stop")
@@ -49,22 +61,37 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def _common(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--dimension", help="text of 'code name' lines; built in if left out")
     parser.add_argument("--out", required=True, help="result folder, shared by all executors")
+    parser.add_argument("--time-zone", default="UTC", help="of days, hours and minutes")
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    # Keys of days, hours and minutes follow the session's zone.
+    spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     names = read_province_dimension(spark, args.dimension) if args.dimension else provinces(spark)
     if args.job == "daily":
         jobs.write_daily_report(text_messages(spark, args.messages), names, args.out, args.run)
         return
     interval = None if args.once else args.interval
-    query = jobs.start_report(REPORTS[args.job](), _stream(spark, args), names, args.out, interval)
-    query.awaitTermination()
+    report = REPORTS[args.job]()
+    stream = _stream(spark, args, report)
+    jobs.start_report(
+        report, stream, names, args.out, interval, args.checkpoint, args.fold_every
+    ).awaitTermination()
 
 
-def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _stream(spark: SparkSession, args: argparse.Namespace, report: jobs.Report) -> DataFrame:
     if args.landed:
         return landed_messages(spark, args.landed, args.files_per_batch)
-    options = kafka_options(args.brokers, args.topics.split(","), args.starting_offsets)
+    start = args.starting_offsets
+    if args.resume_from:
+        start = jobs.resume_offsets(spark, report, args.out, spark.read.parquet(args.resume_from))
+    options = kafka_options(
+        args.brokers,
+        args.topics.split(","),
+        start,
+        args.max_offsets_per_trigger,
+        not args.allow_data_loss,
+    )
     return kafka_messages(spark, options)
 
 

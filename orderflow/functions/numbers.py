@@ -1,4 +1,4 @@
-"""Ratios, whole division, strict integers and counters."""
+"""Ratios, whole division and strict integers."""
 
 from __future__ import annotations
 
@@ -30,11 +30,3 @@ def rounded_ratio(part: Column, whole: Column, digits: int) -> Column:
 def whole_quotient(part: Column, whole: Column) -> Column:
     """Integer division, towards zero; NULL when ``whole`` is 0."""
     return F.call_function("div", part.cast("bigint"), F.nullif(whole, F.lit(0)))
-
-
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
-def or_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))

@@ -11,7 +11,8 @@ from orderflow.schema import DAY_DIGITS, TIME_DIGITS
 def compact_time(text: Column) -> Column:
     """Leading ``yyyyMMddHHmmssSSS`` of a text as a timestamp.
 
-    NULL when the text does not start with 17 digits or they are no real time.
+    NULL when the text does not start with 17 digits or they are no real time, or
+    the year is before 1000.
     """
     return _digits_time(F.substring(text, 1, TIME_DIGITS))
 
@@ -55,6 +56,13 @@ def compact_day(request_id: Column) -> Column:
     return F.when(F.length(request_id) >= DAY_DIGITS, F.substring(request_id, 1, DAY_DIGITS))
 
 
+def is_compact_day(text: Column) -> Column:
+    """Whether a text is eight digits of a real date."""
+    parts = [F.substring(text, a, n).try_cast("int") for a, n in ((1, 4), (5, 2), (7, 2))]
+    made = F.call_function("try_make_timestamp", *parts, F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
+    return text.rlike("^[0-9]{8}$") & made.isNotNull()
+
+
 def weekday(ts: Column) -> Column:
     """Day of the week, Sunday = 0."""
     return F.dayofweek(ts) - 1

@@ -5,47 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 64
 
 
-def fits_broadcast(
-    dimension: DataFrame,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> bool:
-    """Measure the dimension, reading at most ``max_rows + 1`` of its rows."""
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(name)), F.lit(0)) for name in dimension.columns),
-        F.lit(0),
-    )
-    size = (
-        dimension.limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b"))
-        .first()
-    )
-    return size["n"] <= max_rows and size["b"] <= max_bytes
+def attach_province(orders: DataFrame, dimension: DataFrame, how: str = "left") -> DataFrame:
+    """Add ``province`` to single orders. ``left`` keeps unknown codes as NULL, ``inner`` drops them.
 
+    Metrics need this on sums only (``provinces_of_sums``). Here every code is spread over
+    ``SALTS`` tasks, because one may hold a large share of all orders; the salt is a hash of the
+    order, so that a task that runs again deals its rows the same way. A dimension that is known to be
+    small is broadcast by Spark, whatever the salt. ``dimension`` holds each code once.
+    """
+    salt = F.pmod(F.xxhash64(*orders.columns), F.lit(SALTS)).cast("int")
+    salted = dimension.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return orders.withColumn("salt", salt).join(salted, ["province_code", "salt"], how).drop("salt")
 
-def attach_province(
-    orders: DataFrame, dimension: DataFrame, how: str = "left", broadcast: bool | None = None
-) -> DataFrame:
-    """Add ``province``. ``left`` keeps unknown codes as NULL, ``inner`` drops them.
 
-    A dimension measured to be small is broadcast. A larger one is joined by
-    shuffle, with every code spread over ``SALTS`` tasks, because one code may
-    hold a large share of all orders. ``dimension`` holds each code once.
-    """
-    if broadcast is None:
-        broadcast = fits_broadcast(dimension)
-    if broadcast:
-        return orders.join(F.broadcast(dimension), "province_code", how)
-    salted_orders = orders.withColumn("salt", (F.rand(17) * SALTS).cast("int"))
-    salted_dimension = dimension.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    return salted_orders.join(salted_dimension, ["province_code", "salt"], how).drop("salt")
+def provinces_of_sums(sums: DataFrame, dimension: DataFrame, how: str = "left") -> DataFrame:
+    """Add ``province`` to sums that have ``province_code`` among their keys."""
+    return sums.join(dimension, "province_code", how)
 
 
 def unknown_province_codes(orders: DataFrame, dimension: DataFrame) -> DataFrame:

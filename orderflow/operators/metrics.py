@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions import times
 from orderflow.functions.numbers import ratio, rounded_ratio, whole_quotient
+from orderflow.operators import lookup
 
 MEASURES = ("orders", "successes", "failures", "fee_all", "fee_success", "duration_ms")
 
@@ -58,6 +59,17 @@ def rollup(facts: DataFrame, *keys: str) -> DataFrame:
     return facts.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
+def province_facts(
+    facts: DataFrame, dimension: DataFrame, *keys: str, how: str = "inner"
+) -> DataFrame:
+    """Facts summed by province code and ``keys``, with the province looked up for each sum.
+
+    Single orders are neither joined nor shuffled: the join sees a row for each code and key. A metric
+    on these facts sums again, by name.
+    """
+    return lookup.provinces_of_sums(rollup(facts, "province_code", *keys), dimension, how)
+
+
 def known_province(facts: DataFrame) -> DataFrame:
     return facts.filter("province IS NOT NULL")
 

@@ -11,9 +11,6 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PARTITIONS = 100_000
-
-
 def offset_ranges(records: DataFrame, *batch_keys: str) -> DataFrame:
     """First offset and one past the last, per topic and partition of each batch."""
     return records.groupBy(*batch_keys, "topic", "partition").agg(
@@ -23,11 +20,16 @@ def offset_ranges(records: DataFrame, *batch_keys: str) -> DataFrame:
 
 
 def saved_offsets(ledger: DataFrame, grp: str, topic: str | None = None) -> DataFrame:
-    """Newest saved offset of a group, per topic and partition."""
+    """Last saved offset of a group, per topic and partition.
+
+    The last save counts, not the largest offset: a topic made anew or a rewind
+    saves smaller ones. ``batch_id`` orders the saves.
+    """
     mine = ledger.filter(F.col("grp") == grp)
     if topic is not None:
         mine = mine.filter(F.col("topic") == topic)
-    return mine.groupBy("topic", "partition").agg(F.max("until_offset").alias("saved_offset"))
+    last = F.max_by("until_offset", "batch_id").alias("saved_offset")
+    return mine.groupBy("topic", "partition").agg(last)
 
 
 def resume_plan(saved: DataFrame, earliest: DataFrame) -> DataFrame:
@@ -48,13 +50,13 @@ def resume_plan(saved: DataFrame, earliest: DataFrame) -> DataFrame:
 def starting_offsets_json(plan: DataFrame) -> str:
     """The resume plan as the Kafka source's ``startingOffsets``.
 
-    One entry per topic partition: this is the configuration of a query, and the
-    broker bounds its size.
+    One JSON text per topic is built in Spark; the texts are the configuration of a query.
     """
-    rows = plan.select("topic", "partition", "start_offset").limit(MAX_PARTITIONS + 1).collect()
-    if len(rows) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} topic partitions in one resume plan")
-    offsets: dict[str, dict[str, int]] = {}
-    for row in sorted(rows):
-        offsets.setdefault(row["topic"], {})[str(row["partition"])] = row["start_offset"]
-    return json.dumps(offsets)
+    per_partition = F.map_from_entries(
+        F.array_sort(
+            F.collect_list(F.struct(F.col("partition").cast("string"), F.col("start_offset")))
+        )
+    )
+    topics = plan.groupBy("topic").agg(F.to_json(per_partition).alias("offsets"))
+    rows = topics.orderBy("topic").collect()
+    return "{" + ", ".join(f"{json.dumps(row['topic'])}: {row['offsets']}" for row in rows) + "}"

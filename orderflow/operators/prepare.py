@@ -26,7 +26,15 @@ def message_fields(messages: DataFrame, rules: S.MessageRules) -> DataFrame:
     if not rules.trim:
         return fields
     trimmed = ("request_id", "notify_time", "result_code")
-    return fields.withColumns({name: F.trim(name) for name in trimmed})
+    return fields.withColumns({name: stripped(F.col(name)) for name in trimmed})
+
+
+#: Blanks are all characters up to U+0020.
+BLANKS = "".join(map(chr, range(0x21)))
+
+
+def stripped(text: Column) -> Column:
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def _reject_reason(rules: S.MessageRules) -> Column:
@@ -97,38 +105,52 @@ def rejected_messages(messages: DataFrame, rules: S.MessageRules) -> DataFrame:
     return rejected(check_messages(messages, rules))
 
 
-def parse_day_results(messages: DataFrame) -> DataFrame:
-    """Day, province code and success of each message, for the daily report.
+def check_day_results(messages: DataFrame) -> DataFrame:
+    """Day, province code and success of each message for the daily report, and ``reason``.
 
-    Only these three fields have to be usable; fee and times are not looked at.
+    Only these three fields have to be usable; fee and times are not looked at. The day is the
+    first eight characters of the request id and must be a real date.
     """
     fields = messages.select(
+        "*",
         json_fields(F.col("value"), S.REQUEST_ID, S.PROVINCE_CODE, S.RESULT).alias(
             "request_id", "province_code", "result_code"
-        )
+        ),
     )
-    return (
-        fields.filter("province_code IS NOT NULL AND result_code IS NOT NULL")
-        .filter(F.length("request_id") >= S.DAY_DIGITS)
-        .select(
-            times.compact_day(F.col("request_id")).alias("day"),
-            "province_code",
-            "result_code",
-            (F.col("result_code") == S.SUCCESS_CODE).alias("is_success"),
+    day = F.struct(times.compact_day(F.col("request_id")).alias("day"))
+    real = times.is_compact_day(F.col("day"))
+    reason = (
+        F.when(F.coalesce("request_id", "province_code", "result_code").isNull(), "unreadable")
+        .when(
+            F.col("request_id").isNull() | F.col("province_code").isNull() | F.col("result_code").isNull(),
+            "missing_field",
         )
+        .when(~F.coalesce(real, F.lit(False)), "bad_day")
+    )
+    return fields.select("*", F.inline(F.array(day))).select(
+        *messages.columns,
+        "day",
+        "province_code",
+        "result_code",
+        (F.col("result_code") == S.SUCCESS_CODE).alias("is_success"),
+        reason.alias("reason"),
     )
 
 
-def notify_orders(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("service_name") == S.NOTIFY_SERVICE)
+DAY_COLUMNS = ("day", "province_code", "result_code", "is_success")
 
 
-def successes(orders: DataFrame) -> DataFrame:
-    return orders.filter("is_success")
+def parse_day_results(messages: DataFrame) -> DataFrame:
+    return check_day_results(messages).filter("reason IS NULL").select(*DAY_COLUMNS)
 
 
-def failures(orders: DataFrame) -> DataFrame:
-    return orders.filter("NOT is_success")
+def rejected_day_results(checked: DataFrame) -> DataFrame:
+    """The messages the daily report can't use as they came, with the reason."""
+    return checked.filter("reason IS NOT NULL").drop(*DAY_COLUMNS)
+
+
+def notify_orders(orders: DataFrame) -> DataFrame:
+    return orders.filter(F.col("service_name") == S.NOTIFY_SERVICE)
 
 
 def order_durations(orders: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow import schema as S
 from orderflow.operators import leaders, lookup, metrics, offsets, prepare
 from orderflow.sinks import batches
+from orderflow.sinks.batches import Fold
 from orderflow.streaming.run import start
 
-_KEYS = ("minute_start", "day", "weekday", "hour", "minute", "province_code", "province")
+_KEYS = ("minute_start", "day", "weekday", "hour", "minute")
+FOLD_EVERY = 100  # batches
 
 
 class NotifyReport:
@@ -27,6 +29,14 @@ class NotifyReport:
 
     group = "notify-report"
     rules = S.NOTIFY_RULES
+    folds = {
+        "daily": Fold("sum", ("day",)),
+        "failures": Fold("sum", ("weekday", "hour", "province")),
+        "provinces": Fold("sum", ("province",)),
+        "batch_top10": Fold("all"),
+        "weekday_hours": Fold("sum", ("weekday", "hour")),
+        "minutes": Fold("sum", ("minute_start", "province")),
+    }
 
     def increments(self, rolled: DataFrame) -> dict[str, DataFrame]:
         minutes = metrics.known_province(rolled).groupBy("minute_start", "province")
@@ -72,6 +82,14 @@ class AllOrdersReport:
 
     group = "all-orders-report"
     rules = S.ALL_ORDERS_RULES
+    folds = {
+        "global": Fold("sum"),
+        "failures": Fold("sum", ("province", "hour")),
+        "provinces": Fold("sum", ("province",)),
+        "boards": Fold("all"),
+        "hours": Fold("sum", ("hour",)),
+        "minutes_of_day": Fold("sum", ("province", "hour", "minute")),
+    }
 
     def increments(self, rolled: DataFrame) -> dict[str, DataFrame]:
         known = metrics.known_province(rolled)
@@ -79,6 +97,7 @@ class AllOrdersReport:
             "global": metrics.global_totals(known),
             "failures": metrics.failures_province_hour(known),
             "provinces": metrics.province_totals(known),
+            "boards": leaders.province_success_board(known),
             "hours": metrics.hourly_success_volume(known),
             "minutes_of_day": metrics.province_minute_of_day_success(known),
         }
@@ -91,6 +110,7 @@ class AllOrdersReport:
             "global_overview": metrics.global_rates(_summed(spark, folder, "global")),
             "failures_province_hour": _summed(spark, folder, "failures", "province", "hour"),
             "top10_province_success": provinces.orderBy(F.desc("orders"), "province").limit(10),
+            "top10_of_every_batch": _written(spark, folder, "boards"),
             "hourly_success_volume": _summed(spark, folder, "hours", "hour"),
             "province_minute_of_day_success": _summed(
                 spark, folder, "minutes_of_day", "province", "hour", "minute"
@@ -102,7 +122,7 @@ Report = NotifyReport | AllOrdersReport
 
 
 def _written(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return batches.read_batches(spark, f"{folder}/{name}")
+    return batches.read_batches(spark, folder, name)
 
 
 def _summed(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
@@ -113,7 +133,6 @@ def write_increments(
     report: Report,
     messages: DataFrame,
     dimension: DataFrame,
-    small: bool,
     folder: str,
     batch_id: int,
 ) -> None:
@@ -130,10 +149,8 @@ def write_increments(
         .persist()
     )
     orders = prepare.accepted(checked, report.rules)
-    facts = metrics.order_facts(lookup.attach_province(orders, dimension, broadcast=small))
-    rolled = metrics.rollup(
-        facts.withColumn("minute_start", F.date_trunc("minute", "start_ts")), *_KEYS
-    ).persist()
+    minutes = metrics.order_facts(orders).withColumn("minute_start", F.date_trunc("minute", "start_ts"))
+    rolled = metrics.province_facts(minutes, dimension, *_KEYS, how="left").persist()
     unknown = rolled.filter("province IS NULL").groupBy("province_code")
     results = {
         **report.increments(rolled),
@@ -142,7 +159,7 @@ def write_increments(
         "offsets": offsets.offset_ranges(checked).withColumn("grp", F.lit(report.group)),
     }
     try:
-        batches.write_batches(results, folder, batch_id)
+        batches.publish(results, folder, batch_id)
     finally:
         rolled.unpersist()
         checked.unpersist()
@@ -154,17 +171,37 @@ def start_report(
     dimension: DataFrame,
     folder: str,
     interval: str | None = "5 seconds",
+    checkpoint: str | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Start a streaming report on a message stream (``MESSAGE_SCHEMA``).
 
-    A restart with the same ``folder`` goes on where the last run stopped.
+    A restart with the same ``folder`` goes on where the last run stopped. A new query with
+    another ``checkpoint``, started from ``resume_offsets``, adds to the results of the old one.
     """
-    small = lookup.fits_broadcast(dimension)
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        write_increments(report, rows, dimension, small, folder, batch_id)
+        write_increments(report, rows, dimension, folder, batch_id)
+        if batch_id % fold_every == fold_every - 1:
+            fold_report(rows.sparkSession, report, folder)
+
+    return start(messages, on_batch, checkpoint or f"{folder}/checkpoint", interval=interval)
+
+
+def fold_report(spark: SparkSession, report: Report, folder: str) -> bool:
+    """Sum up finished batches of a report; rejects and positions keep all they need."""
+    rules = {
+        **report.folds,
+        "unknown_codes": Fold("sum", ("province_code",)),
+        "rejected": Fold("all"),
+        "offsets": Fold("newest", ("topic", "partition", "grp")),
+    }
+    return batches.fold(spark, folder, rules)
 
-    return start(messages, on_batch, f"{folder}/checkpoint", interval=interval)
+
+def saved_positions(spark: SparkSession, report: Report, folder: str) -> DataFrame:
+    """The last offsets a report has saved (``topic, partition, saved_offset``)."""
+    return offsets.saved_offsets(_written(spark, folder, "offsets"), report.group)
 
 
 def resume_offsets(spark: SparkSession, report: Report, folder: str, earliest: DataFrame) -> str:
@@ -173,17 +210,16 @@ def resume_offsets(spark: SparkSession, report: Report, folder: str, earliest: D
     ``earliest`` holds the first offset each partition still has
     (``topic, partition, earliest_offset``).
     """
-    saved = offsets.saved_offsets(_written(spark, folder, "offsets"), report.group)
+    saved = saved_positions(spark, report, folder)
     return offsets.starting_offsets_json(offsets.resume_plan(saved, earliest))
 
 
-def daily_facts(
-    messages: DataFrame, dimension: DataFrame, small: bool | None = None
-) -> DataFrame:
-    """Facts of the daily report: day, province and result of bounded messages."""
-    results = prepare.parse_day_results(messages)
-    located = lookup.attach_province(results, dimension, "inner", broadcast=small)
-    return metrics.day_result_facts(located)
+def daily_facts(results: DataFrame, dimension: DataFrame, how: str = "inner") -> DataFrame:
+    """Orders and failures per day and province of usable results, looked up after summing."""
+    sums = metrics.day_result_facts(results).groupBy("day", "province_code").agg(
+        F.sum("orders").alias("orders"), F.sum("failures").alias("failures")
+    )
+    return lookup.provinces_of_sums(sums, dimension, how)
 
 
 def daily_results(facts: DataFrame) -> dict[str, DataFrame]:
@@ -202,14 +238,22 @@ def write_daily_report(
 ) -> None:
     """Append the daily report as one run; the same run again replaces itself.
 
-    Messages are read once, into one row per day and province.
+    Messages are read once. Those that can't be used go to ``rejected``, codes without a
+    province to ``unknown_codes`` with their orders.
     """
-    facts = daily_facts(messages, dimension)
-    totals = facts.groupBy("day", "province").agg(
-        F.sum("orders").alias("orders"), F.sum("failures").alias("failures")
-    )
-    totals.persist()
+    checked = prepare.check_day_results(messages)
+    bad = F.col("reason").isNotNull()
+    checked = checked.withColumns({c: F.when(bad, F.col(c)) for c in messages.columns}).persist()
+    usable = checked.filter(~bad).select(*prepare.DAY_COLUMNS)
+    totals = daily_facts(usable, dimension, "left").persist()
+    unknown = totals.filter("province IS NULL").groupBy("province_code")
+    results = {
+        **daily_results(metrics.known_province(totals)),
+        "unknown_codes": unknown.agg(F.sum("orders").alias("orders")),
+        "rejected": prepare.rejected_day_results(checked),
+    }
     try:
-        batches.write_batches(daily_results(totals), folder, run_id)
+        batches.publish(results, folder, run_id, run="daily")
     finally:
         totals.unpersist()
+        checked.unpersist()

@@ -10,7 +10,7 @@ _REQUEST_ID = (
 # One row per usable message of every service. The mapping is that of
 # ``sources.fixtures``; nothing here goes through JSON text.
 _ORDERS = f"""
-orders_all AS (
+events_read AS (
   SELECT event_id,
          {_REQUEST_ID} AS request_id,
          CASE WHEN event_type = 'view' THEN 'reChargeReq' ELSE 'reChargeNotifyReq' END
@@ -21,10 +21,11 @@ orders_all AS (
          date_trunc('milliseconds', ts) AS start_ts,
          CASE WHEN event_id % 10 = 0 THEN 0 ELSE (event_id * 37) % 5000 END AS ms,
          CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 27 AS VARCHAR)
-           AS province_code
+           AS province_code,
+         event_id % 997 AS kind
   FROM events
-  WHERE event_id % 997 <> 0
 ),
+orders_all AS (SELECT * FROM events_read WHERE kind > 4),
 dimension AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS province_code, n_name AS province FROM nation
 ),
@@ -126,6 +127,12 @@ _MINUTES_OF_DAY = _orders(
     FROM located WHERE ok GROUP BY 1, 2, 3"""
 )
 
+_PROVINCE_MINUTES = _orders(
+    f"""SELECT strftime(date_trunc('minute', start_ts), '%Y-%m-%d %H:%M:%S') AS minute_start,
+      province, {_N} AS orders, {_money()} AS fee_total
+    FROM notified_located GROUP BY 1, 2"""
+)
+
 _PROVINCE_HOURS = _orders(
     f"""SELECT strftime(date_trunc('hour', start_ts), '%Y-%m-%d %H:%M:%S') AS hour_start,
       province, {_N} AS orders, {_money()} AS fee_total
@@ -141,11 +148,17 @@ def _success_board(direction: str) -> str:
     )
 
 
-# The daily report looks at day, province and result only.
-_DAILY_FAILURES = f"""daily AS (
-  SELECT strftime(start_ts, '%Y%m%d') AS day, province, {_count('NOT ok')} AS failures,
+# The daily report looks at day, province and result only, and strips nothing.
+_DAY_ROWS = """day_rows AS (
+  SELECT strftime(start_ts, '%Y%m%d') AS day, province_code,
+    result_code || CASE WHEN padded THEN chr(9) ELSE '' END AS result_code, ok AND NOT padded AS ok
+  FROM (SELECT *, kind BETWEEN 5 AND 7 AND service_name = 'reChargeReq' AS padded
+    FROM events_read WHERE kind NOT IN (0, 1, 3))
+)"""
+_DAILY_FAILURES = f"""{_DAY_ROWS}, daily AS (
+  SELECT day, province, {_count('NOT ok')} AS failures,
     {_N} AS orders, {_rounded(_count('NOT ok'), 'count(*)', 2)} AS failure_rate
-  FROM located GROUP BY 1, 2
+  FROM day_rows JOIN dimension USING (province_code) GROUP BY 1, 2
 )"""
 
 
@@ -153,8 +166,10 @@ def _daily(body: str) -> str:
     return f"WITH {_ORDERS}, {_DAILY_FAILURES} {body}"
 
 
-def _saved(rows: str, where: str = "true") -> str:
-    return f"""SELECT topic, "partition", CAST(max({rows}) AS BIGINT) AS saved_offset
+def _saved(rows: str, where: str = "true", back: int = 700) -> str:
+    """The last save of each place; every fifth goes back by some messages."""
+    rows = f"CASE WHEN batch_id % 5 = 4 THEN greatest(0, {rows} - {back}) ELSE {rows} END"
+    return f"""SELECT topic, "partition", CAST(arg_max({rows}, batch_id) AS BIGINT) AS saved_offset
     FROM ranges WHERE {where} GROUP BY 1, 2"""
 
 
@@ -162,13 +177,18 @@ def _saved(rows: str, where: str = "true") -> str:
 _TEXTS = f"""
 texts AS (
   SELECT event_id,
-    '{{"requestId":"' || {_REQUEST_ID} || '"'
-    || CASE WHEN event_id % 10 = 0 THEN ''
+    '{{"requestId":"' || CASE WHEN event_id % 997 = 3 THEN '20240231' || substr({_REQUEST_ID}, 9)
+         ELSE {_REQUEST_ID} END || '"'
+    || CASE WHEN event_id % 997 = 4 THEN ',"receiveNotifyTime":"soon"'
+       WHEN event_id % 10 = 0 THEN ''
        ELSE ',"receiveNotifyTime":"'
          || strftime(ts + to_milliseconds((event_id * 37) % 5000), '%Y%m%d%H%M%S%g') || '"' END
     || ',"provinceCode":"' || (CAST(json_extract_string(props, '$.k') AS INTEGER) % 27) || '"'
-    || ',"bussinessRst":"' || CASE WHEN event_type = 'error' THEN '1001' ELSE '0000' END || '"'
-    || ',"chargefee":"' || CAST(round(value * 100) AS BIGINT) || '"'
+    || CASE WHEN event_id % 997 = 1 THEN '' ELSE ',"bussinessRst":"'
+         || CASE WHEN event_type = 'error' THEN '1001' ELSE '0000' END || '"' END
+    || ',"chargefee":"'
+    || CASE WHEN event_id % 997 = 2 THEN '12x' ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END
+    || '"'
     || ',"serviceName":"'
     || CASE WHEN event_type = 'view' THEN 'reChargeReq' ELSE 'reChargeNotifyReq' END || '"}}'
     AS whole
@@ -205,14 +225,23 @@ ORACLE_SQL: dict[str, str] = {
     "parse_orders": _PARSE,
     "notify_orders": _orders(f"SELECT {_SHOWN} FROM notified"),
     "rejected_orders": f"""WITH {_TEXTS}
-      SELECT CAST(event_id AS VARCHAR) AS key, left(whole, length(whole) // 2) AS value,
-        'unreadable' AS reason
-      FROM texts WHERE event_id % 997 = 0""",
+      SELECT CAST(event_id AS VARCHAR) AS key,
+        CASE WHEN event_id % 997 = 0 THEN left(whole, length(whole) // 2) ELSE whole END AS value,
+        CASE event_id % 997 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'missing_field'
+          WHEN 2 THEN 'bad_fee' WHEN 3 THEN 'bad_start_time' ELSE 'bad_end_time' END AS reason
+      FROM texts WHERE event_id % 997 < 5""",
+    "daily_rejected": f"""WITH {_TEXTS}
+      SELECT CAST(event_id AS VARCHAR) AS key,
+        CASE WHEN event_id % 997 = 0 THEN left(whole, length(whole) // 2) ELSE whole END AS value,
+        CASE event_id % 997 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'missing_field'
+          ELSE 'bad_day' END AS reason
+      FROM texts WHERE event_id % 997 IN (0, 1, 3)""",
+    "daily_unknown_codes": f"""WITH {_ORDERS}, {_DAY_ROWS}
+      SELECT province_code, {_N} AS orders FROM day_rows
+      WHERE province_code NOT IN (SELECT province_code FROM dimension) GROUP BY 1""",
     "province_dimension": _orders("SELECT province_code, province FROM dimension"),
-    "offline_orders_scan": _orders(
-        """SELECT strftime(start_ts, '%Y%m%d') AS day, province_code, result_code, ok AS is_success
-        FROM orders_all"""
-    ),
+    "offline_orders_scan": f"""WITH {_ORDERS}, {_DAY_ROWS}
+      SELECT day, province_code, result_code, ok AS is_success FROM day_rows""",
     "province_lookup": _orders(
         """SELECT request_id, province_code, province
         FROM orders_all LEFT JOIN dimension USING (province_code)"""
@@ -243,11 +272,7 @@ ORACLE_SQL: dict[str, str] = {
           CAST({_money()} // 216000 AS BIGINT) AS fee_per_216000
         FROM notified_located GROUP BY 1, 2"""
     ),
-    "province_minute_volume": _orders(
-        f"""SELECT strftime(date_trunc('minute', start_ts), '%Y-%m-%d %H:%M:%S') AS minute_start,
-          province, {_N} AS orders, {_money()} AS fee_total
-        FROM notified_located GROUP BY 1, 2"""
-    ),
+    "province_minute_volume": _PROVINCE_MINUTES,
     "province_hour_volume": _PROVINCE_HOURS,
     "global_overview": _orders(_GLOBAL),
     "failures_province_hour": _PROVINCE_HOUR_FAILURES,
@@ -266,11 +291,10 @@ ORACLE_SQL: dict[str, str] = {
     "bottom10_province_success": _success_board("ASC"),
     "hourly_success_volume": _HOURLY,
     "province_minute_of_day_success": _MINUTES_OF_DAY,
-    "province_failure_rate": _orders(
-        f"""SELECT province, {_count('NOT ok')} AS failures, {_N} AS total,
-          {_rounded(_count('NOT ok'), 'count(*)', 5)} AS failure_rate
-        FROM located GROUP BY 1"""
-    ),
+    "province_failure_rate": f"""WITH {_ORDERS}, {_DAY_ROWS}
+      SELECT province, {_count('NOT ok')} AS failures, {_N} AS total,
+        {_rounded(_count('NOT ok'), 'count(*)', 5)} AS failure_rate
+      FROM day_rows JOIN dimension USING (province_code) GROUP BY 1""",
     "daily_province_failures": _daily("SELECT * FROM daily"),
     "top3_failures": _daily(
         "SELECT * FROM daily ORDER BY failures DESC, day, province LIMIT 3"
@@ -288,6 +312,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM notified_located GROUP BY 1, 2"""
     ),
     "stream_province_hour_windows": _PROVINCE_HOURS,
+    "stream_province_minute_windows": _PROVINCE_MINUTES,
+    "stream_reseed": _orders(_GLOBAL),
     "stream_hourly_complete": _HOURLY,
     "stream_top10_complete": _success_board("DESC"),
     "stream_daily_overview": _DAILY,
@@ -296,6 +322,7 @@ ORACLE_SQL: dict[str, str] = {
     "sink_keyed_upsert": f"""WITH volume AS ({_WEEKDAY_HOURS})
       SELECT weekday || '-' || hour AS dayhour, orders, fee_total FROM volume""",
     "sink_additive_counters": _DAILY,
+    "sink_compacted_views": _DAILY,
     "sink_append_history": _PROVINCE_HOUR_FAILURES,
     "offset_ranges": _log("SELECT * FROM ranges"),
     "offset_ledger_latest": _log(_saved("until_offset", "topic = 'orders'")),
@@ -308,5 +335,5 @@ ORACLE_SQL: dict[str, str] = {
       SELECT topic, "partition", saved_offset, earliest_offset,
         greatest(saved_offset, earliest_offset) AS start_offset
       FROM saved LEFT JOIN earliest USING (topic, "partition")""",
-    "offset_ledger_append": _log(_saved("until_offset")),
+    "offset_ledger_append": _log(_saved("until_offset", back=0)),
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, partial
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,38 +37,32 @@ def _notify_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.order_facts(_orders(spark, sf_dir, S.NOTIFY_RULES))
 
 
-def _notify_province_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _province_facts(spark, sf_dir, _orders(spark, sf_dir, S.NOTIFY_RULES))
+def _province_facts(rules: S.MessageRules, *keys: str) -> Query:
+    """Facts by province and ``keys``, summed by code before the province is looked up."""
 
+    def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        orders = metrics.order_facts(_orders(spark, sf_dir, rules))
+        return metrics.province_facts(orders, fixtures.provinces(spark, sf_dir), *keys)
 
-def _all_province_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _province_facts(spark, sf_dir, _orders(spark, sf_dir, S.ALL_ORDERS_RULES))
+    return facts
 
 
-def _province_facts(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    return metrics.order_facts(_with_province(spark, sf_dir, orders, "inner"))
+_NOTIFY, _ALL = S.NOTIFY_RULES, S.ALL_ORDERS_RULES
 
 
-def _with_province(spark: SparkSession, sf_dir: str, orders: DataFrame, how: str) -> DataFrame:
-    small = _dimension_is_small(spark.sparkContext.applicationId, sf_dir)
-    return lookup.attach_province(orders, fixtures.provinces(spark, sf_dir), how, small)
-
-
-@cache
-def _dimension_is_small(application: str, sf_dir: str) -> bool:
-    """Measured once per application and input."""
-    return lookup.fits_broadcast(fixtures.provinces(SparkSession.active(), sf_dir))
+def _located(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """Facts of single orders with their province, for running sums."""
+    dimension = fixtures.provinces(spark, sf_dir)
+    return metrics.order_facts(lookup.attach_province(orders, dimension, "inner"))
 
 
 def _daily_report(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    small = _dimension_is_small(spark.sparkContext.applicationId, sf_dir)
-    messages = fixtures.messages(spark, sf_dir)
-    facts = jobs.daily_facts(messages, fixtures.provinces(spark, sf_dir), small)
-    return jobs.daily_results(facts)
+    results = prepare.parse_day_results(fixtures.messages(spark, sf_dir))
+    return jobs.daily_results(jobs.daily_facts(results, fixtures.provinces(spark, sf_dir)))
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, files_per_batch = fixtures.land(spark, sf_dir)
+def _stream(spark: SparkSession, sf_dir: str, order: str = "event_id") -> DataFrame:
+    folder, files_per_batch = fixtures.land(spark, sf_dir, order=order)
     return landed_messages(spark, folder, files_per_batch)
 
 
@@ -78,12 +72,12 @@ def _notify_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _notify_province_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = prepare.parse_orders(_stream(spark, sf_dir), S.NOTIFY_RULES)
-    return _province_facts(spark, sf_dir, orders)
+    return _located(spark, sf_dir, orders)
 
 
 def _all_province_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = prepare.parse_orders(_stream(spark, sf_dir), S.ALL_ORDERS_RULES)
-    return _province_facts(spark, sf_dir, orders)
+    return _located(spark, sf_dir, orders)
 
 
 # --- output shapes -----------------------------------------------------------
@@ -147,7 +141,7 @@ def offline_orders_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def province_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, S.ALL_ORDERS_RULES)
-    joined = _with_province(spark, sf_dir, orders, "left")
+    joined = lookup.attach_province(orders, fixtures.provinces(spark, sf_dir))
     return joined.select("request_id", "province_code", "province")
 
 
@@ -170,6 +164,16 @@ def order_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = prepare.check_day_results(fixtures.messages(spark, sf_dir))
+    return prepare.rejected_day_results(checked)
+
+
+def daily_unknown_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = prepare.parse_day_results(fixtures.messages(spark, sf_dir))
+    return lookup.unknown_province_codes(results, fixtures.provinces(spark, sf_dir))
+
+
 # --- metrics -----------------------------------------------------------------
 
 
@@ -182,21 +186,29 @@ def weekday_hour_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def province_minute_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    volume = metrics.province_minute_volume(_notify_province_facts(spark, sf_dir))
+    minutes = metrics.order_facts(_orders(spark, sf_dir, _NOTIFY)).withColumn(
+        "start_ts", F.date_trunc("minute", "start_ts")
+    )
+    facts = metrics.province_facts(minutes, fixtures.provinces(spark, sf_dir), "start_ts")
+    volume = metrics.province_minute_volume(facts)
     return _shown_slot(volume, "minute_start")
 
 
 def province_hour_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    volume = metrics.province_hour_volume(_notify_province_facts(spark, sf_dir))
+    hours = metrics.order_facts(_orders(spark, sf_dir, _NOTIFY)).withColumn(
+        "start_ts", F.date_trunc("hour", "start_ts")
+    )
+    facts = metrics.province_facts(hours, fixtures.provinces(spark, sf_dir), "start_ts")
+    volume = metrics.province_hour_volume(facts)
     return _shown_slot(volume, "hour_start")
 
 
 def top10_province_success(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaders.province_success_board(_all_province_facts(spark, sf_dir))
+    return leaders.province_success_board(_province_facts(_ALL)(spark, sf_dir))
 
 
 def bottom10_province_success(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaders.province_success_board(_all_province_facts(spark, sf_dir), largest=False)
+    return leaders.province_success_board(_province_facts(_ALL)(spark, sf_dir), largest=False)
 
 
 def _over(facts: Query, metric: Callable[[DataFrame], DataFrame]) -> Query:
@@ -242,25 +254,31 @@ def stream_province_day_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_day(batches.newest_per_key(history, "day", "province"))
 
 
-def stream_province_hour_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event-time hours. The landed files are in no time order, so nothing may be late."""
-    facts = _notify_province_stream(spark, sf_dir)
-    volume = metrics.windowed_province_volume(facts, "1 hour", "3650 days")
-    history = running.touched_keys(spark, volume, new_folder(spark, "windows"), few_keys=False)
+def _windows(spark: SparkSession, sf_dir: str, length: str, name: str) -> DataFrame:
+    """Event-time windows of a stream in time order; state of a window goes two hours after its end."""
+    orders = prepare.parse_orders(_stream(spark, sf_dir, "ts"), S.NOTIFY_RULES)
+    volume = metrics.windowed_province_volume(_located(spark, sf_dir, orders), length, "2 hours")
+    history = running.touched_keys(spark, volume, new_folder(spark, "windows"))
     newest = batches.newest_per_key(history, "slot_start", "province")
-    return _shown_slot(newest.withColumnRenamed("slot_start", "hour_start"), "hour_start")
+    return _shown_slot(newest.withColumnRenamed("slot_start", name), name)
+
+
+def stream_province_hour_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(spark, sf_dir, "1 hour", "hour_start")
+
+
+def stream_province_minute_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(spark, sf_dir, "1 minute", "minute_start")
 
 
 def stream_hourly_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = metrics.hourly_success_volume(_all_province_stream(spark, sf_dir))
-    history = running.all_keys(spark, hours, new_folder(spark, "hours"))
-    return batches.newest_snapshot(history)
+    return running.all_keys(spark, hours, new_folder(spark, "hours"))
 
 
 def stream_top10_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     board = leaders.province_success_board(_all_province_stream(spark, sf_dir))
-    history = running.all_keys(spark, board, new_folder(spark, "top10"))
-    return batches.newest_snapshot(history)
+    return running.all_keys(spark, board, new_folder(spark, "top10"))
 
 
 def stream_daily_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,6 +320,31 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole
 
 
+def stream_reseed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the log with one query, the rest with a new one that the ledger seeds.
+
+    The second query has a checkpoint of its own and counts its batches from 0; the results
+    hold both.
+    """
+    folder = new_folder(spark, "reseed")
+    report, dimension = jobs.AllOrdersReport(), fixtures.provinces(spark, sf_dir)
+    landed, files_per_batch = fixtures.land(spark, sf_dir)
+    half = (spark.read.parquet(landed).agg(F.max("offset")).first()[0] or 0) // 2
+    stream = landed_messages(spark, landed, files_per_batch)
+    held = stream.filter(F.col("offset") < half)
+    jobs.start_report(report, held, dimension, folder, interval=None).awaitTermination()
+    saved = jobs.saved_positions(spark, report, folder)
+    rest = (
+        stream.join(saved, ["topic", "partition"], "left")
+        .filter("offset >= coalesce(saved_offset, 0)")
+        .select(*stream.columns)
+    )
+    jobs.start_report(
+        report, rest, dimension, folder, interval=None, checkpoint=f"{folder}/second"
+    ).awaitTermination()
+    return report.views(spark, folder)["global_overview"]
+
+
 class _Interrupted(RuntimeError):
     """Raised by ``stream_restart_resume`` to break its own query."""
 
@@ -314,23 +357,21 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = new_folder(spark, "restart")
     failures = metrics.failures_weekday_hour_province(_notify_province_stream(spark, sf_dir))
-    write = running.folder_sink(f"{folder}/rows")
+    write = running.folder_sink(folder)
 
     def write_then_break(rows: DataFrame, batch_id: int) -> None:
         write(rows, batch_id)
         if batch_id == 1:
             raise _Interrupted("stopped between write and commit")
 
-    run = partial(
-        run_to_end, failures, checkpoint=f"{folder}/checkpoint", mode="update", few_keys=True
-    )
+    run = partial(run_to_end, failures, checkpoint=f"{folder}/checkpoint", mode="update")
     try:
         run(write_then_break)
     except Exception as stopped:
         if "stopped between write and commit" not in str(stopped):
             raise
     run(write)
-    history = batches.read_batches(spark, f"{folder}/rows")
+    history = batches.read_batches(spark, folder)
     return batches.newest_per_key(history, "weekday", "hour", "province")
 
 
@@ -358,6 +399,23 @@ def sink_additive_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.daily_rates(batches.counter_sums(history, "day"))
 
 
+def sink_compacted_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report folded while it runs, with a batch delivered again before and after folding."""
+    folder = new_folder(spark, "compacted")
+    report, dimension = jobs.NotifyReport(), fixtures.provinces(spark, sf_dir)
+
+    def on_batch(rows: DataFrame, batch_id: int) -> None:
+        jobs.write_increments(report, rows, dimension, folder, batch_id)
+        if batch_id == 2:
+            jobs.write_increments(report, rows, dimension, folder, batch_id)
+            jobs.fold_report(spark, report, folder)
+            jobs.write_increments(report, rows, dimension, folder, batch_id)
+
+    run_to_end(_stream(spark, sf_dir), on_batch, f"{folder}/checkpoint")
+    jobs.fold_report(spark, report, folder)
+    return report.views(spark, folder)["daily_overview"]
+
+
 def sink_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running failures appended by every batch; the last row per key is returned."""
     failures = metrics.failures_province_hour(_all_province_stream(spark, sf_dir))
@@ -414,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "parse_orders": parse_orders,
     "notify_orders": notify_orders,
     "rejected_orders": rejected_orders,
+    "daily_rejected": daily_rejected,
+    "daily_unknown_codes": daily_unknown_codes,
     "province_dimension": province_dimension,
     "offline_orders_scan": offline_orders_scan,
     "province_lookup": province_lookup,
@@ -421,25 +481,25 @@ QUERIES: dict[str, Query] = {
     "order_time_keys": order_time_keys,
     "order_durations": order_durations,
     "failures_weekday_hour_province": _over(
-        _notify_province_facts, metrics.failures_weekday_hour_province
+        _province_facts(_NOTIFY, "weekday", "hour"), metrics.failures_weekday_hour_province
     ),
     "weekday_hour_volume": weekday_hour_volume,
-    "top10_province_orders": _over(_notify_province_facts, leaders.top_provinces_by_orders),
+    "top10_province_orders": _over(_province_facts(_NOTIFY), leaders.top_provinces_by_orders),
     "province_day_throughput_literal": _over(
-        _notify_province_facts, metrics.province_day_throughput_literal
+        _province_facts(_NOTIFY, "day"), metrics.province_day_throughput_literal
     ),
     "province_minute_volume": province_minute_volume,
     "province_hour_volume": province_hour_volume,
-    "global_overview": _over(_all_province_facts, metrics.global_overview),
-    "failures_province_hour": _over(_all_province_facts, metrics.failures_province_hour),
-    "province_orders": _over(_all_province_facts, metrics.province_orders),
-    "province_successes": _over(_all_province_facts, metrics.province_successes),
-    "province_success_join": _over(_all_province_facts, metrics.province_success_join),
+    "global_overview": _over(_province_facts(_ALL), metrics.global_overview),
+    "failures_province_hour": _over(_province_facts(_ALL, "hour"), metrics.failures_province_hour),
+    "province_orders": _over(_province_facts(_ALL), metrics.province_orders),
+    "province_successes": _over(_province_facts(_ALL), metrics.province_successes),
+    "province_success_join": _over(_province_facts(_ALL), metrics.province_success_join),
     "top10_province_success": top10_province_success,
     "bottom10_province_success": bottom10_province_success,
-    "hourly_success_volume": _over(_all_province_facts, metrics.hourly_success_volume),
+    "hourly_success_volume": _over(_province_facts(_ALL, "hour"), metrics.hourly_success_volume),
     "province_minute_of_day_success": _over(
-        _all_province_facts, metrics.province_minute_of_day_success
+        _province_facts(_ALL, "hour", "minute"), metrics.province_minute_of_day_success
     ),
     "province_failure_rate": _from_daily_report("province_failure_rate"),
     "daily_province_failures": _from_daily_report("daily_province_failures"),
@@ -450,6 +510,8 @@ QUERIES: dict[str, Query] = {
     "stream_weekday_hour_update": stream_weekday_hour_update,
     "stream_province_day_volume": stream_province_day_volume,
     "stream_province_hour_windows": stream_province_hour_windows,
+    "stream_province_minute_windows": stream_province_minute_windows,
+    "stream_reseed": stream_reseed,
     "stream_hourly_complete": stream_hourly_complete,
     "stream_top10_complete": stream_top10_complete,
     "stream_daily_overview": stream_daily_overview,
@@ -457,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "stream_restart_resume": stream_restart_resume,
     "sink_keyed_upsert": sink_keyed_upsert,
     "sink_additive_counters": sink_additive_counters,
+    "sink_compacted_views": sink_compacted_views,
     "sink_append_history": sink_append_history,
     "offset_ranges": offset_ranges,
     "offset_ledger_latest": offset_ledger_latest,

@@ -58,6 +58,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("partition", T.IntegerType()),
         T.StructField("from_offset", T.LongType()),
         T.StructField("until_offset", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 

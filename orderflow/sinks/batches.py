@@ -1,48 +1,152 @@
-"""Batch-wise result tables.
+"""Results of micro-batches, published batch by batch.
 
-Each micro-batch owns one folder, ``batch_id=N``, and replaces it whole. A batch
-that is delivered again after a failure therefore changes nothing, which is what
-appends, keyed upserts and additive counters all need. What they differ in is the
-view taken over the batches.
+A batch writes all its results at once, as one long table, into a folder of its own attempt, and
+then appends one row to the manifest. Readers see the attempts that the manifest names, so a batch
+becomes visible whole or not at all, and one delivered again replaces its first attempt.
+
+A *run* is a streaming query with its checkpoint. A new query counts its batches from 0 again;
+they stand next to those of older runs, behind them in order.
+
+Folding sums up finished batches into one folder for each fold, by the rule of each result. The newest
+batch of a run stays out, because a restart may deliver it again; older ones that come again
+are ignored.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
+import time
+import uuid
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.sources.tables import JdbcTable
 
-
-def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-
-def write_batches(results: dict[str, DataFrame], folder: str, batch_id: int) -> None:
-    """Write several results of one batch side by side.
-
-    Each is small, so one after the other would leave most of a cluster idle.
-    """
-    with ThreadPoolExecutor(max_workers=len(results)) as pool:
-        writes = [
-            pool.submit(
-                inheritable_thread_target(rows.sparkSession)(write_batch),
-                rows,
-                f"{folder}/{name}",
-                batch_id,
-            )
-            for name, rows in results.items()
-        ]
-        for write in writes:
-            write.result()
-
-
-def read_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Every row ever written, with the ``batch_id`` it came from."""
-    return spark.read.parquet(folder).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+MANIFEST = "fold bigint, run string, batch bigint, attempt string, at bigint, results string, covers string"
+#: Order of batches over runs: tenths of a second at the run's begin, then the batch.
+BATCHES_PER_RUN = 1 << 28
+_PLACES = {"result", "run", "batch", "attempt", "fold"}
+
+
+@dataclass
+class Published:
+    """What the manifest says: the newest fold and the batches behind it."""
+
+    fold: int = 0
+    covers: dict[str, int] = field(default_factory=dict)  # last folded batch of each run
+    begun: dict[str, int] = field(default_factory=dict)
+    live: dict[tuple[str, int], str] = field(default_factory=dict)
+    results: dict[str, str] = field(default_factory=dict)  # schema of each result
+
+    def order(self, run: str, batch: int) -> int:
+        return self.begun[run] * BATCHES_PER_RUN + batch
+
+
+def current_run(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch this is; it stays with the checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def _append(spark: SparkSession, folder: str, rows: list[tuple]) -> None:
+    table = spark.createDataFrame(rows, MANIFEST).coalesce(1)
+    table.write.mode("append").partitionBy("fold").json(f"{folder}/manifest")
+
+
+def published(spark: SparkSession, folder: str) -> Published:
+    """Read the manifest: one row a fold, and one a batch since the newest fold."""
+    state = Published()
+    try:
+        manifest = spark.read.schema(MANIFEST).json(f"{folder}/manifest")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return state
+    state.fold = manifest.agg(F.max("fold")).first()[0] or 0
+    for row in manifest.where(F.col("fold") == state.fold).orderBy("at").collect():
+        state.results |= json.loads(row["results"] or "{}")
+        if row["covers"]:
+            kept = json.loads(row["covers"])
+            state.covers, state.begun = kept["covers"], {**kept["begun"], **state.begun}
+            continue
+        state.begun.setdefault(row["run"], row["at"] // 100)
+        state.live[row["run"], row["batch"]] = row["attempt"]
+    state.live = {k: v for k, v in state.live.items() if k[1] > state.covers.get(k[0], -1)}
+    return state
+
+
+def _together(results: dict[str, DataFrame]) -> DataFrame:
+    """Results as one table with a column for each name; a name has one type."""
+    kinds: dict[str, str] = {}
+    for name, rows in results.items():
+        for column, kind in rows.dtypes:
+            if column in _PLACES:
+                raise ValueError(f"{name}: a result can't have a column {column}")
+            if kinds.setdefault(column, kind) != kind:
+                raise ValueError(f"{name}: {column} is {kind} here and {kinds[column]} elsewhere")
+    marked = [rows.withColumn("result", F.lit(name)) for name, rows in results.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+
+
+def publish(results: dict[str, DataFrame], folder: str, batch_id: int, run: str | None = None) -> None:
+    """Write a batch's results in one job and make them visible."""
+    spark = next(iter(results.values())).sparkSession
+    run = run or current_run(spark)
+    attempt = uuid.uuid4().hex
+    rows = _together(results)
+    rows.write.partitionBy("result").parquet(f"{folder}/data/run={run}/batch={batch_id}/attempt={attempt}")
+    schemas = json.dumps({name: frame.schema.json() for name, frame in results.items()})
+    state = published(spark, folder)
+    _append(spark, folder, [(state.fold, run, batch_id, attempt, time.time_ns() // 1_000_000, schemas, None)])
+
+
+def write_batch(rows: DataFrame, folder: str, batch_id: int, run: str | None = None) -> None:
+    publish({"rows": rows}, folder, batch_id, run)
+
+
+def _read(spark: SparkSession, state: Published, name: str, folder: str, only: dict | None = None) -> DataFrame:
+    """Rows of a result in the newest fold and in live batches (``only`` some of them)."""
+    if name not in state.results:
+        raise ValueError(f"no batch has published {name} in {folder}")
+    schema = T.StructType.fromJson(json.loads(state.results[name]))
+    ordered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    parts = []
+    live = state.live if only is None else only
+    if live:
+        paths = [f"{folder}/data/run={r}/batch={b}/attempt={a}" for (r, b), a in live.items()]
+        places = T.StructType([T.StructField(c, T.LongType() if c == "batch" else T.StringType()) for c in ("result", "run", "batch")])
+        rows = (
+            spark.read.option("basePath", f"{folder}/data").schema(T.StructType([*schema.fields, *places.fields])).parquet(*paths)
+        )
+        begun = F.create_map(*[F.lit(x) for r in {r for r, _ in live} for x in (r, state.begun[r])])
+        order = begun[F.col("run")] * BATCHES_PER_RUN + F.col("batch")
+        parts.append(rows.where(F.col("result") == name).withColumn("batch_id", order).drop(*places.names, "attempt"))
+    if state.fold:
+        marked = T.StructType([*ordered.fields, T.StructField("result", T.StringType())])
+        folded = spark.read.schema(marked).parquet(f"{folder}/folded/{state.fold}")
+        parts.append(folded.where(F.col("result") == name).drop("result"))
+    if not parts:
+        return spark.createDataFrame([], ordered)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_batches(spark: SparkSession, folder: str, name: str = "rows") -> DataFrame:
+    """Every published row, with ``batch_id``, the order of its batch over all runs."""
+    return _read(spark, published(spark, folder), name, folder)
+
+
+def newest_snapshot(spark: SparkSession, folder: str, name: str = "rows") -> DataFrame:
+    """All rows of the last batch, for results that are written whole each time."""
+    state = published(spark, folder)
+    last = max(state.live, key=lambda k: state.order(*k), default=None)
+    # The newest batch of the newest run is never folded.
+    only = {last: state.live[last]} if last else {}
+    state.fold = 0
+    return _read(spark, state, name, folder, only).drop("batch_id")
 
 
 def newest_per_key(history: DataFrame, *keys: str) -> DataFrame:
@@ -61,10 +165,49 @@ def counter_sums(history: DataFrame, *keys: str) -> DataFrame:
     return history.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counters])
 
 
-def newest_snapshot(history: DataFrame) -> DataFrame:
-    """All rows of the last batch, for results that are written whole each time."""
-    last = history.agg(F.max("batch_id").alias("batch_id"))
-    return history.join(last, "batch_id").drop("batch_id")
+@dataclass(frozen=True)
+class Fold:
+    """How finished batches of a result become fewer rows: ``sum``, ``newest``, ``last`` or ``all``."""
+
+    rule: str
+    keys: tuple[str, ...] = ()
+
+    def apply(self, history: DataFrame) -> DataFrame:
+        if self.rule == "sum":
+            sums = [F.sum(c).alias(c) for c in history.columns if c not in (*self.keys, "batch_id")]
+            return history.groupBy(*self.keys).agg(*sums, F.max("batch_id").alias("batch_id"))
+        if self.rule == "newest":
+            values = [c for c in history.columns if c not in (*self.keys, "batch_id")]
+            newest = [F.max_by(c, "batch_id").alias(c) for c in values]
+            return history.groupBy(*self.keys).agg(*newest, F.max("batch_id").alias("batch_id"))
+        if self.rule == "last":
+            return history.limit(0)
+        return history
+
+
+def fold(spark: SparkSession, folder: str, rules: dict[str, Fold], at_least: int = 1) -> bool:
+    """Fold all batches but the newest of each run, if there are ``at_least`` so many.
+
+    Results without a rule keep all their rows. The old folders stay for readers that still use them.
+    """
+    state = published(spark, folder)
+    newest: dict[str, int] = {}
+    for run, batch in state.live:
+        newest[run] = max(batch, newest.get(run, -1))
+    done = {k: v for k, v in state.live.items() if k[1] < newest[k[0]]}
+    if len(done) < at_least:
+        return False
+    folded = {name: rules.get(name, Fold("all")).apply(_read(spark, state, name, folder, done)) for name in state.results}
+    number = state.fold + 1
+    # An attempt to fold that broke off leaves a folder that no manifest names.
+    _together(folded).write.mode("overwrite").partitionBy("result").parquet(f"{folder}/folded/{number}")
+    covers = {**state.covers, **{r: max(b for x, b in done if x == r) for r, _ in done}}
+    summary = json.dumps({"covers": covers, "begun": state.begun})
+    schemas = json.dumps(state.results)
+    rows = [(number, None, None, None, 0, schemas, summary)]
+    rows += [(number, r, b, a, state.begun[r] * 100, None, None) for (r, b), a in state.live.items() if (r, b) not in done]
+    _append(spark, folder, rows)
+    return True
 
 
 def with_row_key(rows: DataFrame, *keys: str) -> DataFrame:

@@ -19,6 +19,7 @@ PARTITIONS = 3
 BATCH_ROWS = 1000  # messages per batch in the ledger
 RETAINED_FROM = "2024-01-30"  # the log has dropped older messages
 MAIN_GROUP = "reporting"
+REWIND = 700
 BEHIND_GROUP = "auditing"  # always one batch behind
 
 # Messages numbered in one window task; ids are unique, so no group is larger.
@@ -107,11 +108,17 @@ def with_offsets(placed: DataFrame, block: int = NUMBERING_BLOCK) -> DataFrame:
 def ledger(ranges: DataFrame) -> DataFrame:
     """Saved offsets of two groups, from ranges per batch.
 
-    The main group saves the end of each batch, the other one its start.
+    The main group saves the end of each batch, the other one its start. Every fifth save goes back
+    by ``REWIND`` messages.
     """
+
+    def saved(name: str) -> Column:
+        back = F.greatest(F.lit(0), F.col(name) - REWIND)
+        return F.when(F.col("batch_id") % 5 == 4, back).otherwise(F.col(name)).alias("until_offset")
+
     groups = F.array(
-        F.struct(F.lit(MAIN_GROUP).alias("grp"), F.col("until_offset").alias("until_offset")),
-        F.struct(F.lit(BEHIND_GROUP).alias("grp"), F.col("from_offset").alias("until_offset")),
+        F.struct(F.lit(MAIN_GROUP).alias("grp"), saved("until_offset")),
+        F.struct(F.lit(BEHIND_GROUP).alias("grp"), saved("from_offset")),
     )
     return ranges.select("batch_id", "topic", "partition", F.inline(groups))
 
@@ -126,24 +133,26 @@ def earliest_offsets(held: DataFrame) -> DataFrame:
     return held.groupBy("topic", "partition").agg(F.min("offset").alias("earliest_offset"))
 
 
-# Landed copies of this process: (application, input) -> (folder, files per batch).
-_landed: dict[tuple[str, str], tuple[str, int]] = {}
-
-
-def land(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[str, int]:
+def land(
+    spark: SparkSession, sf_dir: str, batches: int = 4, order: str = "event_id"
+) -> tuple[str, int]:
     """Write the records as files for a stream; returns folder and files per batch.
 
-    Written once per application and input. The file count follows the input, so
-    a batch of a large input is many files.
+    Files of a later batch hold later records, by event id or ``ts``, as a broker delivers them.
+    Their number follows the input, so a batch of a large input is many files.
     """
-    source = (spark.sparkContext.applicationId, sf_dir)
-    if source not in _landed:
-        files = max(batches, scan_splits(_events_as_stored(spark, sf_dir)))
-        folder = new_folder(spark, "landed")
-        placed = _placed_events(spark, sf_dir, NUMBERING_BLOCK).repartition(files, "event_id")
-        _as_messages(placed, "topic", "partition", "offset").write.parquet(folder)
-        _landed[source] = (folder, -(-files // batches))
-    return _landed[source]
+    stored = _events_as_stored(spark, sf_dir)
+    files = -(-max(batches, scan_splits(stored)) // batches)
+    folder = new_folder(spark, "landed")
+    placed = _placed_events(spark, sf_dir, NUMBERING_BLOCK)
+    first, last = stored.agg(F.min(order), F.max(order)).first()
+    cuts = [first + (last - first) * k / batches for k in range(1, batches)] if first is not None else []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = placed if low is None else placed.filter(F.col(order) >= F.lit(low))
+        part = part if high is None else part.filter(F.col(order) < F.lit(high))
+        rows = _as_messages(part.repartition(files, "event_id"), "topic", "partition", "offset")
+        rows.write.mode("append").parquet(folder)
+    return folder, files
 
 
 def _topic() -> Column:
@@ -156,7 +165,11 @@ def _partition() -> Column:
 
 
 def _as_messages(rows: DataFrame, *places: str) -> DataFrame:
-    """Key and text per event; every 997th text is cut in the middle: malformed."""
+    """Key and text per event.
+
+    By ``event_id`` modulo 997: 0 is cut in the middle; 1 lacks the result, 2 has no number as fee, 3
+    no real start day, 4 no end time; 5 to 7 of the other service pad the result with a tab.
+    """
     key = F.col("event_id").cast("string").alias("key")
     cut = "IF(event_id % 997 = 0, left(value, CAST(length(value) div 2 AS INT)), value)"
     whole = rows.select("event_id", key, _text(), *places)
@@ -166,15 +179,20 @@ def _as_messages(rows: DataFrame, *places: str) -> DataFrame:
 def _text() -> Column:
     return F.expr(
         f"""to_json(named_struct(
-          '{S.REQUEST_ID}', date_format(ts, 'yyyyMMddHHmmssSSS')
+          '{S.REQUEST_ID}', IF(event_id % 997 = 3, '20240231', date_format(ts, 'yyyyMMdd'))
+            || date_format(ts, 'HHmmssSSS')
             || lpad(CAST(event_id AS STRING), greatest(8, length(event_id)), '0'),
-          '{S.NOTIFY_TIME}', CASE WHEN event_id % 10 <> 0 THEN date_format(
+          '{S.NOTIFY_TIME}', CASE WHEN event_id % 997 = 4 THEN 'soon'
+            WHEN event_id % 10 <> 0 THEN date_format(
             timestampadd(MILLISECOND, CAST(event_id * 37 % 5000 AS INT), ts),
             'yyyyMMddHHmmssSSS') END,
           '{S.PROVINCE_CODE}',
             CAST(try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) % 27 AS STRING),
-          '{S.RESULT}', CASE WHEN event_type = 'error' THEN '1001' ELSE '{S.SUCCESS_CODE}' END,
-          '{S.FEE}', CAST(CAST(round(value * 100) AS BIGINT) AS STRING),
+          '{S.RESULT}', CASE WHEN event_id % 997 = 1 THEN NULL
+            WHEN event_type = 'error' THEN '1001'
+            WHEN event_type = 'view' AND event_id % 997 BETWEEN 5 AND 7 THEN '{S.SUCCESS_CODE}\\t'
+            ELSE '{S.SUCCESS_CODE}' END,
+          '{S.FEE}', IF(event_id % 997 = 2, '12x', CAST(CAST(round(value * 100) AS BIGINT) AS STRING)),
           '{S.SERVICE}', CASE WHEN event_type = 'view' THEN 'reChargeReq'
             ELSE '{S.NOTIFY_SERVICE}' END))"""
     ).alias("value")

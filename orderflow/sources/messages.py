@@ -13,18 +13,20 @@ def kafka_options(
     topics: list[str],
     starting_offsets: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Options of the Kafka source.
 
     ``starting_offsets`` is the JSON of ``offsets.starting_offsets_json``; without
     it reading starts at the earliest offset. Once a stream has a checkpoint, the
-    checkpoint decides where it goes on.
+    checkpoint decides where it goes on. Messages that the broker has dropped unread
+    stop the query unless ``fail_on_data_loss`` is false.
     """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting_offsets or "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

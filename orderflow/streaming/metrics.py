@@ -16,48 +16,51 @@ from orderflow.streaming.run import run_to_end
 Sink = Callable[[DataFrame, int], None]
 
 
-def folder_sink(folder: str, deliveries: int = 1, one_file: bool = False) -> Sink:
-    """Write each batch to ``folder``; more deliveries act out a replay.
+ROWS_PER_FILE = 1_000_000
 
-    ``one_file`` is for results of few keys: their state is spread over several
-    partitions, which would leave as many tiny files in every batch.
+
+def folder_sink(folder: str, deliveries: int = 1) -> Sink:
+    """Publish each batch to ``folder``; more deliveries act out a replay.
+
+    The batch is computed once and counted, and written to as many files as its size needs: the
+    partitions of a state store would leave a tiny file each.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        out = rows.repartition(1) if one_file else rows
-        for _ in range(deliveries):
-            batches.write_batch(out, folder, batch_id)
+        kept = rows.persist()
+        try:
+            out = kept.coalesce(-(-kept.count() // ROWS_PER_FILE) or 1)
+            for _ in range(deliveries):
+                batches.write_batch(out, folder, batch_id)
+        finally:
+            kept.unpersist()
 
     return write
 
 
 def touched_keys(
-    spark: SparkSession, running: DataFrame, folder: str, few_keys: bool = True, deliveries: int = 1
+    spark: SparkSession,
+    running: DataFrame,
+    folder: str,
+    state_partitions: int | None = None,
+    deliveries: int = 1,
 ) -> DataFrame:
     """Running sums whose batches hold only the keys that changed.
 
     Returns the history: every row a batch has written.
     """
     run_to_end(
-        running,
-        folder_sink(f"{folder}/rows", deliveries, one_file=few_keys),
-        f"{folder}/checkpoint",
-        mode="update",
-        few_keys=few_keys,
+        running, folder_sink(folder, deliveries), f"{folder}/checkpoint", "update", state_partitions
     )
-    return batches.read_batches(spark, f"{folder}/rows")
+    return batches.read_batches(spark, folder)
 
 
-def all_keys(spark: SparkSession, running: DataFrame, folder: str) -> DataFrame:
-    """Running sums of few keys whose batches hold every key. Returns the history."""
-    run_to_end(
-        running,
-        folder_sink(f"{folder}/rows", one_file=True),
-        f"{folder}/checkpoint",
-        mode="complete",
-        few_keys=True,
-    )
-    return batches.read_batches(spark, f"{folder}/rows")
+def all_keys(
+    spark: SparkSession, running: DataFrame, folder: str, state_partitions: int | None = None
+) -> DataFrame:
+    """Running sums of bounded keys whose batches hold every key. Returns the last batch."""
+    run_to_end(running, folder_sink(folder), f"{folder}/checkpoint", "complete", state_partitions)
+    return batches.newest_snapshot(spark, folder)
 
 
 def increments(
@@ -68,6 +71,6 @@ def increments(
     deliveries: int = 1,
 ) -> DataFrame:
     """What each batch adds on its own, with no state. Returns the history."""
-    write = folder_sink(f"{folder}/rows", deliveries)
+    write = folder_sink(folder, deliveries)
     run_to_end(stream, lambda rows, n: write(per_batch(rows), n), f"{folder}/checkpoint")
-    return batches.read_batches(spark, f"{folder}/rows")
+    return batches.read_batches(spark, folder)

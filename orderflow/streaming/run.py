@@ -9,10 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderflow.session import settings
 
-# Partitions of a state store with few keys (hours, weekdays, days, provinces). Partial
-# aggregation leaves at most one row per key and task, whatever the input size.
-FEW_KEYS_PARTITIONS = 32
-
 OnBatch = Callable[[DataFrame, int], None]
 
 
@@ -22,17 +18,17 @@ def start(
     checkpoint: str,
     mode: str = "append",
     interval: str | None = None,
-    few_keys: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that hands every micro-batch to ``on_batch``.
 
     With an ``interval`` the query runs on until stopped; without one it takes
     what is there now, in as many batches as the source's limits make of it.
+    ``state_partitions`` is for state whose keys are bounded (weekdays, hours); it
+    holds for the life of the checkpoint, and is the session's setting if left out.
     """
     spark = stream.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if few_keys:
-        partitions = min(partitions, FEW_KEYS_PARTITIONS)
+    partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -52,10 +48,10 @@ def run_to_end(
     on_batch: OnBatch,
     checkpoint: str,
     mode: str = "append",
-    few_keys: bool = False,
+    state_partitions: int | None = None,
 ) -> None:
     """Process all that is available and wait for it."""
-    start(stream, on_batch, checkpoint, mode, few_keys=few_keys).awaitTermination()
+    start(stream, on_batch, checkpoint, mode, state_partitions=state_partitions).awaitTermination()
 
 
 def to_console(stream: DataFrame, mode: str = "update", rows: int = 20) -> StreamingQuery:

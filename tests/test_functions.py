@@ -61,12 +61,6 @@ def test_strict_int(spark, text, expected):
     assert value(spark, numbers.strict_int(F.lit(text))) == expected
 
 
-def test_counters(spark):
-    rows = spark.createDataFrame([(True,), (False,), (None,)], "ok boolean")
-    assert rows.select(numbers.count_where(F.col("ok")).alias("v")).first()["v"] == 1
-    assert value(spark, numbers.or_zero(F.lit(None).cast("int"))) == 0
-
-
 def test_text_words_and_keys(spark):
     line = F.lit("311 NAME more")
     assert value(spark, texts.word(line, 0)) == "311"

@@ -5,6 +5,8 @@ import pytest
 from builders import as_set, dimension, message, messages
 from test_streaming import NAMES, land, order
 
+from pyspark.sql import functions as F
+
 from orderflow import __main__ as cli
 from orderflow import schema as S
 from orderflow.operators import leaders, lookup, metrics, prepare
@@ -57,9 +59,9 @@ def test_notify_report_equals_the_batch(spark, landed, tmp_path):
     # The last batch had no order of the north, so its row stays as it was.
     assert as_set(views["top10_of_last_batches"]) == {("North", 1, 0.0), ("South", 2, 1.0)}
     assert as_set(
-        batches.counter_sums(batches.read_batches(spark, f"{out}/unknown_codes"), "province_code")
+        batches.counter_sums(batches.read_batches(spark, out, "unknown_codes"), "province_code")
     ) == {("9", 1), ("8", 1)}
-    rejected = batches.read_batches(spark, f"{out}/rejected").select("value", "reason")
+    rejected = batches.read_batches(spark, out, "rejected").select("value", "reason")
     assert as_set(rejected) == {
         ("nope", "unreadable"),
         (message(**{S.FEE: "x"}), "bad_fee"),
@@ -87,19 +89,17 @@ def test_a_report_survives_a_break_in_the_middle_of_a_batch(
 ):
     out = str(tmp_path / "out")
     report = jobs.NotifyReport()
-    whole = batches.write_batches
+    whole = batches._append
 
-    def breaking(results, folder, batch_id):
-        if batch_id == 1:
-            some = dict(list(results.items())[:4])
-            whole(some, folder, batch_id)
+    def breaking(spark, folder, rows):
+        if rows[0][2] == 1:
             raise RuntimeError("lost the driver")
-        whole(results, folder, batch_id)
+        whole(spark, folder, rows)
 
-    monkeypatch.setattr(batches, "write_batches", breaking)
+    monkeypatch.setattr(batches, "_append", breaking)
     with pytest.raises(Exception, match="lost the driver"):
         run(spark, report, landed, out)
-    monkeypatch.setattr(batches, "write_batches", whole)
+    monkeypatch.setattr(batches, "_append", whole)
     run(spark, report, landed, out)
     facts = batch_facts(spark, S.NOTIFY_RULES)
     views = report.views(spark, out)
@@ -120,7 +120,8 @@ def test_the_ledger_of_a_report_seeds_a_new_query(spark, landed, tmp_path):
 
 def test_daily_report(spark):
     texts = [order("1", 0), order("1", 1, "1001"), order("2", 1, "1"), order("9", 1, "1"), "nope"]
-    facts = jobs.daily_facts(messages(spark, *texts), dimension(spark, NAMES))
+    results = prepare.parse_day_results(messages(spark, *texts))
+    facts = jobs.daily_facts(results, dimension(spark, NAMES))
     views = jobs.daily_results(facts)
     assert as_set(views["daily_province_failures"]) == {
         ("20240101", "North", 1, 2, 0.5),
@@ -141,13 +142,18 @@ def test_command_line(spark, landed, tmp_path):
         cli.run(
             spark, cli.arguments([*daily, "--run", run_id, "--out", str(tmp_path / "daily")])
         )
-    top = batches.read_batches(spark, str(tmp_path / "daily/top3_failures"))
+    read = lambda name: batches.read_batches(spark, str(tmp_path / "daily"), name).withColumn(
+        "batch_id", F.col("batch_id") % batches.BATCHES_PER_RUN
+    )
+    top = read("top3_failures")
     assert top.count() == 4
     assert as_set(top.filter("batch_id = 20240103").select("day", "province", "failures")) == {
         ("20240101", "North", 1),
         ("20240101", "South", 0),
     }
-    rates = batches.read_batches(spark, str(tmp_path / "daily/province_failure_rate"))
+    rejected = read("rejected").filter("batch_id = 20240103").select("value", "reason")
+    assert as_set(rejected) == {("nope", "unreadable")}
+    rates = read("province_failure_rate")
     assert as_set(rates.filter("batch_id = 20240103").drop("batch_id")) == {
         ("North", 1, 2, 0.5),
         ("South", 0, 1, 0.0),
@@ -167,3 +173,39 @@ def test_minutes_of_a_report_are_timestamps(spark, landed, tmp_path):
     assert minutes.filter("province = 'South'").agg({"minute_start": "max"}).first()[
         0
     ] == dt.datetime(2024, 1, 2, 6)
+
+
+def test_a_new_query_adds_to_the_old_results(spark, tmp_path):
+    first, second, out = (str(tmp_path / name) for name in ("first", "second", "out"))
+    land(spark, first, [order("1", 0)] * 5)
+    land(spark, second, [order("2", 1)] * 3)
+    report, names = jobs.AllOrdersReport(), dimension(spark, NAMES)
+    for folder in (first, second):
+        stream = landed_messages(spark, folder, 1)
+        jobs.start_report(
+            report, stream, names, out, interval=None, checkpoint=f"{out}/of-{folder[-6:].strip('/')}"
+        ).awaitTermination()
+    views = report.views(spark, out)
+    assert views["global_overview"].first()["orders"] == 8
+    assert as_set(views["top10_of_every_batch"].select("province", "orders")) == {("North", 5), ("South", 3)}
+
+
+def test_reports_fold_while_they_run(spark, landed, tmp_path):
+    out = str(tmp_path / "out")
+    report = jobs.NotifyReport()
+    stream = landed_messages(spark, landed, 1)
+    jobs.start_report(report, stream, dimension(spark, NAMES), out, interval=None, fold_every=2).awaitTermination()
+    assert batches.published(spark, out).fold == 1
+    facts = batch_facts(spark, S.NOTIFY_RULES)
+    assert as_set(report.views(spark, out)["daily_overview"]) == as_set(metrics.daily_overview(facts))
+
+
+def test_every_message_of_the_daily_report_is_accounted_for(spark, tmp_path):
+    texts = [order("1", 0), order("9", 0), "nope", message(**{S.REQUEST_ID: "abcdefghij"}), message(**{S.REQUEST_ID: "  20240101"})]
+    out = str(tmp_path)
+    jobs.write_daily_report(messages(spark, *texts), dimension(spark, NAMES), out, 1)
+    read = lambda name: batches.read_batches(spark, out, name)
+    counted = read("daily_province_failures").agg(F.sum("orders")).first()[0]
+    unknown = read("unknown_codes").agg(F.sum("orders")).first()[0]
+    assert counted + unknown + read("rejected").count() == len(texts)
+    assert {r.reason for r in read("rejected").collect()} == {"unreadable", "bad_day"}

@@ -19,21 +19,12 @@ def test_left_keeps_and_inner_drops_unknown_codes(spark):
     assert (left.count(), inner.count()) == (6, 4)
 
 
-def test_a_large_dimension_gives_the_same_rows_without_broadcast(spark):
-    names = dimension(spark, {"1": "North", "2": "South"})
+def test_sums_and_orders_get_the_same_provinces(spark):
+    names = dimension(spark, {"1": "North", "2": "South", "3": "North"})
     for how in ("left", "inner"):
-        small = lookup.attach_province(orders(spark), names, how, broadcast=True)
-        large = lookup.attach_province(orders(spark), names, how, broadcast=False)
-        same = large.select(*small.columns)
-        assert sorted(map(str, same.collect())) == sorted(map(str, small.collect()))
-
-
-def test_dimension_size_is_measured(spark):
-    names = dimension(spark, {str(i): "x" * 10 for i in range(100)})
-    assert lookup.fits_broadcast(names)
-    assert not lookup.fits_broadcast(names, max_rows=99)
-    assert not lookup.fits_broadcast(names, max_bytes=500)
-    assert lookup.fits_broadcast(names.limit(0))
+        single = lookup.attach_province(orders(spark), names, how).groupBy("province").count()
+        sums = lookup.provinces_of_sums(orders(spark).groupBy("province_code").count(), names, how)
+        assert as_set(single) == as_set(sums.groupBy("province").sum("count"))
 
 
 def test_unknown_codes_are_counted(spark):

@@ -27,14 +27,14 @@ def test_ranges_per_partition(spark):
     }
 
 
-def test_newest_saved_offset_by_real_partition(spark):
+def test_last_save_by_partition_even_after_a_rewind(spark):
     ledger = spark.createDataFrame(
-        [("g", "t", 0, 0, 5), ("g", "t", 0, 5, 9), ("g", "t", 3, 0, 2), ("g", "u", 0, 0, 1)]
-        + [("other", "t", 0, 0, 99)],
+        [("g", "t", 0, 0, 5, 1), ("g", "t", 0, 5, 9, 2), ("g", "t", 3, 0, 2, 1), ("g", "u", 0, 0, 1, 1)]
+        + [("g", "t", 4, 0, 500, 1), ("g", "t", 4, 0, 20, 2), ("other", "t", 0, 0, 99, 9)],
         S.LEDGER_SCHEMA,
     )
-    assert as_set(offsets.saved_offsets(ledger, "g", "t")) == {("t", 0, 9), ("t", 3, 2)}
-    assert as_set(offsets.saved_offsets(ledger, "g")) == {("t", 0, 9), ("t", 3, 2), ("u", 0, 1)}
+    assert as_set(offsets.saved_offsets(ledger, "g", "t")) == {("t", 0, 9), ("t", 3, 2), ("t", 4, 20)}
+    assert as_set(offsets.saved_offsets(ledger, "g")) == {("t", 0, 9), ("t", 3, 2), ("t", 4, 20), ("u", 0, 1)}
     assert as_set(offsets.saved_offsets(ledger, "nobody")) == set()
 
 
@@ -57,13 +57,8 @@ def test_starting_offsets(spark):
     assert options["subscribe"] == "t,u"
     assert options["maxOffsetsPerTrigger"] == "1000"
     assert kafka_options("h:9092", ["t"])["startingOffsets"] == "earliest"
-
-
-def test_too_many_partitions_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(offsets, "MAX_PARTITIONS", 1)
-    plan = offsets.resume_plan(saved(spark, ("t", 0, 1), ("t", 1, 1)), earliest(spark))
-    with pytest.raises(ValueError, match="more than 1"):
-        offsets.starting_offsets_json(plan)
+    assert kafka_options("h:9092", ["t"])["failOnDataLoss"] == "true"
+    assert kafka_options("h:9092", ["t"], fail_on_data_loss=False)["failOnDataLoss"] == "false"
 
 
 def test_broker_bytes_become_text(spark):

@@ -57,14 +57,22 @@ def test_the_service_filter_runs_before_times_are_parsed(spark, stored):
     assert len(re.findall(r"\*\(1\) (Project|Filter|Generate)", text)) == 5
 
 
-def test_a_small_dimension_is_broadcast_and_a_large_one_salted(spark, stored):
+def test_single_orders_are_salted_for_a_large_dimension(spark, stored):
     orders = prepare.parse_orders(stored, S.ALL_ORDERS_RULES)
     names = fixtures.provinces(spark, SF_DIR)
     assert "BroadcastHashJoin" in plan(lookup.attach_province(orders, names))
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        large = plan(lookup.attach_province(orders, names, broadcast=False))
+        large = plan(lookup.attach_province(orders, names))
     assert re.search(r"hashpartitioning\(province_code#\d+, salt#\d+", large)
-    assert "Broadcast" not in large
+    assert "rand(" not in large
+
+
+def test_metrics_look_provinces_up_after_summing(spark):
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for name in ("failures_province_hour", "province_minute_volume", "top3_failures"):
+            text = plan(QUERIES[name](spark, SF_DIR))
+            assert text.index("Join") < text.rindex("functions=[partial_sum"), name
+            assert "salt" not in text
 
 
 def test_unknown_codes_are_counted_before_the_join(spark, stored):

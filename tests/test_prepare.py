@@ -119,20 +119,20 @@ def test_the_last_of_a_repeated_field_counts(spark):
 def test_daily_results_need_three_fields_only(spark):
     batch = messages(
         spark,
-        message(**{S.FEE: "12x", S.NOTIFY_TIME: "x", S.REQUEST_ID: "20240231"}),
+        message(**{S.FEE: "12x", S.NOTIFY_TIME: "x", S.REQUEST_ID: "20240229"}),
+        message(**{S.REQUEST_ID: "20240231"}),
+        message(**{S.REQUEST_ID: "abcdefghij"}),
         message(**{S.REQUEST_ID: "2024023"}),
         message(**{S.PROVINCE_CODE: ...}),
         "nope",
     )
-    assert as_set(prepare.parse_day_results(batch)) == {("20240231", "100", "0000", True)}
+    assert as_set(prepare.parse_day_results(batch)) == {("20240229", "100", "0000", True)}
 
 
-def test_success_and_failure_filters(spark):
-    orders = prepare.parse_orders(
-        messages(spark, message(), message(**{S.RESULT: "1001"})), S.NOTIFY_RULES
-    )
-    assert [o["result_code"] for o in prepare.successes(orders).collect()] == ["0000"]
-    assert [o["result_code"] for o in prepare.failures(orders).collect()] == ["1001"]
+def test_blanks_are_stripped_up_to_a_space(spark):
+    padded = [message(**{S.RESULT: "0000\t"}), message(**{S.RESULT: "\n0000 \x01"})]
+    orders = prepare.parse_orders(messages(spark, *padded), S.ALL_ORDERS_RULES)
+    assert [o["result_code"] for o in orders.collect()] == ["0000", "0000"]
 
 
 def test_time_keys(spark):

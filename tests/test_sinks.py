@@ -22,14 +22,14 @@ def test_a_batch_delivered_twice_counts_once(spark, tmp_path):
         ("a", 1, 3),
         ("b", 2, 1),
     }
-    assert as_set(batches.newest_snapshot(history)) == {("a", 1, 3), ("b", 2, 1)}
+    assert as_set(batches.newest_snapshot(spark, folder)) == {("a", 1, 3), ("b", 2, 1)}
 
 
 def test_a_replay_may_change_the_rows_of_its_batch(spark, tmp_path):
     folder = str(tmp_path / "t")
     batches.write_batch(rows(spark, ("a", 1, 2), ("b", 1, 2)), folder, 0)
     batches.write_batch(rows(spark, ("a", 1, 7)), folder, 0)
-    assert as_set(batches.read_batches(spark, folder)) == {("a", 1, 7, 0)}
+    assert as_set(batches.read_batches(spark, folder).drop("batch_id")) == {("a", 1, 7)}
 
 
 def test_counters_without_keys(spark, tmp_path):
@@ -58,17 +58,71 @@ def test_batch_ids_order_as_numbers(spark, tmp_path):
 
 def test_several_results_of_one_batch(spark, tmp_path):
     folder = str(tmp_path)
-    batches.write_batches(
-        {"x": rows(spark, ("a", 1, 2)), "y": rows(spark, ("b", 1, 2))}, folder, 4
-    )
-    assert as_set(batches.read_batches(spark, f"{folder}/x")) == {("a", 1, 2, 4)}
-    assert as_set(batches.read_batches(spark, f"{folder}/y")) == {("b", 1, 2, 4)}
+    other = spark.createDataFrame([("b", 1.5)], "province string, rate double")
+    batches.publish({"x": rows(spark, ("a", 1, 2)), "y": other}, folder, 4)
+    assert as_set(batches.read_batches(spark, folder, "x").drop("batch_id")) == {("a", 1, 2)}
+    assert as_set(batches.read_batches(spark, folder, "y").drop("batch_id")) == {("b", 1.5)}
+    with pytest.raises(ValueError, match="no batch"):
+        batches.read_batches(spark, folder, "z")
+
+
+def test_a_column_has_one_type(spark, tmp_path):
+    other = spark.createDataFrame([(1,)], "province int")
+    with pytest.raises(ValueError, match="province"):
+        batches.publish({"x": rows(spark, ("a", 1, 2)), "y": other}, str(tmp_path), 0)
 
 
-def test_a_failing_result_fails_the_batch(spark, tmp_path):
-    bad = rows(spark, ("a", 1, 2)).select(F.raise_error(F.lit("broken")).alias("x"))
+def test_a_failing_result_shows_nothing_of_its_batch(spark, tmp_path):
+    folder = str(tmp_path)
+    batches.publish({"x": rows(spark, ("a", 1, 2))}, folder, 0)
+    bad = rows(spark, ("a", 1, 2)).select(F.raise_error(F.lit("broken")).alias("z"))
     with pytest.raises(Exception, match="broken"):
-        batches.write_batches({"x": rows(spark, ("a", 1, 2)), "y": bad}, str(tmp_path), 0)
+        batches.publish({"x": rows(spark, ("a", 1, 9)), "y": bad}, folder, 1)
+    assert as_set(batches.read_batches(spark, folder, "x").drop("batch_id")) == {("a", 1, 2)}
+
+
+def test_runs_stand_side_by_side(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    for run, batch, n in (("one", 0, 5), ("one", 1, 1), ("two", 0, 3)):
+        batches.write_batch(rows(spark, ("a", 1, n)), folder, batch, run)
+    history = batches.read_batches(spark, folder)
+    assert as_set(batches.counter_sums(history, "province", "hour")) == {("a", 1, 9)}
+    assert as_set(batches.newest_per_key(history, "province", "hour")) == {("a", 1, 3)}
+    assert as_set(batches.newest_snapshot(spark, folder)) == {("a", 1, 3)}
+
+
+def test_folding_changes_no_view(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rules = {"sums": batches.Fold("sum", ("province", "hour")), "newest": batches.Fold("newest", ("province", "hour")), "last": batches.Fold("last")}
+
+    def write(run, batch, *values):
+        frame = rows(spark, *values)
+        batches.publish({name: frame for name in ("sums", "newest", "last", "all")}, folder, batch, run)
+
+    def views():
+        read = lambda name: batches.read_batches(spark, folder, name)
+        return (
+            as_set(batches.counter_sums(read("sums"), "province", "hour")),
+            as_set(batches.newest_per_key(read("newest"), "province", "hour")),
+            as_set(batches.newest_snapshot(spark, folder, "last")),
+            sorted(map(tuple, read("all").collect())),
+        )
+
+    assert not batches.fold(spark, folder, rules)
+    for k in range(6):
+        write("one", k, ("a", 1, k), ("b", k % 2, 1))
+    before = views()
+    assert batches.fold(spark, folder, rules) and views() == before
+    write("one", 3, ("a", 1, 100))  # folded: too late
+    write("one", 5, ("a", 1, 5), ("b", 1, 1))  # the newest again
+    assert views() == before
+    write("two", 0, ("a", 1, 7))
+    write("two", 1, ("c", 1, 1))
+    before = views()
+    assert batches.fold(spark, folder, rules) and views() == before
+    assert not batches.fold(spark, folder, rules)
+    state = batches.published(spark, folder)
+    assert state.fold == 2 and len(state.live) == 2 and len(before[3]) == 14
 
 
 def test_row_keys_depend_on_the_keys_only(spark):
