@@ -1,3 +1,177 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+Not here: extraction of page text, learned language profiles and references, template trees, and
+links of secrets, which are tested against brute force, held-out rows and fixtures.
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _lowered(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+def _escapes(text: str) -> str:
+    """How many characters escaping puts into a text."""
+    counts = [f"(length({text}) - length(replace({text}, '{mark}', ''))) // {len(mark)}" for mark in ("<|", "<s>", "</s>", "[INST]", "[/INST]", "\\")]
+    return " + ".join(counts)
+
+
+_CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(7 + sum(26 + length(role) + length(text) + {_escapes('role')} + {_escapes('text')}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_LINES = f"""
+WITH documents_keyed AS (
+  SELECT row_number() OVER () AS nth, doc_id, coalesce(CAST(doc_id AS BIGINT), 9223372036854775807) AS doc, text FROM documents
+),
+lines AS (
+  SELECT nth, doc, text, i - 1 AS line,
+    array_to_string(regexp_extract_all(string_split(text, chr(10))[i], '{_WORD}'), ' ') AS words,
+    len(regexp_extract_all(string_split(text, chr(10))[i], '{_WORD}')) AS n
+  FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents_keyed WHERE text IS NOT NULL)
+),
+entries AS (
+  SELECT words, any_value(n) AS n, min(row(doc, text, line)) AS first FROM lines WHERE n >= 5 GROUP BY words
+),
+gaps AS (
+  SELECT words, n, first, g,
+    array_to_string(list_concat(string_split(words, ' ')[:g - 1], string_split(words, ' ')[g + 1:]), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, n + 1)) AS g FROM entries WHERE n >= 10)
+),
+near AS (
+  SELECT words FROM (SELECT words, first, min(first) OVER (PARTITION BY n, g, rest) AS earliest FROM gaps) WHERE first > earliest
+  UNION
+  SELECT CASE WHEN gaps.first < entries.first THEN entries.words ELSE gaps.words END
+  FROM gaps JOIN entries ON gaps.rest = entries.words AND entries.n >= 10
+),
+marked AS (
+  SELECT nth, line, row(doc, text, line) > first AS again, near.words IS NOT NULL AS close
+  FROM lines JOIN entries USING (words) LEFT JOIN near USING (words)
+),
+counts AS (
+  SELECT nth, count(*) FILTER (again) AS n_exact, count(*) FILTER (close AND NOT again) AS n_near,
+    list(line) FILTER (again OR close) AS gone
+  FROM marked GROUP BY nth
+)
+SELECT doc_id,
+  CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_lines,
+  CAST(coalesce(n_exact, 0) AS BIGINT) AS n_exact, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+  sha256(array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10)))
+    AS kept_sha256
+FROM documents_keyed LEFT JOIN counts USING (nth)
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BENCHMARK = f"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_lowered('text')}, '{_TERM}') AS w FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + 12], ' ') AS win, least(13, len(w)) AS size
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM items WHERE len(w) > 0)
+),
+docs AS (
+  SELECT row_number() OVER () AS nth, doc_id, regexp_extract_all({_lowered('text')}, '{_TERM}') AS w FROM documents
+),
+places AS (
+  SELECT nth, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+),
+hits AS (SELECT places.*, item FROM places JOIN windows USING (win, size)),
+hit_words AS (SELECT nth, count(DISTINCT spot) AS n_hit FROM (SELECT nth, unnest(range(i, i + size)) AS spot FROM hits) GROUP BY nth),
+hit_items AS (SELECT nth, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY nth)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN hit_words USING (nth) LEFT JOIN hit_items USING (nth)
+"""
+
+_MIX = f"""
+WITH sized AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
+    coalesce(md5(CAST(doc_id AS VARCHAR)), 'g') AS place
+  FROM documents
+),
+sources AS (
+  SELECT *, [5, 2, 1][(nth - 1) % 3 + 1] AS weight, [1.5, 1.0, 0.5][(nth - 1) % 3 + 1]::DOUBLE AS a, [0.5, 1.0, 1.5][(nth - 1) % 3 + 1]::DOUBLE AS b
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nth FROM sized GROUP BY source)
+),
+rooms AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER before, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS unit
+  FROM sources
+  WINDOW before AS (ORDER BY 2 * source_size::DOUBLE / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+targets AS (
+  SELECT source, source_size, a, b,
+    CASE WHEN 2 * source_size <= unit * weight THEN 2 * source_size::DOUBLE
+      ELSE weight * (SELECT arg_min(unit, row(2 * source_size::DOUBLE / weight, nth)) FROM rooms WHERE 2 * source_size > unit * weight) END AS target
+  FROM rooms
+),
+ordered AS (
+  SELECT doc_id, size, source_size, target, a, b, CAST(round(target) AS BIGINT) AS wanted,
+    coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+),
+shared AS (
+  SELECT *, CASE WHEN source_size > 0 THEN wanted // source_size ELSE 0 END AS whole FROM ordered
+),
+taken AS (
+  SELECT *, greatest(0, least(size, wanted - whole * source_size - start)) AS part FROM shared
+),
+first_pass AS (
+  SELECT *, CASE WHEN whole > 0 THEN size ELSE part END AS words FROM taken
+),
+spent AS (
+  SELECT *, CASE WHEN words > 0 THEN least(1.0::DOUBLE, (start + words::DOUBLE / 2) / target) END AS share FROM first_pass
+)
+SELECT doc_id, size, source_size, target, CAST(whole * size + part AS BIGINT) AS taken,
+  CASE WHEN a = b THEN share ELSE (sqrt(a * a + (b - a) * (a + b) * share) - a) / (b - a) END AS position
+FROM spent
+"""
+
+_JACCARD = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS nth, CAST(doc_id AS BIGINT) AS doc_id, regexp_extract_all({_lowered('text')}, '{_WORD}') AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT nth, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM docs WHERE len(w) > 0)
+),
+sizes AS (SELECT nth, count(*) AS n FROM shingles GROUP BY nth),
+links AS (
+  SELECT a.nth AS a, b.nth AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.nth <> b.nth
+  JOIN sizes na ON na.nth = a.nth JOIN sizes nb ON nb.nth = b.nth
+  WHERE 100 * least(na.n, nb.n) >= 75 * greatest(na.n, nb.n)
+  GROUP BY a.nth, b.nth, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+),
+reached AS (
+  SELECT nth AS a, nth AS b FROM docs
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT d.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles,
+  CASE WHEN sizes.n IS NULL THEN d.doc_id ELSE min(o.doc_id) END AS component_id
+FROM docs d LEFT JOIN sizes USING (nth) JOIN reached ON reached.a = d.nth JOIN docs o ON o.nth = reached.b
+GROUP BY d.nth, d.doc_id, sizes.n
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_formatting": _CHAT,
+    "op6_line_dedup": _LINES,
+    "op8_decontamination": _BENCHMARK,
+    "op9_curriculum": _MIX,
+    "op10_jaccard_join": _JACCARD,
+}
