@@ -28,7 +28,7 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(7 + sum(26 + length(role) + length(text) + {_escapes('role')} + {_escapes('text')}) AS BIGINT) AS formatted_chars
+  CAST(7 + sum(25 + length(role) + length(text) + {_escapes('role')} + {_escapes('text')}) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
 
