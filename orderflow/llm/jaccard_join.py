@@ -402,6 +402,24 @@ def tree_candidates(stars: DataFrame, groups: DataFrame, sets: DataFrame, percen
     )
 
 
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Groups (``node``, ``root``) after more links (a, b): only the roots that these connect are contracted."""
+    of = lambda x: groups.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    between = (
+        links.join(of("a"), "a", "left")
+        .join(of("b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    )
+    moved = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    moved = small_side(kept_table(moved, "moved"))
+    new = moved.join(groups.select(F.col("node").alias("root")), "root", "left_anti")
+    return (
+        groups.join(moved, "root", "left")
+        .select("node", F.coalesce("to", "root").alias("root"))
+        .unionByName(new.select(F.col("root").alias("node"), F.col("to").alias("root")))
+    )
+
+
 def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int = 2048) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``.
 
@@ -432,8 +450,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     )
     found = kept_table(confirmed(more, sets, docs, size, percent), "links")
     if not found.isEmpty():
-        stars = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        groups = kept_table(components(stars.unionByName(found)), "groups")
+        groups = kept_table(merged(groups, found), "groups")
     placed = (
         signed.select("doc_id", "set_id", "n")
         .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")

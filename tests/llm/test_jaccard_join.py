@@ -88,3 +88,10 @@ def test_tree_drops_no_pair_that_reaches_the_threshold():
             if 100 * both >= 75 * (n[i] + n[k] - both):
                 wanted.add((k, i))
     assert wanted and wanted <= got and len(got) < len(sets) ** 2 / 8
+
+
+def test_merged_groups_join_through_their_roots(spark):
+    groups = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node long, root long")
+    links = spark.createDataFrame([(6, 2), (9, 30), (20, 21), (5, 6)], "a long, b long")
+    got = {(r["node"], r["root"]) for r in op.merged(groups, links).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8), (30, 8), (20, 20), (21, 20)}
