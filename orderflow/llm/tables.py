@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.session import new_folder
+from orderflow.session import new_folder, settings
 
 #: Hash seeds and constants are fixed, so that reruns agree.
 WHITE = r"[ \t-\r]"
@@ -20,11 +20,13 @@ def kept_table(rows: DataFrame, label: str) -> DataFrame:
     """Write rows to the shared folder and read them back.
 
     Later steps then start from the files: a lost executor costs only its own
-    tasks, and nothing before this point is computed twice.
+    tasks, and nothing before this point is computed twice. Shuffle files of the
+    write are of no use after it and go when it ends.
     """
     spark = rows.sparkSession
     folder = new_folder(spark, label)
-    rows.write.parquet(folder)
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
