@@ -150,7 +150,8 @@ def ties(full: DataFrame, rest: DataFrame) -> DataFrame:
 
 def near_lines(candidates: DataFrame) -> DataFrame:
     """Hashes of lines that have an earlier line one word away, verified."""
-    found = ties(*variants(candidates))
+    # Rows that share id and text give a line once each; its XORs need every word once.
+    found = ties(*variants(candidates.dropDuplicates(["h"])))
     words_of = lambda x: candidates.select(F.col("h").alias(x), F.col("words").alias(f"{x}_words"))
     without = lambda a: F.concat(F.slice(a, F.lit(1), F.col("gap")), F.slice(a, F.col("gap") + 2, F.size(a)))
     later, earlier = F.col("later_words"), F.col("earlier_words")

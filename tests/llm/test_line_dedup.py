@@ -85,5 +85,25 @@ def test_awkward_rows(spark):
     compare(spark, samples.awkward_rows())
 
 
+def test_near_lines_of_repeated_rows(spark):
+    """The earliest place of a line is in rows that share id and text, or in null-id rows of one text."""
+    known = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    rows = [(1, known, "en", "a", 1)] * 2 + [(2, known.replace("zeta", "other"), "en", "a", 1), (3, known + " mu", "en", "a", 1)]
+    late = known.upper()
+    rows += [(None, f"zz\n{late}", "en", "a", 1)] * 2 + [(None, f"{late} MU", "en", "a", 1), (None, late.replace("IOTA ", ""), "en", "a", 1)]
+    compare(spark, rows)
+    assert sum(r[4] for r in brute(rows)) >= 4
+
+
+def test_short_lines_when_floors_are_lower(spark):
+    """Floors are parameters of the function, not limits of its method."""
+    line = "a b c d e f g h i"
+    texts = [line, line.replace("e", "x"), line + " j", line.replace("c ", ""), "Read more", "Read more", "Read it more", "one two three", "one two four", "x", "x", ""]
+    rows = [(k, text, "en", "a", 1) for k, text in enumerate(texts)]
+    got = line_dedup(samples.documents(spark, rows), min_words=1, near_words=3)
+    kept = [tuple(r) for r in got.select("doc_id", "text", "n_lines", "n_exact", "n_near").collect()]
+    assert sorted(kept, key=repr) == brute(rows, min_words=1, near_words=3)
+
+
 def test_empty_table(spark):
     assert line_dedup(samples.empty(spark)).count() == 0
