@@ -5,24 +5,29 @@ theirs; the longest wins. URLs that no rule fits are judged by the template of t
 
 1. Per host, digits and long hexadecimal runs in path segments become wildcards, and URLs
    become shapes with counts; the tree is built on shapes.
-2. From the root on, a segment of a small share of its parent's URLs becomes ``*``, and so do
-   branches whose labelled share of bad URLs is statistically the parent's. Others stay as they are.
+2. From the root to the last segment, branches without labels and of a small share of their parent's
+   URLs become ``*``; branches whose labelled share of bad URLs is statistically the parent's become
+   ``*#``, which no path contains. Others stay as they are, so that no label reaches unlabelled branches.
 3. A template is rejected when its smoothed share of good labels is below a limit and it has
    enough labels. Labels are the verdicts of rules unless a column gives others.
 
-Segments beyond ``depth`` are one ``**``. Null URLs and those without ``://`` have an empty host and
+Null URLs and those without ``://`` have an empty host and
 path and are allowed. Every row gets a row; a host of any number of rows is summed up before it is
 shuffled, and joins carry one row a shape on their other side.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.tables import kept_table, small_side
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Names of merged branches: small ones without labels, and labelled ones like their parent.
+UNLABELLED, ALIKE = "*", "*#"
 #: (verdict, host, path)
 RULES = (
     ("allow", "com", "/"),
@@ -61,12 +66,27 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "[0-9a-f]{16,}", "{h}"), "[0-9]+", "{n}")
 
 
-def template_tree(shapes: DataFrame, depth: int, least_share: float, z: float) -> DataFrame:
+def template_tree(shapes: DataFrame, least_share: float, z: float) -> DataFrame:
     """``host``, ``shape``, ``template`` of shapes with counts ``urls``, ``good``, ``bad``."""
-    rows = shapes.withColumns({"segments": F.split("shape", "/"), "template": F.lit("")})
+    kept = ("host", "shape", "urls", "good", "bad")
     counts = [F.sum(c).alias(c) for c in ("urls", "good", "bad")]
-    for level in range(1, depth + 1):
-        rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
+    segments = F.split("shape", "/")
+    rows = shapes.select(*kept, F.lit("").alias("template"), F.slice(segments, F.lit(2), F.size(segments)).alias("rest"))
+    ended, open_rows = [rows.where(F.size("rest") == 0)], rows.where(F.size("rest") > 0)
+    while not open_rows.isEmpty():
+        # What all shapes under a template share has no branches and is taken in one step.
+        ends = kept_table(
+            open_rows.groupBy("host", "template").agg(F.min("rest").alias("low"), F.max("rest").alias("high")), "template-ends"
+        )
+        same = F.zip_with("low", "high", lambda x, y: x.eqNullSafe(y))
+        unlike = F.array_position(same, F.lit(False))
+        shared = ends.select("host", "template", F.when(unlike == 0, F.size(same)).otherwise(unlike - 1).cast("int").alias("shared"))
+        rows = open_rows.join(small_side(kept_table(shared, "shared")), ["host", "template"]).select(
+            *kept,
+            F.concat("template", F.array_join(F.transform(F.slice("rest", F.lit(1), F.col("shared")), lambda x: F.concat(F.lit("/"), x)), "")).alias("template"),
+            F.slice("rest", F.col("shared") + 1, F.size("rest")).alias("rest"),
+        )
+        rows = rows.withColumn("segment", F.get("rest", F.lit(0)))
         branches = rows.where("segment is not null").groupBy("host", "template", "segment").agg(*counts)
         parents = branches.groupBy("host", "template").agg(
             *[F.sum(c).alias(f"all_{c}") for c in ("urls", "good", "bad")], F.count("*").alias("branches")
@@ -74,28 +94,31 @@ def template_tree(shapes: DataFrame, depth: int, least_share: float, z: float) -
         labels, all_labels = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad")
         pooled = (F.col("all_bad") + 0.5) / (all_labels + 1)
         differs = F.abs(F.col("bad") / labels - pooled) > z * F.sqrt(pooled * (1 - pooled) / labels)
-        merged = (F.col("urls") < least_share * F.col("all_urls")) | (
-            (F.col("branches") > 1) & (labels > 0) & ~F.coalesce(differs, F.lit(True))
-        )
-        named = branches.join(parents, ["host", "template"]).select(
-            "host", "template", "segment", F.when(merged, "*").otherwise(F.col("segment")).alias("name")
+        name = (
+            F.when((labels == 0) & (F.col("urls") < least_share * F.col("all_urls")), UNLABELLED)
+            .when((F.col("branches") > 1) & (labels > 0) & ~F.coalesce(differs, F.lit(True)), ALIKE)
+            .otherwise(F.col("segment"))
         )
+        named = branches.join(parents, ["host", "template"]).select("host", "template", "segment", name.alias("name"))
         rows = kept_table(
             rows.join(named, ["host", "template", "segment"], "left").select(
-                "host", "shape", "urls", "good", "bad", "segments",
+                *kept,
                 F.when(F.col("name").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "name")).alias("template"),
+                F.slice("rest", F.lit(2), F.size("rest")).alias("rest"),
+                F.col("name").isNull().alias("done"),
             ),
             "templates",
         )
-    deeper = F.when(F.size("segments") > depth + 1, "/**").otherwise("")
-    return rows.select("host", "shape", "urls", "good", "bad", F.concat("template", deeper).alias("template"))
+        over = F.col("done") | (F.size("rest") == 0)
+        ended.append(rows.where(over).drop("done"))
+        open_rows = rows.where(~over).drop("done")
+    return reduce(DataFrame.union, ended).drop("rest")
 
 
 def url_verdicts(
     pages: DataFrame,
     rules: tuple = RULES,
     label: Column | None = None,
-    depth: int = 6,
     least_share: float = 0.02,
     z: float = 2.0,
     least_labels: int = 5,
@@ -116,7 +139,7 @@ def url_verdicts(
         ),
         "shapes",
     )
-    tree = kept_table(template_tree(shapes, depth, least_share, z), "templates")
+    tree = kept_table(template_tree(shapes, least_share, z), "templates")
     all_labels = tree.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     labels = (all_labels["good"] or 0) + (all_labels["bad"] or 0)
     prior = (all_labels["good"] or 0) / labels if labels else 1.0

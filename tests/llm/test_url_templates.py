@@ -50,5 +50,26 @@ def test_templates_learn_from_labels(spark):
     assert {r.template for r in got if 60 <= r.page_id < 160} == {"/user/*"}
 
 
+def test_small_branches_keep_their_own_labels(spark):
+    """A wholly bad branch of under 2% is rejected; an unlabelled one of that size is not."""
+    names = [a + b for a in "abcdefghij" for b in "klmnopqrst"]
+    urls = [f"x://g.org/good/{n}{m}" for n in names for m in names[:4]] + [f"x://g.org/spam/p{n}" for n in names[:6]]
+    urls += [f"x://b.net/{lang}/{n}{m}" for lang in ("es", "fr") for n in names for m in names[:2]] + [f"x://b.net/clean/{n}" for n in names[:6]]
+    label = F.when(F.col("url").contains("/good/"), True).when(F.col("url").rlike("/(spam|es|fr)/"), False)
+    got = url_verdicts(pages(spark, urls), rules=(), label=label).collect()
+    for r in got:
+        bad = "spam" in urls[r.page_id] or "/es/" in urls[r.page_id] or "/fr/" in urls[r.page_id]
+        assert r.verdict == ("block" if bad else "allow"), (urls[r.page_id], r.template)
+
+
+def test_every_segment_counts(spark):
+    deep = "x://d.org/a/b/c/d/e/f/g"
+    urls = [f"{deep}/bad/{n}" for n in range(20)] + [f"{deep}/new/{n}" for n in range(20)] + [f"{deep}/new", deep]
+    got = url_verdicts(pages(spark, urls), rules=(), label=F.when(F.col("page_id") < 20, False)).collect()
+    assert {(r.template, r.verdict) for r in got} == {
+        ("/a/b/c/d/e/f/g/bad/{n}", "block"), ("/a/b/c/d/e/f/g/new/{n}", "allow"), ("/a/b/c/d/e/f/g/new", "allow"), ("/a/b/c/d/e/f/g", "allow"),
+    }
+
+
 def test_empty_table(spark):
     assert url_verdicts(pages(spark, ["a"]).limit(0)).count() == 0
