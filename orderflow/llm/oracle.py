@@ -168,10 +168,62 @@ FROM docs d LEFT JOIN sizes USING (nth) JOIN reached ON reached.a = d.nth JOIN d
 GROUP BY d.nth, d.doc_id, sizes.n
 """
 
+_FIELDS = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "text")
+
+
+def _leaf(*fields: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({x})) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+#: CRC-32 of an id in decimal, bit by bit.
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+_PARENTS = "list_transform(range(0, (len(d) + 1) // 2), lambda i: sha256(d[2 * i + 1] || coalesce(d[2 * i + 2], '')))"
+#: The sibling of a leaf on a level, with its side; a dash where it has none.
+_STEP = "CASE WHEN len(d) > 1 THEN CASE WHEN (place >> level) % 2 = 1 THEN 'L' || d[(place >> level)] ELSE coalesce('R' || d[(place >> level) + 2], '-') END END"
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM (
+    SELECT doc_id, lang, {_leaf(*_FIELDS)} AS leaf,
+      CASE WHEN {_CRC} % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf(_FIELDS[0], _FIELDS[1], _FIELDS[2], "CAST(n_chars + 1 AS VARCHAR)", _FIELDS[4])} END AS tampered
+    FROM documents)
+),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS d FROM leaves GROUP BY lang
+  UNION ALL SELECT lang, level + 1, {_PARENTS} FROM levels WHERE len(d) > 1
+),
+subroots AS (
+  SELECT lang, d[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM levels WHERE len(d) = 1
+),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS d FROM subroots
+  UNION ALL SELECT level + 1, {_PARENTS} FROM tops WHERE len(d) > 1
+),
+lower_paths AS (
+  SELECT l.lang, l.place, list({_STEP} ORDER BY level) AS path FROM leaves l JOIN levels v ON l.lang IS NOT DISTINCT FROM v.lang GROUP BY l.lang, l.place
+),
+upper_paths AS (
+  SELECT lang, subroot, list({_STEP} ORDER BY level) AS path FROM subroots CROSS JOIN tops GROUP BY lang, subroot
+),
+paths AS (
+  SELECT l.doc_id, l.leaf, u.subroot, l.tampered, list_filter(list_concat(p.path, u.path), lambda x: x IS NOT NULL) AS path
+  FROM leaves l JOIN lower_paths p ON l.lang IS NOT DISTINCT FROM p.lang AND l.place = p.place
+  JOIN upper_paths u ON l.lang IS NOT DISTINCT FROM u.lang
+),
+folded AS (
+  SELECT *, (SELECT d[1] FROM tops WHERE len(d) = 1) AS root, sha256(array_to_string(list_transform(path, lambda x: substr(x, 2)), '')) AS proof_sha256,
+    list_reduce(list_concat([coalesce(tampered, leaf)], path), lambda a, x: sha256(
+      CASE left(x, 1) WHEN 'L' THEN substr(x, 2) || a WHEN 'R' THEN a || substr(x, 2) ELSE a END)) AS folded_root
+  FROM paths
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_formatting": _CHAT,
     "op6_line_dedup": _LINES,
     "op8_decontamination": _BENCHMARK,
     "op9_curriculum": _MIX,
     "op10_jaccard_join": _JACCARD,
+    "op12_merkle_manifest": _MERKLE,
 }

@@ -14,6 +14,7 @@ from orderflow.llm.html_text import extract_main_text
 from orderflow.llm.jaccard_join import jaccard_join
 from orderflow.llm.language_id import identify_languages
 from orderflow.llm.line_dedup import line_dedup
+from orderflow.llm.merkle import merkle_manifest
 from orderflow.llm.quality import quality_rules
 from orderflow.llm.secrets import secret_report
 from orderflow.llm.tables import table
@@ -75,6 +76,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), size=5, percent=75)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    checked = merkle_manifest(table(spark, sf_dir, "documents"), tampered)
+    return checked.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_secret_scans": op2_secret_scans,
@@ -86,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_curriculum": op9_curriculum,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
