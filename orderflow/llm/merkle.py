@@ -20,6 +20,8 @@ the five of a leaf aren't read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,16 +83,17 @@ def parents(level: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.shiftright(F.size(level) + 1, 1) - 1), parent)
 
 
-def blocks(rows: DataFrame) -> DataFrame:
-    """``tree``, ``block``, ``n`` (rows of the whole tree in this step), ``leaves``, ``root``, and ``rows`` with paths.
+def node_rows(rows: DataFrame) -> DataFrame:
+    """The rows of a step with their ``path`` to the root of their block of 256.
 
-    rows: ``tree``, ``idx``, ``n``, ``digest``, ``leaves``, ``doc_id``, ``tampered``. A block that is all that
-    a tree has in this step ends at the tree's root.
+    rows: ``tree``, ``idx``, ``n`` (rows that the whole tree has in this step), ``digest``, ``leaves`` below, ``doc_id``,
+    ``tampered``. Added are ``block``, ``block_root`` and ``block_leaves``. A block that is all that a tree
+    has in this step ends at the tree's root.
     """
     names = ("idx", "digest", "leaves", "doc_id", "tampered")
     # A block has 256 rows at most.
     block = rows.groupBy("tree", F.shiftright("idx", LEVELS).alias("block")).agg(
-        F.max("n").alias("n"), F.sum("leaves").alias("leaves"), F.sort_array(F.collect_list(F.struct(*names))).alias("held")
+        F.max("n").alias("n"), F.sum("leaves").alias("block_leaves"), F.sort_array(F.collect_list(F.struct(*names))).alias("held")
     )
     height = F.when(F.col("n") > 1 << LEVELS, LEVELS).otherwise(F.ceil(F.log2(F.col("n"))).cast("int"))
     levels = F.aggregate(
@@ -112,59 +115,60 @@ def blocks(rows: DataFrame) -> DataFrame:
         "held", lambda row, place: F.struct(*[row[x].alias(x) for x in names], path(place).alias("path"))
     )
     root = F.get(F.element_at("levels", -1), F.lit(0))
-    return block.select("tree", "block", "n", "leaves", root.alias("root"), with_paths.alias("rows"))
+    return block.select("tree", "block", "n", root.alias("block_root"), "block_leaves", F.inline(with_paths))
+
+
+def block_roots(step: DataFrame, whole_tree: bool) -> DataFrame:
+    """A row for each block of a step that is, or isn't, a whole tree."""
+    whole = F.col("n") <= 1 << LEVELS
+    first = F.col("idx") == F.shiftleft("block", LEVELS)
+    return step.where(first & (whole if whole_tree else ~whole))
 
 
 def build(rows: DataFrame) -> list[DataFrame]:
-    """The blocks of each step, up to the one in which every tree is a single block."""
-    steps = [kept_table(blocks(rows), "blocks")]
-    while not (open_blocks := steps[-1].where(F.col("n") > 1 << LEVELS)).isEmpty():
-        upper = open_blocks.select(
+    """The node rows of each step, up to the one in which every tree is a single block."""
+    steps = [kept_table(node_rows(rows), "nodes")]
+    while not (below := block_roots(steps[-1], whole_tree=False)).isEmpty():
+        upper = below.select(
             "tree",
             F.col("block").alias("idx"),
             F.shiftright(F.col("n") + (1 << LEVELS) - 1, LEVELS).alias("n"),
-            F.col("root").alias("digest"),
-            "leaves",
+            F.col("block_root").alias("digest"),
+            F.col("block_leaves").alias("leaves"),
             F.lit(None).cast("long").alias("doc_id"),
             F.lit(None).cast("binary").alias("tampered"),
         )
-        steps.append(kept_table(blocks(upper), "blocks"))
+        steps.append(kept_table(node_rows(upper), "nodes"))
     return steps
 
 
 def roots(steps: list[DataFrame]) -> DataFrame:
     """``tree``, ``root`` and number of ``leaves`` of all trees."""
-    done = [step.where(F.col("n") <= 1 << LEVELS).select("tree", "root", "leaves") for step in steps]
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+    done = [
+        block_roots(step, whole_tree=True).select("tree", F.col("block_root").alias("root"), F.col("block_leaves").alias("leaves"))
+        for step in steps
+    ]
+    return reduce(DataFrame.unionByName, done)
 
 
 def linked(steps: list[DataFrame], above: DataFrame | None = None) -> list[DataFrame]:
-    """The rows of each step with the place (``up_tree``, ``up_step``, ``up_idx``) of their block's root, null above all.
+    """Node rows of each step with the place (``up_tree``, ``up_step``, ``up_idx``) of their block's root, null above all.
 
     above: for roots of trees the place in the top tree, ``tree`` and ``place``.
     """
     out = []
-    for step, table in enumerate(steps):
-        table = table.withColumnRenamed("leaves", "up_leaves")
-        if above is None:
-            table = table.withColumn("place", F.lit(None).cast("long"))
-        else:
-            table = table.join(above, "tree")
+    for step, rows in enumerate(steps):
+        rows = rows.withColumn("place", F.lit(None).cast("long")) if above is None else rows.join(above, "tree")
         inside = F.col("n") > 1 << LEVELS
         known = inside | F.col("place").isNotNull()
         out.append(
-            table.select(
-                "tree",
-                F.lit(step).alias("step"),
-                F.inline("rows"),
+            rows.select(
+                "tree", F.lit(step).alias("step"), "idx", "digest", "leaves", "doc_id", "tampered", "path",
                 F.when(inside, F.col("tree")).when(known, F.lit(TOP)).alias("up_tree"),
                 F.when(inside, F.lit(step + 1)).when(known, F.lit(0)).alias("up_step"),
                 F.when(inside, F.col("block")).when(known, F.col("place")).alias("up_idx"),
-                copies(F.col("up_leaves")).alias("up_copies"),
-            )
+                copies(F.col("block_leaves")).alias("up_copies"),
+            )
         )
     return out
 
@@ -187,15 +191,12 @@ def merkle_manifest(docs: DataFrame, tampered: Column) -> DataFrame:
     top_steps = build(tops)
     place = small_side(kept_table(tops.select(F.col("below").alias("tree"), F.col("idx").alias("place")), "places"))
     low, high = linked(steps, place), linked(top_steps)
-    nodes = None
-    for rows in [*low[1:], *high]:
-        rows = rows.select(
-            "tree", "step", "idx", F.explode(F.sequence(F.lit(0).cast("long"), copies(F.col("leaves")) - 1)).alias("copy"), "path",
-            F.when((F.col("tree") == TOP) & (F.col("step") == 0), F.col("digest")).alias("subroot"),
-            "up_tree", "up_step", "up_idx", "up_copies",
-        )
-        nodes = rows if nodes is None else nodes.unionByName(rows)
-    nodes = kept_table(nodes, "nodes")
+    above_leaves = reduce(DataFrame.unionByName, [*low[1:], *high]).select(
+        "tree", "step", "idx", F.explode(F.sequence(F.lit(0).cast("long"), copies(F.col("leaves")) - 1)).alias("copy"), "path",
+        F.when((F.col("tree") == TOP) & (F.col("step") == 0), F.col("digest")).alias("subroot"),
+        "up_tree", "up_step", "up_idx", "up_copies",
+    )
+    nodes = kept_table(above_leaves, "linked")
     empty = F.lit("").cast("binary")
     leaves = low[0].select(
         "doc_id",
