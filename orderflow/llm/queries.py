@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.llm.alignment import align_tokenizers
 from orderflow.llm.chat import chat_digest, rendered, replayed
 from orderflow.llm.curriculum import curriculum
 from orderflow.llm.decontamination import decontaminate
@@ -20,6 +21,9 @@ from orderflow.llm.secrets import secret_report
 from orderflow.llm.tables import table
 from orderflow.llm.url_templates import RULES, url_verdicts
 
+#: Where the vocabulary files of public tokenizers are; only the driver reads them.
+TOKENIZERS = "/opt/tokenizers"
+
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
@@ -82,6 +86,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokenizers(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model", digests=True
+    )
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_secret_scans": op2_secret_scans,
@@ -94,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_curriculum": op9_curriculum,
     "op10_jaccard_join": op10_jaccard_join,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }

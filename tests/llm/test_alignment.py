@@ -1,0 +1,108 @@
+import bisect
+import hashlib
+import itertools
+import os
+import random
+from collections import Counter
+
+import pytest
+import samples
+import sentencepiece
+import tokenizers
+
+from orderflow.llm import alignment as al
+from orderflow.llm.queries import TOKENIZERS
+
+A, B = (os.path.join(TOKENIZERS, x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def engines():
+    a = tokenizers.Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def texts():
+    rnd = random.Random(3)
+    letters = "abcdefghij   \n\t'sABCé漢字😀0123456789.,!\u0085​<>|▁"
+    made = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 200))) for _ in range(150)]
+    odd = ["▁", " a", "a  b", "<|endoftext|> </s> <0x41>", "\x00\x01", "é" * 300, "x" * 40_000, "漢字" * 200, "﻿word", "ﬁ ½ Å"]
+    return [r[1] for r in samples.awkward_rows()] + made + odd + ["the same text"] * 40
+
+
+def brute(rows, engines):
+    """Every A and B token by its byte range; all pairs that end together."""
+    a, b = engines
+    byte_of = al.byte_of()
+    held = []
+    for doc, text in rows:
+        spelled = (" " + (text or "")).encode()
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        bytes_a = [bytes(byte_of[c] for c in a.id_to_token(x)) for x in ids_a]
+        pieces = [b.id_to_piece(x) for x in ids_b]
+        bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(x) else p.replace("▁", " ").encode() for x, p in zip(ids_b, pieces)]
+        if b"".join(bytes_a) != spelled or b"".join(bytes_b) != spelled:
+            ids_a = ids_b = bytes_a = bytes_b = []
+        ends_a = list(itertools.accumulate(map(len, bytes_a)))
+        ends_b = list(itertools.accumulate(map(len, bytes_b)))
+        cuts = sorted(set(ends_a) & set(ends_b))
+        sides = []
+        for ids, ends in ((ids_a, ends_a), (ids_b, ends_b)):
+            own = {cut: [] for cut in cuts}
+            for x, e in zip(ids, ends):
+                own[cuts[bisect.bisect_left(cuts, e)]].append(str(x))
+            sides.append([",".join(x) for x in own.values()])
+        groups = list(map("|".join, zip(*sides)))
+        at_b = dict(zip(ends_b, ids_b))
+        links = [(x, at_b[e]) for x, e in zip(ids_a, ends_a) if e in at_b]
+        held.append((doc, len(ids_a), len(ids_b), ";".join(groups), len(cuts), links))
+    count = Counter(pair for *_, links in held for pair in links)
+    highest = Counter()
+    for (_, y), n in count.items():
+        highest[y] = max(highest[y], n)
+    return [
+        (doc, na, nb, n, len(links), sum(count[p] == highest[p[1]] for p in links), sum(count[p] for p in links), groups)
+        for doc, na, nb, groups, n, links in held
+    ]
+
+
+def test_same_as_brute_force(spark, engines):
+    rows = [(k, x) for k, x in enumerate(texts())] + [(None, "a null id"), (3, "an id twice")]
+    docs = samples.documents(spark, [(k, x, "en", "a", 0) for k, x in rows])
+    want = sorted(brute(rows, engines), key=repr)
+    got = al.align_tokenizers(docs, A, B)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    digests = al.align_tokenizers(docs.repartition(5), A, B, digests=True)
+    hashed = [(*r[:-1], hashlib.sha256(r[-1].encode()).hexdigest() if r[-1] else "") for r in want]
+    assert sorted(map(tuple, digests.collect()), key=repr) == sorted(hashed, key=repr)
+    unlike = {r[0] for r in want if r[1] == 0}
+    assert {k for k, x in rows if x and "▁" in x} <= unlike
+
+
+def test_no_rows(spark):
+    assert al.align_tokenizers(samples.empty(spark), A, B).count() == 0
+
+
+def test_both_engines_give_the_same_ids(engines):
+    with open(A, "rb") as held:
+        fast = al.ByteLevel(held.read())
+    some = [f" a{chr(c)}b {chr(c)} 1{chr(c)}{chr(c)}\n" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    some += [" " + (x or "") for x in texts()]
+    assert fast.encode(some) == [x.ids for x in engines[0].encode_batch(some, add_special_tokens=False)]
+
+
+def test_tokens_without_bytes():
+    """Ids 0 to 3 spell nothing, 'a', 'b' and 'ab'."""
+    got = al.align([1, 0, 2], [3, 0], [0, 1, 1, 2], [0, 1, 1, 2], True)
+    assert got.groups() == b"1,0,2|3,0" and got.links.tolist() == [[2, 3], [2, 0]]
+    got = al.align([1, 0, 2], [1, 2], [0, 1, 1, 2], [0, 1, 1, 2], True)
+    assert got.groups() == b"1,0|1;2|2" and got.links.tolist() == [[1, 1], [0, 1], [2, 2]]
+
+
+def test_ids_of_any_width():
+    for ids in ([0], [9, 10], [99_999, 7, 123_456]):
+        got = al.align(ids, ids, [1] * 200_000, [1] * 200_000, False)
+        assert got.groups().decode() == ";".join(f"{x}|{x}" for x in ids)
