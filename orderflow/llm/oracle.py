@@ -4,6 +4,9 @@ Not here: extraction of page text, learned language profiles and references, tem
 links of secrets, which are tested against brute force, held-out rows and fixtures.
 """
 
+from orderflow.llm.licenses import NOTICES, PHRASES
+from orderflow.llm.licenses import WORD as LICENSE_WORD
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -168,6 +171,44 @@ FROM docs d LEFT JOIN sizes USING (nth) JOIN reached ON reached.a = d.nth JOIN d
 GROUP BY d.nth, d.doc_id, sizes.n
 """
 
+_TEMPLATES = ",\n    ".join(
+    f"({k}, '{t.label}', {str(t.ordered).lower()}, {len(t.words)}, {t.needed}, {t.span}, {t.sequence})" for k, t in enumerate(PHRASES + NOTICES)
+)
+
+_LICENSES = rf"""
+WITH templates(t, label, ordered, size, needed, span, sequence) AS (VALUES
+    {_TEMPLATES}
+),
+docs AS (
+  SELECT row_number() OVER () AS nth, doc_id, regexp_extract_all({_lowered('text')}, '{LICENSE_WORD}') AS w FROM documents
+),
+placed AS (SELECT nth, place - 1 AS place, w[place] AS word FROM (SELECT *, unnest(range(1, len(w) + 1)) AS place FROM docs)),
+places AS (
+  SELECT p.*, v.* EXCLUDE (word) FROM placed p
+  JOIN (SELECT DISTINCT t, label, ordered, size, needed, span, unnest(sequence) AS word FROM templates) v ON p.word = v.word
+),
+blocks AS (
+  SELECT a.nth, a.t, a.label, a.place, count(DISTINCT b.word) / a.size AS share
+  FROM places a JOIN places b ON a.nth = b.nth AND a.t = b.t AND b.place >= a.place AND b.place < a.place + a.span
+  WHERE NOT a.ordered GROUP BY a.nth, a.t, a.label, a.place, a.size, a.needed HAVING count(DISTINCT b.word) >= a.needed
+),
+phrases AS (
+  SELECT p.nth, t.label, p.place FROM placed p JOIN templates t ON t.ordered AND p.word = t.sequence[1]
+  JOIN docs d ON d.nth = p.nth WHERE d.w[p.place + 1:p.place + len(t.sequence)] = t.sequence
+),
+base AS (
+  SELECT nth, count(*) AS n, min(place) AS first, max(place) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM phrases GROUP BY nth
+),
+every AS (
+  SELECT nth, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT nth, label, share FROM blocks UNION ALL SELECT nth, label, 1.0 FROM phrases) GROUP BY nth
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,
+  CAST(base.first AS BIGINT) AS first_word, CAST(base.last AS BIGINT) AS last_word,
+  coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels, CAST(coalesce(every.score, 0) AS DOUBLE) AS score
+FROM docs d LEFT JOIN base ON base.nth = d.nth LEFT JOIN every ON every.nth = d.nth
+"""
+
 _FIELDS = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "text")
 
 
@@ -225,5 +266,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_decontamination": _BENCHMARK,
     "op9_curriculum": _MIX,
     "op10_jaccard_join": _JACCARD,
+    "op11_license_scans": _LICENSES,
     "op12_merkle_manifest": _MERKLE,
 }

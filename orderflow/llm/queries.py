@@ -14,6 +14,7 @@ from orderflow.llm.decontamination import decontaminate
 from orderflow.llm.html_text import extract_main_text
 from orderflow.llm.jaccard_join import jaccard_join
 from orderflow.llm.language_id import identify_languages
+from orderflow.llm.licenses import license_report
 from orderflow.llm.line_dedup import line_dedup
 from orderflow.llm.merkle import merkle_manifest
 from orderflow.llm.quality import quality_rules
@@ -80,6 +81,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), size=5, percent=75)
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
     checked = merkle_manifest(table(spark, sf_dir, "documents"), tampered)
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_curriculum": op9_curriculum,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_license_scans": op11_license_scans,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_alignment": op13_token_alignment,
 }
