@@ -6,16 +6,17 @@ shingles reaches a threshold. The join is exact, up to 64-bit hashes of shingles
 1. One pass over the texts gives each document its set's size, an identity of
    the set, a bitmap of its hashed shingles, and the shingles with the smallest
    hashes: linked sets share at least one of these.
-2. Rows of (shingle, set) are dealt by shingle. Each set is tied to the most
-   central set of each shingle; ties that a full comparison confirms make first
+2. Shingles that several sets have are found by an aggregation, and so is the most central set of each.
+   Sets are tied to the central sets of their shingles; ties that a full comparison confirms make first
    groups. This is linear in the rows, also for thousands of near copies.
 3. Sets tied to one central set, in several first groups, get signature trees. A
    node holds the OR of its sets' bitmaps, their size range, and whether all are
    in one group. Two trees are descended together; a pair of nodes ends where sizes
    or bitmaps rule the overlap out or where both are one group already. Sets of
    one size class share a tree; a large one is cut into blocks, and a task gets
-   two blocks at most.
-4. Pairs that are left are compared in full, and links give the components.
+   two blocks at most. What comes out is the sets that have a partner left.
+4. These sets come back to their blocks with all their shingles. A task compares the pairs that its trees leave,
+   groups what links, and gives out only the links that joined two groups: no more than it has sets.
 
 Null or blank texts have an empty set, which is linked with nothing. Equal sets
 are one node however many documents have them. Rows that share a ``doc_id`` are
@@ -31,7 +32,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from orderflow.llm import words
 from orderflow.llm.components import components
@@ -39,6 +39,7 @@ from orderflow.llm.tables import kept_table, small_side
 
 LEAF = 32
 FAN = 8
+BLOCK_SHINGLES = 8e6  # of the sets of one block
 SIGNATURE = "doc_id long, doc long, set_id long, n long, bits binary, prefix array<long>"
 
 
@@ -166,6 +167,20 @@ def _linked(percent: int):
     return linked
 
 
+def full_sets_of(wanted: DataFrame, sets: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``set_id`` and all its ``tokens`` of the sets in ``wanted``."""
+    of_docs = sets.join(wanted, "set_id", "left_semi").select("doc")
+    return kept_table(
+        docs.select("doc", "text")
+        .join(of_docs, "doc", "left_semi")
+        .select("text")
+        .mapInArrow(_full_sets(size), "set_id long, tokens binary")
+        .groupBy("set_id")
+        .agg(F.first("tokens").alias("tokens")),
+        "sets",
+    )
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The links among pairs (a, b), which are distinct and have sizes ``na``, ``nb``."""
     side = lambda x: sets.select(F.col("set_id").alias(x), F.col("bits").alias(f"bits_{x}"))
@@ -176,17 +191,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
         .mapInPandas(_fits(percent), "a long, b long"),
         "pairs",
     )
-    ends = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "set_id")
-    wanted = sets.join(ends, "set_id", "left_semi").select("doc")
-    tokens = kept_table(
-        docs.select("doc", "text")
-        .join(wanted, "doc", "left_semi")
-        .select("text")
-        .mapInArrow(_full_sets(size), "set_id long, tokens binary")
-        .groupBy("set_id")
-        .agg(F.first("tokens").alias("tokens")),
-        "sets",
-    )
+    ends = likely.select(F.col("a").alias("set_id")).union(likely.select("b")).distinct()
+    tokens = full_sets_of(ends, sets, docs, size)
     full = lambda x: tokens.select(F.col("set_id").alias(x), F.col("tokens").alias(f"tokens_{x}"))
     return likely.join(full("b"), "b").join(full("a"), "a").mapInPandas(_linked(percent), "a long, b long")
 
@@ -271,72 +277,117 @@ def stacked(bits: np.ndarray) -> np.ndarray:
     return np.stack([fold(as_words(b), min(widths) // 8) for b in bits])
 
 
-def _block_pairs(percent: int):
-    """Candidates of blocks: rows are sorted by block, and a block is held at once."""
-    names = ("anchor", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
-
-    def of_block(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        n, group, ids, own, part = (rows[c] for c in ("n", "group", "set_id", "own", "part"))
-        if group.min() == group.max():
-            return
-        bits = stacked(rows["bits"])
-        i, k = rows["i"][0], rows["k"][0]
-        # A set of the class below meets the class's own sets here, and its like elsewhere.
-        kinds = [(own & (part == i), own & (part == k), i == k), (own & (part == i), ~own & (part == k), False)]
-        if i != k:
-            kinds.append((own & (part == k), ~own & (part == i), False))
-        for left, right, same in kinds:
-            left, right = np.flatnonzero(left), np.flatnonzero(right)
-            if len(left) and len(right) and (len(left) > 1 or not same):
-                tree = Tree(n[left], group[left], bits[left])
-                other = tree if same else Tree(n[right], group[right], bits[right])
-                for p, q in tree.pairs(other, percent):
-                    yield ids[left[p]], ids[right[q]]
-
-    def block_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+BLOCK = ("anchor", "class", "i", "k")
+MEMBER = "anchor long, class long, i long, k long, part long, own boolean, set_id long, n long, group long"
+
+
+def _trees(rows: dict[str, np.ndarray], bits: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of a block that may be links, some pairs at a time."""
+    n, group, own, part = (rows[c] for c in ("n", "group", "own", "part"))
+    if group.min() == group.max():
+        return
+    i, k = rows["i"][0], rows["k"][0]
+    # A set of the class below meets the class's own sets here, and its like elsewhere.
+    kinds = [(own & (part == i), own & (part == k), i == k), (own & (part == i), ~own & (part == k), False)]
+    if i != k:
+        kinds.append((own & (part == k), ~own & (part == i), False))
+    for left, right, same in kinds:
+        left, right = np.flatnonzero(left), np.flatnonzero(right)
+        if len(left) and len(right) and (len(left) > 1 or not same):
+            tree = Tree(n[left], group[left], bits[left])
+            other = tree if same else Tree(n[right], group[right], bits[right])
+            for p, q in tree.pairs(other, percent):
+                if len(p):
+                    yield left[p], right[q]
+
+
+def with_partners(rows: dict[str, np.ndarray], percent: int) -> pd.DataFrame:
+    """The rows of a block that bitmaps and sizes leave a partner."""
+    held = np.zeros(len(rows["n"]), bool)
+    for p, q in _trees(rows, stacked(rows["bits"]), percent):
+        held[p] = held[q] = True
+    return pd.DataFrame({c: v[held] for c, v in rows.items() if c != "bits"})
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each of the left sets shares with each of the right ones."""
+    known = np.unique(np.concatenate(left))
+    bits = []
+    for side in (left, right):
+        rows = np.zeros((len(side), -(-len(known) // 64) * 64), bool)
+        for row, tokens in enumerate(side):
+            at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+            rows[row, at[known[at] == tokens]] = True
+        bits.append(np.packbits(rows, axis=1).view(np.uint64))
+    return np.stack([np.bitwise_count(bits[1] & row).sum(1, dtype=np.int64) for row in bits[0]])
+
+
+def spanning_links(rows: dict[str, np.ndarray], percent: int) -> pd.DataFrame:
+    """Links of a block, each between what were two groups so far."""
+    tokens = [as_words(x) for x in rows["tokens"]]
+    bits = stacked(np.array([bitmap(x) for x in tokens], object))
+    ids, n = rows["set_id"], rows["n"]
+    # Rows of one set are one group, as are sets that are grouped already.
+    _, first = np.unique(rows["group"], return_inverse=True)
+    group, links = first.copy(), []
+    for p, q in _trees(rows, bits, percent):
+        new = group[p] != group[q]
+        p, q = p[new], q[new]
+        if not len(p):
+            continue
+        x, at_p = np.unique(p, return_inverse=True)
+        y, at_q = np.unique(q, return_inverse=True)
+        both = overlaps([tokens[k] for k in x], [tokens[k] for k in y])[at_p, at_q]
+        linked = 100 * both >= percent * (n[p] + n[q] - both)
+        for a, b in zip(p[linked], q[linked]):
+            if group[a] != group[b]:
+                links.append((ids[a], ids[b]))
+                group[group == group[b]] = group[a]
+    found = np.array(links, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": found.min(1, initial=np.iinfo(np.int64).max), "b": found.max(1, initial=np.iinfo(np.int64).min)})
+
+
+def _by_block(of_block, percent: int):
+    """Apply a function to each block: rows are sorted by block, and a block is held at once."""
+
+    def by_block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
-            rows = {c: frame[c].to_numpy() for c in names}
+            rows = {c: frame[c].to_numpy() for c in frame.columns}
             if rest is not None:
-                rows = {c: np.concatenate([rest[c], rows[c]]) for c in names}
-            new = np.zeros(len(rows["anchor"]) - 1, bool)
-            for c in names[:4]:
+                rows = {c: np.concatenate([rest[c], rows[c]]) for c in rows}
+            new = np.zeros(max(0, len(rows["anchor"]) - 1), bool)
+            for c in BLOCK:
                 new |= rows[c][1:] != rows[c][:-1]
             cuts = np.flatnonzero(new) + 1
-            found = [
-                pair
-                for begin, end in zip([0, *cuts[:-1]], cuts)
-                if end - begin > 1
-                for pair in of_block({c: v[begin:end] for c, v in rows.items()})
-            ]
+            for begin, end in zip([0, *cuts[:-1]], cuts):
+                if end - begin > 1:
+                    yield of_block({c: v[begin:end] for c, v in rows.items()}, percent)
             rest = {c: v[cuts[-1] if len(cuts) else 0 :] for c, v in rows.items()}
-            yield _ordered(found)
         if rest is not None and len(rest["anchor"]) > 1:
-            yield _ordered(list(of_block(rest)))
+            yield of_block(rest, percent)
 
-    return block_pairs
+    return by_block
 
 
-def _ordered(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    a = np.concatenate([np.zeros(0, np.int64), *[x for x, _ in found]])
-    b = np.concatenate([np.zeros(0, np.int64), *[x for _, x in found]])
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+def blocked(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK)
 
 
 def shared_postings(signed: DataFrame) -> DataFrame:
-    """``token``, ``set_id``, ``n`` of shingles that several sets have among their smallest, and ``rows`` of the shingle."""
-    by_token = Window.partitionBy("token").orderBy("set_id")
-    whole = by_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return kept_table(
-        signed.select("set_id", "n", F.explode("prefix").alias("token"))
-        .withColumn("before", F.lag("set_id").over(by_token))
-        .withColumn("low", F.first("set_id").over(whole))
-        .withColumn("high", F.last("set_id").over(whole))
-        .withColumn("rows", F.count("*").over(whole))
-        .where("low != high and (before is null or before != set_id)")
-        .select("token", "set_id", "n", "rows"),
-        "postings",
+    """``token``, ``set_id``, ``n`` of shingles that several sets have among their smallest, and ``rows`` of the shingle.
+
+    A shingle of any number of sets is summed up before it is shuffled; its postings meet the one row of the sum.
+    """
+    rows = signed.select("set_id", "n", F.explode("prefix").alias("token"))
+    shared = kept_table(
+        rows.groupBy("token")
+        .agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.count("*").alias("rows"))
+        .where("low != high")
+        .select("token", "rows"),
+        "shared",
     )
+    return kept_table(rows.join(small_side(shared), "token").groupBy("token", "set_id", "n", "rows").agg(F.lit(1).alias("one")).drop("one"), "postings")
 
 
 def ties_to_central(postings: DataFrame) -> DataFrame:
@@ -346,21 +397,24 @@ def ties_to_central(postings: DataFrame) -> DataFrame:
     original more than its edited copies.
     """
     central = postings.groupBy("set_id", "n").agg((F.sum("rows") / F.col("n")).alias("central"))
-    first = Window.partitionBy("token").orderBy(F.desc("central"), "set_id")
+    placed = kept_table(postings.select("token", "set_id", "n").join(central, ["set_id", "n"]), "central")
+    best = F.min(F.struct((-F.col("central")).alias("central"), "set_id", "n"))
+    anchors = kept_table(placed.groupBy("token").agg(best.alias("anchor")), "anchors")
     return (
-        postings.join(central, ["set_id", "n"])
-        .withColumn("anchor", F.first(F.struct("set_id", "n")).over(first))
+        placed.select("token", "set_id", "n")
+        .join(small_side(anchors), "token")
         .where("set_id != anchor.set_id")
         .select(F.col("set_id").alias("a"), F.col("anchor.set_id").alias("b"), F.col("n").alias("na"), F.col("anchor.n").alias("nb"))
         .distinct()
     )
 
 
-def tree_candidates(stars: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of sets in different groups that share a shingle and may reach the threshold.
+def tree_links(stars: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between sets of different groups that join all groups which links join.
 
     Sets that share a shingle are tied to the same central set, so there is one
-    tree for each central set and not for each shingle.
+    tree for each central set and not for each shingle. A block has ``block`` sets at most, and
+    fewer where they are so large that their shingles would not fit into a task.
     """
     members = (
         stars.select(F.col("b").alias("anchor"), F.col("a").alias("set_id"), F.col("na").alias("n"))
@@ -386,20 +440,17 @@ def tree_candidates(stars: DataFrame, groups: DataFrame, sets: DataFrame, percen
     )
     blocks = (
         classed.join(counts, ["anchor", "class"])
-        .withColumn("parts", F.ceil(F.col("rows") / block))
+        .withColumn("parts", F.ceil(F.col("rows") / F.least(F.lit(block), F.ceil(BLOCK_SHINGLES / F.pow(F.lit(100 / percent), F.col("class") + 1)))))
         .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")))
         .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
         .withColumn("i", F.least("part", "other"))
         .withColumn("k", F.greatest("part", "other"))
         .join(sets.select("set_id", "bits"), "set_id")
-        .select("anchor", "class", "i", "k", "part", "own", "set_id", "n", "group", "bits")
-    )
-    return (
-        blocks.repartition("anchor", "class", "i", "k")
-        .sortWithinPartitions("anchor", "class", "i", "k")
-        .mapInPandas(_block_pairs(percent), "a long, b long")
-        .distinct()
+        .select(*BLOCK, "part", "own", "set_id", "n", "group", "bits")
     )
+    open_rows = kept_table(blocked(blocks).mapInPandas(_by_block(with_partners, percent), MEMBER), "open")
+    tokens = full_sets_of(open_rows.select("set_id").distinct(), sets, docs, size)
+    return blocked(open_rows.join(tokens, "set_id")).mapInPandas(_by_block(spanning_links, percent), "a long, b long").distinct()
 
 
 def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -420,8 +471,8 @@ def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int = 2048) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``.
+def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int = 2048, keyed: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``; if ``keyed`` also ``doc``, a hash of id and text.
 
     docs: ``doc_id`` and ``text``; other columns are not read. An empty table
     gives no rows. ``percent`` is the threshold in hundredths; ``block`` bounds
@@ -441,22 +492,15 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     )
     links = kept_table(confirmed(stars, sets, docs, size, percent), "links")
     groups = kept_table(components(links), "groups")
-    sizes = sets.select("set_id", "n")
-    more = (
-        tree_candidates(stars, groups, sets, percent, block)
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        .join(sizes.select(F.col("set_id").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("set_id").alias("b"), F.col("n").alias("nb")), "b")
-    )
-    found = kept_table(confirmed(more, sets, docs, size, percent), "links")
+    found = kept_table(tree_links(stars, groups, sets, docs, size, percent, block), "links")
     if not found.isEmpty():
         groups = kept_table(merged(groups, found), "groups")
     placed = (
-        signed.select("doc_id", "set_id", "n")
+        signed.select("doc_id", "doc", "set_id", "n")
         .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
-        .select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "set_id")).alias("root"))
+        .select("doc_id", "doc", "n", F.when(F.col("n") > 0, F.coalesce("root", "set_id")).alias("root"))
     )
     smallest = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     return placed.join(smallest, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"), *(["doc"] if keyed else [])
     )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.session import new_folder, settings
 
@@ -30,9 +31,42 @@ def kept_table(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def small_side(rows: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """Rows to broadcast if a count shows that they are few, else rows for a shuffled join.
+BROADCAST_BYTES = 48 << 20
 
-    rows: a written table, so that counting reads its footers only.
+
+def small_side(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows to broadcast if their size in memory is known to be small, else rows for a shuffled join.
+
+    rows: a written table. Where all columns have a fixed width, measuring reads its footers only.
     """
-    return F.broadcast(rows) if rows.count() <= limit else rows
+    return F.broadcast(rows) if memory_size(rows) <= limit else rows
+
+
+def memory_size(rows: DataFrame) -> int:
+    """Bytes of all rows in memory: eight a value, and the lengths of texts and lists."""
+    fixed, lengths = 16, []
+    for field in rows.schema:
+        fixed += 8
+        if (length := _length(F.col(field.name), field.dataType)) is not None:
+            lengths.append(F.coalesce(length, F.lit(0)).cast("long"))
+    if not lengths:
+        return rows.count() * fixed
+    found = rows.agg(F.count("*").alias("rows"), F.sum(sum(lengths[1:], lengths[0])).alias("bytes")).first()
+    return found["rows"] * fixed + (found["bytes"] or 0)
+
+
+def _length(column: Column, kind: T.DataType) -> Column | None:
+    """Bytes of a value beside its first eight, null for those of a fixed width."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(column)
+    if isinstance(kind, T.StructType):
+        parts = [_length(column[f.name], f.dataType) for f in kind.fields]
+        more = [F.coalesce(x, F.lit(0)).cast("long") for x in parts if x is not None]
+        return sum(more, F.lit(8 * len(kind.fields)).cast("long"))
+    if isinstance(kind, T.ArrayType):
+        each = _length(F.lit(None).cast(kind.elementType), kind.elementType)
+        if each is None:
+            return F.array_size(column) * 8
+        zero = F.lit(0).cast("long")
+        return F.aggregate(column, zero, lambda total, x: total + 8 + F.coalesce(_length(x, kind.elementType), zero).cast("long"))
+    return None

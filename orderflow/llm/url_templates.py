@@ -6,8 +6,8 @@ theirs; the longest wins. URLs that no rule fits are judged by the template of t
 1. Per host, digits and long hexadecimal runs in path segments become wildcards, and URLs
    become shapes with counts; the tree is built on shapes.
 2. From the root to the last segment, branches without labels and of a small share of their parent's
-   URLs become ``*``; branches whose labelled share of bad URLs is statistically the parent's become
-   ``*#``, which no path contains. Others stay as they are, so that no label reaches unlabelled branches.
+   URLs become ``*``; where several have labels, those whose labelled share of bad URLs is statistically the parent's
+   become ``*#``, which no path contains. Others stay as they are, so that no label reaches unlabelled branches.
 3. A template is rejected when its smoothed share of good labels is below a limit and it has
    enough labels. Labels are the verdicts of rules unless a column gives others.
 
@@ -89,14 +89,14 @@ def template_tree(shapes: DataFrame, least_share: float, z: float) -> DataFrame:
         rows = rows.withColumn("segment", F.get("rest", F.lit(0)))
         branches = rows.where("segment is not null").groupBy("host", "template", "segment").agg(*counts)
         parents = branches.groupBy("host", "template").agg(
-            *[F.sum(c).alias(f"all_{c}") for c in ("urls", "good", "bad")], F.count("*").alias("branches")
+            *[F.sum(c).alias(f"all_{c}") for c in ("urls", "good", "bad")], F.count(F.when(F.col("good") + F.col("bad") > 0, 1)).alias("labelled")
         )
         labels, all_labels = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad")
         pooled = (F.col("all_bad") + 0.5) / (all_labels + 1)
         differs = F.abs(F.col("bad") / labels - pooled) > z * F.sqrt(pooled * (1 - pooled) / labels)
         name = (
             F.when((labels == 0) & (F.col("urls") < least_share * F.col("all_urls")), UNLABELLED)
-            .when((F.col("branches") > 1) & (labels > 0) & ~F.coalesce(differs, F.lit(True)), ALIKE)
+            .when((F.col("labelled") > 1) & (labels > 0) & ~F.coalesce(differs, F.lit(True)), ALIKE)
             .otherwise(F.col("segment"))
         )
         named = branches.join(parents, ["host", "template"]).select("host", "template", "segment", name.alias("name"))

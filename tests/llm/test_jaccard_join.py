@@ -95,3 +95,39 @@ def test_merged_groups_join_through_their_roots(spark):
     links = spark.createDataFrame([(6, 2), (9, 30), (20, 21), (5, 6)], "a long, b long")
     got = {(r["node"], r["root"]) for r in op.merged(groups, links).collect()}
     assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8), (30, 8), (20, 20), (21, 20)}
+
+
+def test_links_of_a_block_span_its_components():
+    """Near copies around the threshold: as many links as joins of groups, and the components of all links."""
+    rnd = np.random.default_rng(2)
+    base = np.sort(rnd.integers(1, 1 << 62, 120, dtype=np.uint64))
+    sets = []
+    for k in range(160):
+        gone = rnd.permutation(120)[: int(rnd.integers(8, 30))]
+        new = rnd.integers(1, 1 << 62, len(gone), dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([np.delete(base, gone), new])))
+    n = np.array([len(x) for x in sets])
+    group = np.arange(len(sets))
+    group[20:30] = 20
+    rows = {
+        "anchor": np.zeros(160, int), "class": np.zeros(160, int), "i": np.zeros(160, int), "k": np.zeros(160, int), "part": np.zeros(160, int),
+        "own": np.ones(160, bool), "set_id": np.arange(160), "n": n, "group": group, "tokens": np.array([x.tobytes() for x in sets], object),
+    }
+    got = op.spanning_links(rows, 75)
+
+    def components(links):
+        label = group.copy()
+        for a, b in links:
+            label[label == label[b]] = label[a]
+        return {frozenset(np.flatnonzero(label == x)) for x in label}
+
+    every = []
+    for a in range(160):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (n[a] + n[b] - both):
+                every.append((a, b))
+    pairs = list(zip(got["a"], got["b"]))
+    assert set(pairs) <= {(b, a) for a, b in every} and len(every) > 300
+    assert components(pairs) == components(every) and len(components(pairs)) < 140
+    assert len(pairs) == 151 - len(components(every))

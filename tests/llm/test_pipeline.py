@@ -39,6 +39,13 @@ def test_stages_stand_awkward_rows(spark, stage):
     assert stage(spark, docs.limit(0), SF_DIR).count() == 0
 
 
+def test_another_text_of_the_same_id_stays(spark):
+    copied, other = samples.prose(1, 120), samples.prose(2, 120)
+    docs = samples.documents(spark, [(1, copied, "en", "a", 0), (2, copied, "en", "a", 0), (2, other, "en", "a", 0), (None, copied, "en", "a", 0)])
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF_DIR).select("doc_id", "text").collect()
+    assert {(r.doc_id, r.text == other) for r in kept} == {(1, False), (2, True), (None, False)}
+
+
 @pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) & {*queries.QUERIES, "pipeline"}))
 def test_query_equals_sql(spark, name):
     rows = contract.queries()[name](spark, SF_DIR)
