@@ -41,11 +41,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates stays.
 
-    Rows of the smallest id with the same text stay together; a null id is no other's duplicate.
+    Rows of the smallest id stay together. Other texts of an id whose one text goes stay too. A null id
+    is no other's duplicate.
     """
-    groups = jaccard_join(docs, size=5, percent=75).where("doc_id != component_id").select("doc_id").distinct()
-    going = small_side(kept_table(groups.withColumnRenamed("doc_id", KEY), "going"))
-    return docs.join(going, F.col("doc_id") == F.col(KEY), "left_anti").select(*docs.columns)
+    return without(docs, jaccard_join(docs, size=5, percent=75, keyed=True).where("doc_id != component_id"))
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,13 +60,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of one id and text are one document here. Columns of these names are replaced.
     """
     plan = curriculum(docs, weights=(5, 2, 1), percent=150, cap=2)
-    passes = plan.where("taken > 0").groupBy("doc").agg(F.first("passes").alias("_passes"), F.first("size").alias("_size"))
+    times = F.transform("passes", lambda x: F.struct(x["position"].alias("position"), x["words"].alias("pass_words")))
+    passes = plan.where("taken > 0").groupBy("doc").agg(F.first(times).alias("_passes"), F.first("size").alias("_size"))
     passes = small_side(kept_table(passes.withColumnRenamed("doc", KEY), "passes"))
     used = (
         docs.withColumn(KEY, document_key())
         .join(passes, KEY)
         .select(*[c for c in docs.columns if c not in ("position", "pass_words")], "_size", F.inline("_passes"))
-        .withColumnRenamed("words", "pass_words")
     )
     part = F.array_join(F.slice(F.split(F.regexp_replace("text", f"^{WHITE}+", ""), f"{WHITE}+"), F.lit(1), F.col("pass_words").cast("int")), " ")
     cut = F.when(F.col("pass_words") < F.col("_size"), part).otherwise(F.col("text"))
