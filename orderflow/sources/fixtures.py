@@ -133,25 +133,42 @@ def earliest_offsets(held: DataFrame) -> DataFrame:
     return held.groupBy("topic", "partition").agg(F.min("offset").alias("earliest_offset"))
 
 
+#: Folders that this application has landed already, by what they hold.
+_landed: dict[tuple, tuple[str, int]] = {}
+
+
 def land(
     spark: SparkSession, sf_dir: str, batches: int = 4, order: str = "event_id"
 ) -> tuple[str, int]:
     """Write the records as files for a stream; returns folder and files per batch.
 
-    Files of a later batch hold later records, by event id or ``ts``, as a broker delivers them.
-    Their number follows the input, so a batch of a large input is many files.
+    Files of a later batch hold later records, by ``order`` (an expression), as a broker delivers them.
+    Their number follows the input, so a batch of a large input is many files. An application lands a log once;
+    streams only read it.
     """
+    key = (spark.sparkContext.applicationId, sf_dir, batches, order)
+    if key not in _landed:
+        _landed[key] = _land(spark, sf_dir, batches, order)
+    return _landed[key]
+
+
+def _land(spark: SparkSession, sf_dir: str, batches: int, order: str) -> tuple[str, int]:
     stored = _events_as_stored(spark, sf_dir)
     files = -(-max(batches, scan_splits(stored)) // batches)
     folder = new_folder(spark, "landed")
-    placed = _placed_events(spark, sf_dir, NUMBERING_BLOCK)
-    first, last = stored.agg(F.min(order), F.max(order)).first()
-    cuts = [first + (last - first) * k / batches for k in range(1, batches)] if first is not None else []
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = placed if low is None else placed.filter(F.col(order) >= F.lit(low))
-        part = part if high is None else part.filter(F.col(order) < F.lit(high))
-        rows = _as_messages(part.repartition(files, "event_id"), "topic", "partition", "offset")
-        rows.write.mode("append").parquet(folder)
+    place = F.expr(order)
+    # The log is numbered once for all batches.
+    placed = _placed_events(spark, sf_dir, NUMBERING_BLOCK).withColumn("place", place).persist()
+    try:
+        first, last = placed.agg(F.min("place"), F.max("place")).first()
+        cuts = [first + (last - first) * k / batches for k in range(1, batches)] if first is not None else []
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            part = placed if low is None else placed.filter(F.col("place") >= F.lit(low))
+            part = part if high is None else part.filter(F.col("place") < F.lit(high))
+            rows = _as_messages(part.repartition(files, "event_id"), "topic", "partition", "offset")
+            rows.write.mode("append").parquet(folder)
+    finally:
+        placed.unpersist()
     return folder, files
 
 

@@ -16,24 +16,23 @@ from orderflow.streaming.run import run_to_end
 Sink = Callable[[DataFrame, int], None]
 
 
-ROWS_PER_FILE = 1_000_000
-
-
 def folder_sink(folder: str, deliveries: int = 1) -> Sink:
     """Publish each batch to ``folder``; more deliveries act out a replay.
 
-    The batch is computed once and counted, and written to as many files as its size needs: the
-    partitions of a state store would leave a tiny file each.
+    Rows are dealt anew by size before they are written: the partitions of a state store would leave a tiny file
+    each. A batch that is delivered several times is computed once.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        kept = rows.persist()
+        even = rows.hint("rebalance")
+        if deliveries > 1:
+            even = even.persist()
         try:
-            out = kept.coalesce(-(-kept.count() // ROWS_PER_FILE) or 1)
             for _ in range(deliveries):
-                batches.write_batch(out, folder, batch_id)
+                batches.write_batch(even, folder, batch_id)
         finally:
-            kept.unpersist()
+            if deliveries > 1:
+                even.unpersist()
 
     return write
 

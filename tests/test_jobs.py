@@ -89,17 +89,17 @@ def test_a_report_survives_a_break_in_the_middle_of_a_batch(
 ):
     out = str(tmp_path / "out")
     report = jobs.NotifyReport()
-    whole = batches._append
+    whole = batches.Manifest.append
 
-    def breaking(spark, folder, rows):
-        if rows[0][2] == 1:
+    def breaking(held, entry):
+        if entry["batch"] == 1:
             raise RuntimeError("lost the driver")
-        whole(spark, folder, rows)
+        whole(held, entry)
 
-    monkeypatch.setattr(batches, "_append", breaking)
+    monkeypatch.setattr(batches.Manifest, "append", breaking)
     with pytest.raises(Exception, match="lost the driver"):
         run(spark, report, landed, out)
-    monkeypatch.setattr(batches, "_append", whole)
+    monkeypatch.setattr(batches.Manifest, "append", whole)
     run(spark, report, landed, out)
     facts = batch_facts(spark, S.NOTIFY_RULES)
     views = report.views(spark, out)

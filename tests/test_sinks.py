@@ -3,6 +3,7 @@ from builders import as_set
 from pyspark.sql import functions as F
 
 from orderflow.sinks import batches
+from orderflow.sinks.entries import Entries
 from orderflow.sources.tables import JdbcTable, read_options
 
 
@@ -125,6 +126,134 @@ def test_folding_changes_no_view(spark, tmp_path):
     assert state.fold == 2 and len(state.live) == 2 and len(before[3]) == 14
 
 
+def anew(spark, folder):
+    """The manifest as another process reads it."""
+    return batches.Manifest(spark, folder).refresh()
+
+
+def test_a_batch_published_during_a_fold_stays(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    for batch in range(3):
+        batches.write_batch(rows(spark, ("a", 1, 1)), folder, batch, "one")
+    put, late = batches.Manifest.append_fold, []
+
+    def publish_between(held, entry):
+        if not late:
+            late.append(batches.Manifest(spark, folder))
+            late[0].refresh()
+            batch = rows(spark, ("a", 1, 1))
+            monkeypatch.setattr(batches, "manifest", lambda *_: late[0])
+            batches.write_batch(batch, folder, 3, "one")
+            monkeypatch.undo()
+        return put(held, entry)
+
+    monkeypatch.setattr(batches.Manifest, "append_fold", publish_between)
+    assert batches.fold(spark, folder, {"rows": batches.Fold("sum", ("province", "hour"))})
+    history = batches.read_batches(spark, folder)
+    assert as_set(batches.counter_sums(history, "province", "hour")) == {("a", 1, 4)}
+    assert sorted(anew(spark, folder).live) == [("one", 2), ("one", 3)]
+
+
+def test_only_one_of_two_folds_counts(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    for batch in range(4):
+        batches.write_batch(rows(spark, ("a", 1, 1)), folder, batch, "one")
+    put, second = batches.Manifest.append_fold, []
+
+    def fold_between(held, entry):
+        if not second:
+            second.append(batches.Manifest(spark, folder))
+            monkeypatch.setattr(batches, "manifest", lambda *_: second[0])
+            assert batches.fold(spark, folder, {})
+        return put(held, entry)
+
+    monkeypatch.setattr(batches.Manifest, "append_fold", fold_between)
+    assert not batches.fold(spark, folder, {})
+    assert batches.read_batches(spark, folder).count() == 4 and anew(spark, folder).fold == 1
+
+
+def test_two_publishers_lose_nothing(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    publishers = [batches.Manifest(spark, folder) for _ in range(2)]
+    for batch in range(4):
+        monkeypatch.setattr(batches, "manifest", lambda *_, n=batch: publishers[n % 2])
+        batches.write_batch(rows(spark, ("a", 1, 1)), folder, batch // 2, f"run{batch % 2}")
+    monkeypatch.undo()
+    assert len(anew(spark, folder).live) == 4
+    assert batches.read_batches(spark, folder).count() == 4
+
+
+def test_a_long_history_is_rewritten_a_few_times_only(spark, tmp_path, monkeypatch):
+    """Rows of rule all, folded after every batch: how often a row is written again grows with levels, not folds."""
+    monkeypatch.setattr(batches, "FAN", 3)
+    folder, written, together = str(tmp_path / "t"), [], batches._together
+
+    def counting(results):
+        out = together(results)
+        written.append(out.count())
+        return out
+
+    for batch in range(28):
+        batches.write_batch(rows(spark, ("a", 1, batch)), folder, batch, "one")
+        if batch:
+            monkeypatch.setattr(batches, "_together", counting)
+            assert batches.fold(spark, folder, {})
+            monkeypatch.setattr(batches, "_together", together)
+    assert sum(written) <= 27 * 4 and max(written) == 27
+    assert len(anew(spark, folder).parts["rows"]) <= 2 * 4
+    history = batches.read_batches(spark, folder)
+    assert sorted(r.n for r in history.collect()) == list(range(28))
+
+
+def test_pruning_leaves_readers_their_files(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rules = {"rows": batches.Fold("sum", ("province", "hour"))}
+
+    def files():
+        return [x for x in (tmp_path / "t").rglob("*") if x.suffix in (".parquet", ".json")]
+
+    def go_on(first, last):
+        for batch in range(first, last):
+            batches.write_batch(rows(spark, ("a", 1, 1)), folder, batch, "one")
+        assert batches.fold(spark, folder, rules)
+
+    go_on(0, 6)
+    reader = batches.counter_sums(batches.read_batches(spark, folder), "province", "hour")
+    go_on(6, 8)
+    assert batches.prune(spark, folder, grace_seconds=3600) == 0
+    assert as_set(reader) == {("a", 1, 6)}
+    counts = []
+    for k in range(3):
+        go_on(8 + 2 * k, 10 + 2 * k)
+        assert batches.prune(spark, folder, grace_seconds=0) > 0
+        counts.append(len(files()))
+        fresh = batches.counter_sums(batches.read_batches(spark, folder), "province", "hour")
+        assert as_set(fresh) == {("a", 1, 10 + 2 * k)}
+    assert counts[0] == counts[1] == counts[2] <= 8
+    # A publisher that had read what is gone goes on behind the others.
+    batches.manifest(spark, folder).state.position = 1
+    batches.write_batch(rows(spark, ("a", 1, 1)), folder, 14, "one")
+    assert as_set(batches.counter_sums(batches.read_batches(spark, folder), "province", "hour")) == {("a", 1, 15)}
+    assert sorted(anew(spark, folder).live) == [("one", 13), ("one", 14)]
+
+
+def test_running_sums_of_two_runs_add_up(spark, tmp_path):
+    """A query that lost its checkpoint counts from nothing; folding changes nothing."""
+    folder = str(tmp_path / "t")
+    for run, batch, n in (("one", 0, 3), ("one", 1, 5), ("two", 0, 1), ("two", 1, 3)):
+        batches.write_batch(rows(spark, ("a", 1, n)), folder, batch, run)
+    for _ in range(2):
+        assert as_set(batches.running_totals(batches.read_batches(spark, folder), "province", "hour")) == {("a", 1, 8)}
+        batches.fold(spark, folder, {"rows": batches.Fold("running", ("province", "hour"))})
+
+
+def test_entries_are_written_once(spark, tmp_path):
+    one, two = (Entries(spark, str(tmp_path / "e")) for _ in range(2))
+    assert one.put_if_absent(1, {"a": 1}) and not two.put_if_absent(1, {"a": 2}) and two.put_if_absent(2, {"é": "x"})
+    assert one.read(1) == {"a": 1} and one.read(2) == {"é": "x"} and one.read(3) is None
+    assert one.numbers() == [1, 2] and one.numbers(1) == [2] and len(one.names()) == 2
+
+
 def test_row_keys_depend_on_the_keys_only(spark):
     keyed = batches.with_row_key(
         rows(spark, ("a", 1, 2), ("a", 1, 3), ("a", 12, 3), ("a1", 2, 3), (None, 1, 1)),
