@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import words
 from orderflow.llm.components import components
-from orderflow.llm.tables import kept_table, small_side
+from orderflow.llm.tables import discard, kept_table, small_side
 
 LEAF = 32
 FAN = 8
@@ -284,8 +284,6 @@ MEMBER = "anchor long, class long, i long, k long, part long, own boolean, set_i
 def _trees(rows: dict[str, np.ndarray], bits: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of a block that may be links, some pairs at a time."""
     n, group, own, part = (rows[c] for c in ("n", "group", "own", "part"))
-    if group.min() == group.max():
-        return
     i, k = rows["i"][0], rows["k"][0]
     # A set of the class below meets the class's own sets here, and its like elsewhere.
     kinds = [(own & (part == i), own & (part == k), i == k), (own & (part == i), ~own & (part == k), False)]
@@ -301,12 +299,13 @@ def _trees(rows: dict[str, np.ndarray], bits: np.ndarray, percent: int) -> Itera
                     yield left[p], right[q]
 
 
-def with_partners(rows: dict[str, np.ndarray], percent: int) -> pd.DataFrame:
+def with_partners(rows: dict[str, np.ndarray], percent: int) -> dict[str, np.ndarray]:
     """The rows of a block that bitmaps and sizes leave a partner."""
     held = np.zeros(len(rows["n"]), bool)
-    for p, q in _trees(rows, stacked(rows["bits"]), percent):
-        held[p] = held[q] = True
-    return pd.DataFrame({c: v[held] for c, v in rows.items() if c != "bits"})
+    if rows["group"].min() != rows["group"].max():
+        for p, q in _trees(rows, stacked(rows["bits"]), percent):
+            held[p] = held[q] = True
+    return {c: v[held] for c, v in rows.items() if c != "bits"}
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -322,7 +321,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.bitwise_count(bits[1] & row).sum(1, dtype=np.int64) for row in bits[0]])
 
 
-def spanning_links(rows: dict[str, np.ndarray], percent: int) -> pd.DataFrame:
+def spanning_links(rows: dict[str, np.ndarray], percent: int) -> dict[str, np.ndarray]:
     """Links of a block, each between what were two groups so far."""
     tokens = [as_words(x) for x in rows["tokens"]]
     bits = stacked(np.array([bitmap(x) for x in tokens], object))
@@ -344,7 +343,7 @@ def spanning_links(rows: dict[str, np.ndarray], percent: int) -> pd.DataFrame:
                 links.append((ids[a], ids[b]))
                 group[group == group[b]] = group[a]
     found = np.array(links, np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": found.min(1, initial=np.iinfo(np.int64).max), "b": found.max(1, initial=np.iinfo(np.int64).min)})
+    return {"a": found.min(1, initial=np.iinfo(np.int64).max), "b": found.max(1, initial=np.iinfo(np.int64).min)}
 
 
 def _by_block(of_block, percent: int):
@@ -360,12 +359,16 @@ def _by_block(of_block, percent: int):
             for c in BLOCK:
                 new |= rows[c][1:] != rows[c][:-1]
             cuts = np.flatnonzero(new) + 1
-            for begin, end in zip([0, *cuts[:-1]], cuts):
-                if end - begin > 1:
-                    yield of_block({c: v[begin:end] for c, v in rows.items()}, percent)
+            got = [
+                of_block({c: v[begin:end] for c, v in rows.items()}, percent)
+                for begin, end in zip([0, *cuts[:-1]], cuts)
+                if end - begin > 1
+            ]
+            if got:
+                yield pd.DataFrame({c: np.concatenate([x[c] for x in got]) for c in got[0]})
             rest = {c: v[cuts[-1] if len(cuts) else 0 :] for c, v in rows.items()}
         if rest is not None and len(rest["anchor"]) > 1:
-            yield of_block(rest, percent)
+            yield pd.DataFrame(of_block(rest, percent))
 
     return by_block
 
@@ -387,26 +390,32 @@ def shared_postings(signed: DataFrame) -> DataFrame:
         .select("token", "rows"),
         "shared",
     )
-    return kept_table(rows.join(small_side(shared), "token").groupBy("token", "set_id", "n", "rows").agg(F.lit(1).alias("one")).drop("one"), "postings")
+    postings = kept_table(rows.join(shared, "token").groupBy("token", "set_id", "n", "rows").agg(F.lit(1).alias("one")).drop("one"), "postings")
+    discard(shared)
+    return postings
 
 
-def ties_to_central(postings: DataFrame) -> DataFrame:
-    """Each set of a shingle (``a``, ``na``) with the shingle's most central set (``b``, ``nb``).
+def ties_to_central(signed: DataFrame) -> DataFrame:
+    """Each set of a shared shingle (``a``, ``na``) with the shingle's most central set (``b``, ``nb``).
 
     Central is the set whose shingles are shared most often for its size: the
     original more than its edited copies.
     """
+    postings = shared_postings(signed)
     central = postings.groupBy("set_id", "n").agg((F.sum("rows") / F.col("n")).alias("central"))
     placed = kept_table(postings.select("token", "set_id", "n").join(central, ["set_id", "n"]), "central")
     best = F.min(F.struct((-F.col("central")).alias("central"), "set_id", "n"))
     anchors = kept_table(placed.groupBy("token").agg(best.alias("anchor")), "anchors")
-    return (
+    stars = kept_table(
         placed.select("token", "set_id", "n")
-        .join(small_side(anchors), "token")
+        .join(anchors, "token")
         .where("set_id != anchor.set_id")
         .select(F.col("set_id").alias("a"), F.col("anchor.set_id").alias("b"), F.col("n").alias("na"), F.col("anchor.n").alias("nb"))
-        .distinct()
+        .distinct(),
+        "stars",
     )
+    discard(postings, placed, anchors)
+    return stars
 
 
 def tree_links(stars: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int, block: int) -> DataFrame:
@@ -481,7 +490,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     doc_id = F.col("doc_id").cast("long")
     docs = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc"), "text")
     signed = kept_table(docs.mapInArrow(_signatures(size, percent), SIGNATURE), "signatures")
-    stars = kept_table(ties_to_central(shared_postings(signed)), "stars")
+    stars = ties_to_central(signed)
     # All later steps are about these sets only.
     tied = small_side(kept_table(stars.select(F.col("a").alias("set_id")).union(stars.select("b")).distinct(), "tied"))
     sets = kept_table(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,21 @@ def kept_table(rows: DataFrame, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
         rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    kept = spark.read.schema(rows.schema).parquet(folder)
+    _folders[kept] = folder
+    return kept
+
+
+#: Where written tables lie.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that no later step reads."""
+    for rows in tables:
+        spark = rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop(rows))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BROADCAST_BYTES = 48 << 20
