@@ -47,8 +47,29 @@ def resume_plan(saved: DataFrame, earliest: DataFrame) -> DataFrame:
     )
 
 
+def resume_positions(
+    saved: DataFrame, earliest: DataFrame, topics: list[str] | None = None, all_listed: bool = True
+) -> DataFrame:
+    """Where a new query begins in every partition that the log has or the ledger knows.
+
+    ``saved`` and ``earliest`` are those of ``resume_plan``. ``status`` is ``saved``; ``behind`` where the log no longer
+    reaches back to the saved offset, and ``new`` where nothing was saved, both begin at the earliest offset; ``vanished`` where the
+    log has no such partition any more, which has no start. ``topics`` leaves out those that aren't subscribed. Where ``earliest``
+    doesn't list all partitions of the log (``all_listed``), one that it lacks is taken to be there.
+    """
+    place = ["topic", "partition"]
+    both = saved.join(earliest, place, "full_outer")
+    if topics is not None:
+        both = both.filter(F.col("topic").isin(topics))
+    gone, unknown = F.col("earliest_offset").isNull() & all_listed, F.col("saved_offset").isNull()
+    behind = F.col("saved_offset") < F.col("earliest_offset")
+    status = F.when(gone, "vanished").when(unknown, "new").when(behind, "behind").otherwise("saved")
+    start = F.when(~gone, F.greatest("saved_offset", "earliest_offset"))
+    return both.select(*place, "saved_offset", "earliest_offset", start.alias("start_offset"), status.alias("status"))
+
+
 def starting_offsets_json(plan: DataFrame) -> str:
-    """The resume plan as the Kafka source's ``startingOffsets``.
+    """The resume plan as the Kafka source's ``startingOffsets``; partitions without a start are left out.
 
     One JSON text per topic is built in Spark; the texts are the configuration of a query.
     """
@@ -57,6 +78,6 @@ def starting_offsets_json(plan: DataFrame) -> str:
             F.collect_list(F.struct(F.col("partition").cast("string"), F.col("start_offset")))
         )
     )
-    topics = plan.groupBy("topic").agg(F.to_json(per_partition).alias("offsets"))
+    topics = plan.filter("start_offset IS NOT NULL").groupBy("topic").agg(F.to_json(per_partition).alias("offsets"))
     rows = topics.orderBy("topic").collect()
     return "{" + ", ".join(f"{json.dumps(row['topic'])}: {row['offsets']}" for row in rows) + "}"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderflow import schema as S
 from orderflow.functions import times
 from orderflow.functions.numbers import strict_int
-from orderflow.functions.texts import json_fields
+from orderflow.functions.texts import is_one_object, json_fields
 
 _FIELDS = {
     S.REQUEST_ID: "request_id",
@@ -45,6 +45,7 @@ def _reject_reason(rules: S.MessageRules) -> Column:
     return F.expr(
         f"""CASE
           WHEN coalesce({", ".join(_FIELDS.values())}) IS NULL THEN 'unreadable'
+          WHEN NOT one_object THEN 'trailing_text'
           WHEN {required} OR fee_text IS NULL THEN 'missing_field'
           WHEN fee IS NULL THEN 'bad_fee'
           WHEN start_ts IS NULL THEN 'bad_start_time'
@@ -61,6 +62,7 @@ def check_messages(messages: DataFrame, rules: S.MessageRules) -> DataFrame:
     would let the optimizer copy the time parsing into every filter on top of it.
     """
     typed = F.struct(
+        is_one_object(F.col("value")).alias("one_object"),
         strict_int(F.col("fee_text")).alias("fee"),
         times.compact_time(F.col("request_id")).alias("start_ts"),
         times.whole_compact_time(F.col("notify_time")).alias("notified_ts"),
@@ -117,10 +119,11 @@ def check_day_results(messages: DataFrame) -> DataFrame:
             "request_id", "province_code", "result_code"
         ),
     )
-    day = F.struct(times.compact_day(F.col("request_id")).alias("day"))
+    day = F.struct(times.compact_day(F.col("request_id")).alias("day"), is_one_object(F.col("value")).alias("one_object"))
     real = times.is_compact_day(F.col("day"))
     reason = (
         F.when(F.coalesce("request_id", "province_code", "result_code").isNull(), "unreadable")
+        .when(~F.col("one_object"), "trailing_text")
         .when(
             F.col("request_id").isNull() | F.col("province_code").isNull() | F.col("result_code").isNull(),
             "missing_field",

@@ -204,14 +204,17 @@ def saved_positions(spark: SparkSession, report: Report, folder: str) -> DataFra
     return offsets.saved_offsets(_written(spark, folder, "offsets"), report.group)
 
 
-def resume_offsets(spark: SparkSession, report: Report, folder: str, earliest: DataFrame) -> str:
-    """Starting offsets for a new query from the ledger a report has kept.
-
-    ``earliest`` holds the first offset each partition still has
-    (``topic, partition, earliest_offset``).
+def resume_offsets(
+    spark: SparkSession, report: Report, folder: str, earliest: DataFrame, topics: list[str] | None = None, all_listed: bool = False
+) -> str:
+    """Starting offsets for a new query from the ledger a report has kept, for all partitions of the log.
+
+    ``earliest`` holds the first offset each partition still has (``topic, partition, earliest_offset``);
+    ``topics`` are those that the query subscribes. A partition that ``earliest`` lacks keeps its saved offset, unless
+    ``all_listed`` says that the log has no others; the Kafka source takes no offset for a partition that is gone.
     """
     saved = saved_positions(spark, report, folder)
-    return offsets.starting_offsets_json(offsets.resume_plan(saved, earliest))
+    return offsets.starting_offsets_json(offsets.resume_positions(saved, earliest, topics, all_listed))
 
 
 def daily_facts(results: DataFrame, dimension: DataFrame, how: str = "inner") -> DataFrame:

@@ -220,6 +220,8 @@ _FANOUT = _orders(
       FROM located GROUP BY province ORDER BY n DESC, province LIMIT 10)"""
 )
 
+_SAVED_PARTITIONS = "NOT (topic = 'orders' AND \"partition\" = 1)"
+
 ORACLE_SQL: dict[str, str] = {
     "daily_overview": _DAILY,
     "parse_orders": _PARSE,
@@ -335,5 +337,53 @@ ORACLE_SQL: dict[str, str] = {
       SELECT topic, "partition", saved_offset, earliest_offset,
         greatest(saved_offset, earliest_offset) AS start_offset
       FROM saved LEFT JOIN earliest USING (topic, "partition")""",
+    "rejected_trailing_text": f"""WITH checked AS (
+        SELECT event_id % 997 AS kind, event_id % 1009 IN (5, 6) AS glued FROM events),
+      reasons AS (
+        SELECT 'orders' AS report, CASE WHEN kind = 0 THEN 'unreadable' WHEN glued THEN 'trailing_text' WHEN kind = 1 THEN 'missing_field'
+          WHEN kind = 2 THEN 'bad_fee' WHEN kind = 3 THEN 'bad_start_time' WHEN kind = 4 THEN 'bad_end_time' END AS reason FROM checked
+        UNION ALL
+        SELECT 'daily', CASE WHEN kind = 0 THEN 'unreadable' WHEN glued THEN 'trailing_text' WHEN kind = 1 THEN 'missing_field'
+          WHEN kind = 3 THEN 'bad_day' END FROM checked)
+      SELECT report, reason, {_N} AS messages FROM reasons WHERE reason IS NOT NULL GROUP BY 1, 2""",
+    "stream_from_positions": f"""WITH {_LOG},
+      halves AS (
+        SELECT *, "offset" < (max("offset") OVER (PARTITION BY topic, "partition") + 1) // 2 AS first_half FROM log)
+      SELECT CASE WHEN first_half THEN 'before' ELSE 'stream' END AS part, topic, "partition",
+        CAST(min("offset") AS BIGINT) AS from_offset, CAST(max("offset") + 1 AS BIGINT) AS until_offset, {_N} AS messages
+      FROM halves GROUP BY ALL""",
+    "stream_running_reseed": _FAILURES,
+    "stream_province_day_closing": _orders(
+        f"""SELECT {_DAY} AS day, province, {_N} AS orders, {_money()} AS fee_total,
+          date_trunc('day', start_ts) + INTERVAL 3 DAY
+            <= (SELECT date_trunc('day', max(start_ts)) + INTERVAL 1 DAY FROM notified) AS closed
+        FROM notified_located GROUP BY day, province, date_trunc('day', start_ts)"""
+    ),
+    "stream_late_minutes": _orders(
+        f"""SELECT strftime(minute_start, '%Y-%m-%d %H:%M:%S') AS minute_start, province,
+          {_count('NOT late')} AS orders, {_money('NOT late')} AS fee_total, {_count('late')} AS late_orders, {_money('late')} AS late_fee
+        FROM (
+          SELECT *, date_trunc('minute', start_ts) AS minute_start,
+            coalesce(date_trunc('minute', start_ts) + INTERVAL 1 MINUTE <= (seen - INTERVAL 2 HOUR), false) AS late
+          FROM (
+            SELECT n.*, max(start_ts) OVER (ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+            FROM notified n JOIN (
+              SELECT event_id, CASE WHEN place >= lo + (hi - lo) * 3 / 4.0 THEN 3 WHEN place >= lo + (hi - lo) * 2 / 4.0 THEN 2
+                WHEN place >= lo + (hi - lo) / 4.0 THEN 1 ELSE 0 END AS batch
+              FROM (SELECT *, min(place) OVER () AS lo, max(place) OVER () AS hi FROM (
+                SELECT event_id, epoch(date_trunc('second', ts)) + CASE WHEN event_id % 10 = 0 THEN 864000 ELSE 0 END AS place FROM events))
+            ) placed USING (event_id)))
+        JOIN dimension USING (province_code) GROUP BY minute_start, province"""
+    ),
+    "offset_resume_positions": f"""WITH {_LOG},
+      saved AS ({_saved('from_offset', _SAVED_PARTITIONS)}),
+      earliest AS (
+        SELECT topic, "partition", CAST(min("offset") AS BIGINT) AS earliest_offset
+        FROM log WHERE ts >= TIMESTAMP '2024-01-30' AND NOT (topic = 'orders_failed' AND "partition" = 2) GROUP BY 1, 2)
+      SELECT topic, "partition", saved_offset, earliest_offset,
+        CASE WHEN earliest_offset IS NOT NULL THEN greatest(coalesce(saved_offset, earliest_offset), earliest_offset) END AS start_offset,
+        CASE WHEN earliest_offset IS NULL THEN 'vanished' WHEN saved_offset IS NULL THEN 'new'
+          WHEN saved_offset < earliest_offset THEN 'behind' ELSE 'saved' END AS status
+      FROM saved FULL OUTER JOIN earliest USING (topic, "partition")""",
     "offset_ledger_append": _log(_saved("until_offset", back=0)),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
@@ -12,11 +13,13 @@ from orderflow import schema as S
 from orderflow.functions.texts import display_key
 from orderflow.operators import leaders, lookup, metrics, offsets, prepare
 from orderflow.plans import jobs
-from orderflow.session import new_folder
+from orderflow.session import new_folder, settings
 from orderflow.sinks import batches
 from orderflow.sources import fixtures
 from orderflow.sources.dimension import read_province_dimension
 from orderflow.sources.messages import landed_messages, text_messages
+from orderflow.sources.positions import log_range, log_stream, write_log
+from orderflow.streaming import late, state
 from orderflow.streaming import metrics as running
 from orderflow.streaming.run import run_to_end
 
@@ -169,6 +172,18 @@ def daily_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.rejected_day_results(checked)
 
 
+def rejected_trailing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that were written behind another one, or before other text, by mistake."""
+    nth = F.col("key").cast("bigint") % 1009
+    value = F.col("value")
+    glued = F.when(nth == 5, F.concat(value, value)).when(nth == 6, F.concat(value, F.lit(" x"))).when(nth == 7, F.concat(value, F.lit(" \n")))
+    messages = fixtures.messages(spark, sf_dir).withColumn("value", F.coalesce(glued, value))
+    rejects = prepare.rejected_messages(messages, S.ALL_ORDERS_RULES)
+    daily = prepare.rejected_day_results(prepare.check_day_results(messages))
+    both = rejects.select("key", "reason", F.lit("orders").alias("report")).unionByName(daily.select("key", "reason", F.lit("daily").alias("report")))
+    return both.groupBy("report", "reason").agg(F.count("*").alias("messages"))
+
+
 def daily_unknown_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = prepare.parse_day_results(fixtures.messages(spark, sf_dir))
     return lookup.unknown_province_codes(results, fixtures.provinces(spark, sf_dir))
@@ -239,19 +254,19 @@ def stream_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_failures_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     failures = metrics.failures_weekday_hour_province(_notify_province_stream(spark, sf_dir))
     history = running.touched_keys(spark, failures, new_folder(spark, "failures"))
-    return batches.newest_per_key(history, "weekday", "hour", "province")
+    return batches.running_totals(history, "weekday", "hour", "province")
 
 
 def stream_weekday_hour_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = metrics.weekday_hour_volume(_notify_stream(spark, sf_dir))
     history = running.touched_keys(spark, volume, new_folder(spark, "weekday-hour"))
-    return batches.newest_per_key(history, "weekday", "hour")
+    return batches.running_totals(history, "weekday", "hour")
 
 
 def stream_province_day_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = metrics.province_day_volume(_notify_province_stream(spark, sf_dir))
     history = running.touched_keys(spark, volume, new_folder(spark, "province-day"))
-    return _shown_day(batches.newest_per_key(history, "day", "province"))
+    return _shown_day(batches.running_totals(history, "day", "province"))
 
 
 def _windows(spark: SparkSession, sf_dir: str, length: str, name: str) -> DataFrame:
@@ -273,7 +288,7 @@ def stream_province_minute_windows(spark: SparkSession, sf_dir: str) -> DataFram
 
 def stream_hourly_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = metrics.hourly_success_volume(_all_province_stream(spark, sf_dir))
-    return running.all_keys(spark, hours, new_folder(spark, "hours"))
+    return running.all_keys(spark, hours, new_folder(spark, "hours"), keys=("hour",))
 
 
 def stream_top10_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +360,84 @@ def stream_reseed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.views(spark, folder)["global_overview"]
 
 
+def _second_half(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The log as segments, and the positions (JSON) at which the second half of every partition begins."""
+    folder = new_folder(spark, "log")
+    records = fixtures.records(spark, sf_dir).persist()
+    try:
+        # Segments are small here, so that the halves are many files each.
+        size = max(1, records.count() // 50)
+        write_log(records, folder, size)
+        middle = records.groupBy("topic", "partition").agg(F.expr("(max(`offset`) + 1) div 2").alias("start_offset"))
+        return folder, offsets.starting_offsets_json(middle)
+    finally:
+        records.unpersist()
+
+
+def stream_from_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream reads that begins at given positions, and what a range before them holds."""
+    log, middle = _second_half(spark, sf_dir)
+    folder = new_folder(spark, "positions")
+    count = lambda rows: offsets.offset_ranges(rows).join(rows.groupBy("topic", "partition").agg(F.count("*").alias("messages")), ["topic", "partition"])
+    history = running.increments(spark, log_stream(spark, log, starting=middle), count, folder)
+    columns = ["topic", "partition", "from_offset", "until_offset", "messages"]
+    read = history.select(F.lit("stream").alias("part"), *columns)
+    return read.unionByName(count(log_range(spark, log, ending=middle)).select(F.lit("before").alias("part"), *columns))
+
+
+def stream_running_reseed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running failures of two queries: the second has lost the checkpoint and goes on from the totals of the first.
+
+    It begins at the positions where the first one ended and reads no message before them.
+    """
+    log, middle = _second_half(spark, sf_dir)
+    folder = new_folder(spark, "running-reseed")
+    keys, measures = ("weekday", "hour", "province_code"), ("failures",)
+
+    def totals() -> DataFrame:
+        history = batches.newest_per_key(batches.read_batches(spark, folder), *keys)
+        return history.select(*keys, *measures)
+
+    def run(stream: DataFrame, name: str, earlier: DataFrame | None) -> None:
+        facts = metrics.order_facts(prepare.parse_orders(stream, S.NOTIFY_RULES))
+        sums = state.running_sums(facts, keys, measures, earlier)
+        with settings(spark, state.STATE_STORE):
+            run_to_end(sums, running.folder_sink(folder), f"{folder}/{name}", "update", state_partitions=4)
+
+    run(log_stream(spark, log, ending=middle), "first", None)
+    run(log_stream(spark, log, starting=middle), "second", totals())
+    located = lookup.provinces_of_sums(totals(), fixtures.provinces(spark, sf_dir), "inner")
+    return located.groupBy("weekday", "hour", "province").agg(F.sum("failures").alias("failures"))
+
+
+def stream_province_day_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running volume per province and day; a day's state goes when one that ends two days later is seen."""
+    folder = new_folder(spark, "closing")
+    orders = prepare.parse_orders(_stream(spark, sf_dir, "event_id"), S.NOTIFY_RULES)
+    facts = metrics.order_facts(orders).select(
+        F.expr("CAST(day + INTERVAL 1 DAY AS TIMESTAMP)").alias("day_end"), "province_code", "orders", F.col("fee_all").alias("fee_total")
+    )
+    sums = state.closing_sums(facts, ("day_end", "province_code"), ("orders", "fee_total"), "day_end", "2 days")
+    with settings(spark, state.STATE_STORE):
+        run_to_end(sums, running.folder_sink(folder), f"{folder}/checkpoint", "update", state_partitions=4)
+    newest = batches.newest_per_key(batches.read_batches(spark, folder), "day_end", "province_code")
+    named = lookup.provinces_of_sums(newest, fixtures.provinces(spark, sf_dir), "inner")
+    day = F.date_format(F.col("day_end") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd")
+    return named.select(day.alias("day"), "province", "orders", "fee_total", "closed")
+
+
+def stream_late_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes of a log in which every tenth message comes ten days late, every batch delivered twice."""
+    order = "unix_seconds(CAST(ts AS TIMESTAMP)) + IF(event_id % 10 = 0, 864000, 0)"
+    orders = prepare.parse_orders(_stream(spark, sf_dir, order), S.NOTIFY_RULES)
+    volume = late.volume_with_late(
+        metrics.order_facts(orders), new_folder(spark, "late"), "1 minute", dt.timedelta(hours=2), deliveries=2
+    )
+    named = lookup.provinces_of_sums(volume, fixtures.provinces(spark, sf_dir), "inner")
+    sums = [F.sum(c).alias(c) for c in ("orders", "fee_total", "late_orders", "late_fee")]
+    return _shown_slot(named.groupBy(F.col("slot_start").alias("minute_start"), "province").agg(*sums), "minute_start")
+
+
 class _Interrupted(RuntimeError):
     """Raised by ``stream_restart_resume`` to break its own query."""
 
@@ -382,7 +475,7 @@ def sink_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed upsert of running values, every batch delivered twice."""
     volume = metrics.weekday_hour_volume(_notify_stream(spark, sf_dir))
     history = running.touched_keys(spark, volume, new_folder(spark, "upsert"), deliveries=2)
-    newest = batches.newest_per_key(history, "weekday", "hour")
+    newest = batches.running_totals(history, "weekday", "hour")
     key = display_key(F.col("weekday"), F.col("hour"))
     return newest.select(key.alias("dayhour"), "orders", "fee_total")
 
@@ -420,7 +513,7 @@ def sink_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running failures appended by every batch; the last row per key is returned."""
     failures = metrics.failures_province_hour(_all_province_stream(spark, sf_dir))
     history = running.touched_keys(spark, failures, new_folder(spark, "history"), deliveries=2)
-    return batches.newest_per_key(history, "province", "hour")
+    return batches.running_totals(history, "province", "hour")
 
 
 # --- offsets -----------------------------------------------------------------
@@ -454,6 +547,15 @@ def offset_resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.resume_plan(saved, fixtures.earliest_offsets(fixtures.retained(log)))
 
 
+def offset_resume_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger and log that differ: one partition was never saved, and one is gone from the log."""
+    placed = fixtures.positions(spark, sf_dir)
+    ledger = fixtures.ledger(offsets.offset_ranges(placed, "batch_id")).filter("NOT (topic = 'orders' AND partition = 1)")
+    held = fixtures.retained(placed).filter("NOT (topic = 'orders_failed' AND partition = 2)")
+    saved = offsets.saved_offsets(ledger, fixtures.BEHIND_GROUP)
+    return offsets.resume_positions(saved, fixtures.earliest_offsets(held), ["orders", "orders_failed"])
+
+
 def offset_ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger kept by a stream itself, every batch delivered twice."""
     history = running.increments(
@@ -473,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "notify_orders": notify_orders,
     "rejected_orders": rejected_orders,
     "daily_rejected": daily_rejected,
+    "rejected_trailing_text": rejected_trailing_text,
     "daily_unknown_codes": daily_unknown_codes,
     "province_dimension": province_dimension,
     "offline_orders_scan": offline_orders_scan,
@@ -512,6 +615,10 @@ QUERIES: dict[str, Query] = {
     "stream_province_hour_windows": stream_province_hour_windows,
     "stream_province_minute_windows": stream_province_minute_windows,
     "stream_reseed": stream_reseed,
+    "stream_from_positions": stream_from_positions,
+    "stream_running_reseed": stream_running_reseed,
+    "stream_province_day_closing": stream_province_day_closing,
+    "stream_late_minutes": stream_late_minutes,
     "stream_hourly_complete": stream_hourly_complete,
     "stream_top10_complete": stream_top10_complete,
     "stream_daily_overview": stream_daily_overview,
@@ -525,5 +632,6 @@ QUERIES: dict[str, Query] = {
     "offset_ledger_latest": offset_ledger_latest,
     "offset_ledger_by_group": offset_ledger_by_group,
     "offset_resume_plan": offset_resume_plan,
+    "offset_resume_positions": offset_resume_positions,
     "offset_ledger_append": offset_ledger_append,
 }

@@ -220,6 +220,14 @@ def newest_snapshot(spark: SparkSession, folder: str, name: str = "rows") -> Dat
     return _read(spark, state, name, folder, only, parts=()).drop("batch_id")
 
 
+def newest_snapshots(spark: SparkSession, folder: str, name: str = "rows") -> DataFrame:
+    """All rows of the last batch of every run."""
+    state = published(spark, folder)
+    last = {run: max(b for r, b in state.live if r == run) for run in {r for r, _ in state.live}}
+    only = {(run, batch): state.live[run, batch] for run, batch in last.items()}
+    return _read(spark, state, name, folder, only, parts=()).drop("batch_id")
+
+
 def newest_per_key(history: DataFrame, *keys: str) -> DataFrame:
     """Keyed upsert: the row of each key from the last batch that wrote the key.
 

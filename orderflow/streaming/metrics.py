@@ -46,7 +46,8 @@ def touched_keys(
 ) -> DataFrame:
     """Running sums whose batches hold only the keys that changed.
 
-    Returns the history: every row a batch has written.
+    Returns the history: every row a batch has written. A query that lost its checkpoint begins from nothing, and
+    ``batches.running_totals`` adds up the newest sums of all runs.
     """
     run_to_end(
         running, folder_sink(folder, deliveries), f"{folder}/checkpoint", "update", state_partitions
@@ -55,10 +56,15 @@ def touched_keys(
 
 
 def all_keys(
-    spark: SparkSession, running: DataFrame, folder: str, state_partitions: int | None = None
+    spark: SparkSession, running: DataFrame, folder: str, state_partitions: int | None = None, keys: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Running sums of bounded keys whose batches hold every key. Returns the last batch."""
+    """Running sums of bounded keys whose batches hold every key. Returns the last batch.
+
+    With ``keys``, the last batches of all runs are added up: a query that lost its checkpoint begins from nothing.
+    """
     run_to_end(running, folder_sink(folder), f"{folder}/checkpoint", "complete", state_partitions)
+    if keys:
+        return batches.counter_sums(batches.newest_snapshots(spark, folder), *keys)
     return batches.newest_snapshot(spark, folder)
 
 

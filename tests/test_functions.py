@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderflow.functions import numbers, texts, times
+from orderflow.functions.texts import is_one_object
 
 
 def value(spark, column):
@@ -138,3 +139,31 @@ def test_times_are_wall_clock_times_of_the_session(spark):
         assert tuple(keys.first()) == ("2024-01-07", 0, 23, round(moment.timestamp() * 1000))
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize(
+    ("text", "whole"),
+    [
+        ('{"a":"1"}', True),
+        (' {"a":"1"} \n', True),
+        ('{"a":{"b":"}"}}', True),
+        ('{"a":"{"}', True),
+        ('{"a":"1"} trailing', False),
+        ('{"a":"1"}{"b":2}', False),
+        ('{"a":"1"},{"b":2}', False),
+        ('{"a":"1"},null', False),
+        ('{"a":"}"} x', False),
+        ('{"a":{}}]', False),
+        ('{"a":{}}] x}', False),
+        ('{"a":{}}}', False),
+        ('{"a":{}}} x]', False),
+        ('{"a":{}},"b":{}', False),
+        ('{"a":{}},', False),
+        ('{"a":"1"', False),
+        ("", False),
+        (None, False),
+    ],
+)
+def test_one_object_and_nothing_behind_it(spark, text, whole):
+    row = spark.createDataFrame([(text,)], "v string").select(is_one_object(F.col("v"))).first()
+    assert row[0] is whole

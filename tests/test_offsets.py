@@ -86,3 +86,25 @@ def test_numbering_equals_brute_force(spark, block):
         expected.add((event_id, *place, seen.get(place, 0)))
         seen[place] = seen.get(place, 0) + 1
     assert as_set(numbered) == expected
+
+
+def test_every_partition_of_the_log_has_a_start(spark):
+    """Saved, cut off by the log, never saved, gone from the log, and of a topic that isn't subscribed."""
+    plan = offsets.resume_positions(
+        saved(spark, ("t", 0, 5), ("t", 1, 50), ("t", 2, 7), ("u", 0, 3)),
+        earliest(spark, ("t", 0, 9), ("t", 1, 10), ("t", 8, 1), ("u", 0, 0)),
+        ["t"],
+    )
+    assert as_set(plan) == {
+        ("t", 0, 5, 9, 9, "behind"),
+        ("t", 1, 50, 10, 50, "saved"),
+        ("t", 2, 7, None, None, "vanished"),
+        ("t", 8, None, 1, 1, "new"),
+    }
+    assert json.loads(offsets.starting_offsets_json(plan)) == {"t": {"0": 9, "1": 50, "8": 1}}
+
+
+def test_a_query_without_a_ledger_begins_at_the_earliest_offsets(spark):
+    plan = offsets.resume_positions(saved(spark), earliest(spark, ("t", 0, 9)))
+    assert as_set(plan) == {("t", 0, None, 9, 9, "new")}
+    assert as_set(offsets.resume_positions(saved(spark), earliest(spark))) == set()

@@ -69,6 +69,15 @@ def test_update_batches_hold_touched_keys_only(spark, landed, tmp_path):
     }
 
 
+def test_snapshots_of_two_checkpoints_add_up(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n, texts in enumerate(([order("1", 0), order("1", 5)], [order("1", 0), order("2", 0)])):
+        land(spark, str(tmp_path / f"in{n}"), texts[:1], texts[1:])
+        hours = metrics.hourly_success_volume(facts(spark, str(tmp_path / f"in{n}")))
+        run_to_end(hours, running.folder_sink(out), f"{out}/checkpoint{n}", "complete", 2)
+    assert as_set(batches.counter_sums(batches.newest_snapshots(spark, out), "hour")) == {(0, 3, 30), (5, 1, 10)}
+
+
 def test_complete_batches_hold_all_keys(spark, landed, tmp_path):
     stream = metrics.hourly_success_volume(facts(spark, landed))
     newest = running.all_keys(spark, stream, str(tmp_path / "out"))
