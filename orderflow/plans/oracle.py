@@ -337,6 +337,7 @@ ORACLE_SQL: dict[str, str] = {
       SELECT topic, "partition", saved_offset, earliest_offset,
         greatest(saved_offset, earliest_offset) AS start_offset
       FROM saved LEFT JOIN earliest USING (topic, "partition")""",
+    "sink_partition_output": _PARSE,
     "rejected_trailing_text": f"""WITH checked AS (
         SELECT event_id % 997 AS kind, event_id % 1009 IN (5, 6) AS glued FROM events),
       reasons AS (

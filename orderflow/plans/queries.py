@@ -14,7 +14,7 @@ from orderflow.functions.texts import display_key
 from orderflow.operators import leaders, lookup, metrics, offsets, prepare
 from orderflow.plans import jobs
 from orderflow.session import new_folder, settings
-from orderflow.sinks import batches
+from orderflow.sinks import batches, partitions
 from orderflow.sources import fixtures
 from orderflow.sources.dimension import read_province_dimension
 from orderflow.sources.messages import landed_messages, text_messages
@@ -509,6 +509,19 @@ def sink_compacted_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.views(spark, folder)["daily_overview"]
 
 
+def sink_partition_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written partition by partition, every batch delivered twice."""
+    folder = new_folder(spark, "partitions")
+    orders = prepare.parse_orders(_stream(spark, sf_dir), S.ALL_ORDERS_RULES)
+
+    def twice(rows: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            partitions.write_partitions(rows, folder, batch_id, batches.current_run(rows.sparkSession))
+
+    run_to_end(orders, twice, f"{folder}/checkpoint")
+    return _shown_orders(partitions.read_partitions(spark, folder, S.ORDER_SCHEMA))
+
+
 def sink_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running failures appended by every batch; the last row per key is returned."""
     failures = metrics.failures_province_hour(_all_province_stream(spark, sf_dir))
@@ -627,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "sink_keyed_upsert": sink_keyed_upsert,
     "sink_additive_counters": sink_additive_counters,
     "sink_compacted_views": sink_compacted_views,
+    "sink_partition_output": sink_partition_output,
     "sink_append_history": sink_append_history,
     "offset_ranges": offset_ranges,
     "offset_ledger_latest": offset_ledger_latest,

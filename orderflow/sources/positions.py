@@ -53,6 +53,13 @@ class Span(InputPartition):
     until: int
 
 
+def store_of(folder: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system of a folder, and the folder's path in it."""
+    if "://" in folder or folder.startswith("file:"):
+        return pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
+    return pafs.LocalFileSystem(), folder
+
+
 class _Log:
     """What lies where in a folder."""
 
@@ -61,10 +68,7 @@ class _Log:
 
     @cached_property
     def store(self) -> tuple[pafs.FileSystem, str]:
-        if "://" in self.folder or self.folder.startswith("file:"):
-            uri = self.folder if "://" in self.folder else "file://" + self.folder.removeprefix("file:")
-            return pafs.FileSystem.from_uri(uri)
-        return pafs.LocalFileSystem(), self.folder
+        return store_of(self.folder)
 
     def _below(self, path: str, key: str) -> dict[str, str]:
         """Value and path of the folders ``key=value`` in a folder."""
