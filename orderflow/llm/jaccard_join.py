@@ -36,10 +36,13 @@ from pyspark.sql import functions as F
 from orderflow.llm import words
 from orderflow.llm.components import components
 from orderflow.llm.tables import discard, kept_table, small_side
+from orderflow.session import settings
 
 LEAF = 32
 FAN = 8
 BLOCK_SHINGLES = 8e6  # of the sets of one block
+#: Rows that go to Python at once: a pair of large sets is some hundred thousand bytes.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
 SIGNATURE = "doc_id long, doc long, set_id long, n long, bits binary, prefix array<long>"
 
 
@@ -487,23 +490,24 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     gives no rows. ``percent`` is the threshold in hundredths; ``block`` bounds
     how many sets of a tree a task holds twice over.
     """
-    doc_id = F.col("doc_id").cast("long")
-    docs = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc"), "text")
-    signed = kept_table(docs.mapInArrow(_signatures(size, percent), SIGNATURE), "signatures")
-    stars = ties_to_central(signed)
-    # All later steps are about these sets only.
-    tied = small_side(kept_table(stars.select(F.col("a").alias("set_id")).union(stars.select("b")).distinct(), "tied"))
-    sets = kept_table(
-        signed.join(tied, "set_id", "left_semi")
-        .groupBy("set_id")
-        .agg(F.min("doc").alias("doc"), F.max("n").alias("n"), F.first("bits").alias("bits")),
-        "sets",
-    )
-    links = kept_table(confirmed(stars, sets, docs, size, percent), "links")
-    groups = kept_table(components(links), "groups")
-    found = kept_table(tree_links(stars, groups, sets, docs, size, percent, block), "links")
-    if not found.isEmpty():
-        groups = kept_table(merged(groups, found), "groups")
+    with settings(docs.sparkSession, SMALL_BATCHES):
+        doc_id = F.col("doc_id").cast("long")
+        docs = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc"), "text")
+        signed = kept_table(docs.mapInArrow(_signatures(size, percent), SIGNATURE), "signatures")
+        stars = ties_to_central(signed)
+        # All later steps are about these sets only.
+        tied = small_side(kept_table(stars.select(F.col("a").alias("set_id")).union(stars.select("b")).distinct(), "tied"))
+        sets = kept_table(
+            signed.join(tied, "set_id", "left_semi")
+            .groupBy("set_id")
+            .agg(F.min("doc").alias("doc"), F.max("n").alias("n"), F.first("bits").alias("bits")),
+            "sets",
+        )
+        links = kept_table(confirmed(stars, sets, docs, size, percent), "links")
+        groups = kept_table(components(links), "groups")
+        found = kept_table(tree_links(stars, groups, sets, docs, size, percent, block), "links")
+        if not found.isEmpty():
+            groups = kept_table(merged(groups, found), "groups")
     placed = (
         signed.select("doc_id", "doc", "set_id", "n")
         .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
