@@ -38,25 +38,29 @@ def unescaped(text: Column) -> Column:
 def replayed(events: DataFrame) -> DataFrame:
     """Final messages ``conv_id``, ``turn``, ``role``, ``text`` of a log (conv_id, turn, seq, kind, role, text).
 
+    Events of a conversation and turn are of one message, unless a column ``message`` tells several of a turn apart.
     Rows without a known ``kind`` are messages of their own.
     """
+    if "message" not in events.columns:
+        events = events.withColumn("message", F.lit(0).cast("long"))
     events = events.withColumns({c: F.coalesce(c, F.lit("")) for c in ("kind", "role", "text")})
     parts = events.where(F.col("kind").isin("delta", "edit", "regenerate"))
-    in_order = Window.partitionBy("conv_id", "turn").orderBy("seq", "kind", "text")
-    behind = in_order.rowsBetween(1, Window.unboundedFollowing)
+    of_message = Window.partitionBy("conv_id", "turn", "message")
+    # From the last event back: a running frame, which a frame up to the end is not.
+    later = of_message.orderBy(F.desc("nth")).rowsBetween(Window.unboundedPreceding, -1)
     reset = F.when(F.col("kind") != "delta", True)
     folded = (
-        parts.withColumn("replaced", F.max(reset).over(behind))
-        .withColumn("nth", F.row_number().over(in_order))
+        parts.withColumn("nth", F.row_number().over(of_message.orderBy("seq", "kind", "text", "role")))
+        .withColumn("replaced", F.max(reset).over(later))
         .where("replaced is null")
-        .groupBy("conv_id", "turn")
+        .groupBy("conv_id", "turn", "message")
         .agg(
             F.max_by("role", "nth").alias("role"),
             F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "text"))), lambda x: x["text"]), "").alias("text"),
         )
     )
     whole = events.where(~F.col("kind").isin("delta", "edit", "regenerate"))
-    return folded.unionByName(whole.select("conv_id", "turn", "role", "text"))
+    return folded.drop("message").unionByName(whole.select("conv_id", "turn", "role", "text"))
 
 
 def rendered(messages: DataFrame, trained: str = "assistant") -> DataFrame:

@@ -3,11 +3,15 @@
 A page is cut into text nodes with their root-to-leaf tag path (tags and first classes). Each path
 sums up text length and punctuation over all its nodes. Three measures, length a node, punctuation a
 node and share of text outside links, are smoothed over neighbouring text nodes of the page, fused
-into one weight and compared with a share of the page's mean. Paths below it go, unless the page marks
-its article, where only what is plainly no article goes. Paths through
+into one weight and compared with a share of the page's mean. Paths below it go. Paths through
 menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles go in
 any case.
 
+A page may mark its article. If that holds a fair share of the page's text, nothing else is taken, and inside it only what
+is plainly no article goes: elements for other things, names for menus, adverts, sharing and reader
+comments, and links in lists or in blocks next to each other. Its own header, single
+linked blocks and sections of any other name stay.
+
 Kept nodes become blocks at block tags; white space inside a block is one space. ``br`` ends no
 block. Unclosed tags end with what holds them, a ``p`` with the next block tag. Null, empty and
 text-less pages have an empty text. A page is held by one task as a whole.
@@ -17,7 +21,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -48,13 +52,23 @@ NOT_CONTENT_WORD = re.compile(
     r"search\w*|legal|copyright|disclaimer|contentinfo|navigation|complementary|tags|meta|byline)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: The words that do so inside a marked article.
+NOT_ARTICLE_WORD = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|sidebar\w*|widget\w*|cookie\w*|consent|gdpr|"
+    r"popup|modal|overlay|newsletter|subscri\w*|sign-?up|login|share|sharing|social\w*|related|recommend\w*|breadcrumb\w*|pagination|"
+    r"pager|comment\w*|disqus|repl(?:y|ies)|toolbar|navigation|complementary)(?=$|[\s_-])",
+    re.IGNORECASE,
+)
 #: Layout words that say what stands beside the element, not in it.
 WITH = re.compile(r"\b(?:has|with|without|no)[-_][\w-]+", re.IGNORECASE)
 MARKED = frozenset(("article", "main"))
+#: A marked article is taken for the page's if it has this share of the text that nothing bars.
+FAIR_SHARE = 0.25
 
+#: A quote opens a value only behind an equals sign.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*+)(?:>|\Z)",
     re.DOTALL,
 )
 NAMES = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
@@ -65,7 +79,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: int
     barred: bool
     marked: bool
     linked: bool
@@ -74,11 +88,12 @@ class Element:
 @dataclass
 class Node:
     text: str
-    path: str
+    path: int
     block: int
     barred: bool
     marked: bool
     linked: bool
+    listed: bool  # in a list
 
 
 @dataclass
@@ -91,25 +106,27 @@ class Path:
     at: list[int] = field(default_factory=list)
 
 
-def opened(tag: str, attributes: str, parent: Element | None) -> Element:
-    names, barred = "", tag in NOT_CONTENT
+def opened(tag: str, attributes: str, parent: Element | None, paths: dict[tuple[int, str], int], in_article: bool) -> Element:
+    """paths: numbers of the paths so far, by the number of the path above and the last step."""
+    inside = parent.marked if parent else False
+    names, barred = "", tag in NOT_CONTENT and not (in_article and tag == "header")
+    words = NOT_ARTICLE_WORD if inside else NOT_CONTENT_WORD
     if attributes.strip():
         for name, value in NAMES.findall(attributes):
             name, value = name.lower(), WITH.sub(" ", value.strip("\"'"))
             if name in ("class", "id", "role"):
-                barred |= bool(NOT_CONTENT_WORD.search(value)) and tag not in ("html", "body")
+                barred |= bool(words.search(value)) and tag not in ("html", "body")
                 if name == "class" and value:
                     names = "." + value.split()[0] if value.split() else ""
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                 barred = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
                 barred = True
-    above = parent.path if parent else ""
     return Element(
         tag,
-        f"{above}/{tag}{names}",
+        paths.setdefault((parent.path if parent else 0, tag + names), len(paths) + 1),
         barred or (parent.barred if parent else False),
-        tag in MARKED or 'role="main"' in attributes or (parent.marked if parent else False),
+        tag in MARKED or 'role="main"' in attributes or inside,
         tag == "a" or (parent.linked if parent else False),
     )
 
@@ -118,12 +135,18 @@ def text_nodes(page: str) -> list[Node]:
     """Text nodes in page order; nodes of one block have the same block number."""
     nodes: list[Node] = []
     stack: list[Element] = []
+    held: Counter[str] = Counter()  # open elements by tag
+    paths: dict[tuple[int, str], int] = {}
     block, at, end = 0, 0, len(page)
 
+    def close_down_to(depth: int) -> None:
+        while len(stack) > depth:
+            held[stack.pop().tag] -= 1
+
     def text(piece: str) -> None:
         if piece:
-            top = stack[-1] if stack else Element("", "", False, False, False)
-            nodes.append(Node(html.unescape(piece), top.path, block, top.barred, top.marked, top.linked))
+            top = stack[-1] if stack else Element("", 0, False, False, False)
+            nodes.append(Node(html.unescape(piece), top.path, block, top.barred, top.marked, top.linked, held["li"] > 0))
 
     while at < end:
         token = TOKEN.search(page, at)
@@ -140,20 +163,20 @@ def text_nodes(page: str) -> list[Node]:
         if tag in BLOCK:
             block += 1
         if token[1]:
-            if any(x.tag == tag for x in stack):
-                while stack.pop().tag != tag:
-                    pass
+            if held[tag]:
+                while stack[-1].tag != tag:
+                    close_down_to(len(stack) - 1)
+                close_down_to(len(stack) - 1)
             continue
-        if tag in CLOSES_P:
-            # A paragraph ends here, with the inline elements still open in it.
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCK:
-                    break
+        if tag in CLOSES_P and held["p"]:
+            # A paragraph ends here, with the inline elements still open in it. Blocks end paragraphs, so none is inside.
+            depth = len(stack) - 1
+            while stack[depth].tag not in BLOCK:
+                depth -= 1
+            if stack[depth].tag == "p":
+                close_down_to(depth)
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1].tag == tag:
-            stack.pop()
+            close_down_to(len(stack) - 1)
         if tag in VOID:
             if tag == "br" and nodes:
                 text(" ")
@@ -163,7 +186,8 @@ def text_nodes(page: str) -> list[Node]:
             at = close.end() if close else end
             continue
         if not token[3].endswith("/"):
-            stack.append(opened(tag, token[3], stack[-1] if stack else None))
+            stack.append(opened(tag, token[3], stack[-1] if stack else None, paths, held["article"] > 0))
+            held[tag] += 1
     return nodes
 
 
@@ -175,9 +199,9 @@ def smoothed(values: np.ndarray, width: int = 1) -> np.ndarray:
     return (sums[high] - sums[low]) / (high - low)
 
 
-def content_paths(nodes: list[Node], share: float) -> set[str]:
+def content_paths(nodes: list[Node], share: float) -> set[int]:
     """Paths that have weight, and at least a share of the page's mean."""
-    paths: dict[str, Path] = defaultdict(Path)
+    paths: dict[int, Path] = defaultdict(Path)
     for k, node in enumerate(nodes):
         size = len(node.text.strip())
         if size:
@@ -205,15 +229,30 @@ def content_paths(nodes: list[Node], share: float) -> set[str]:
     return {name for name, p in paths.items() if p.weight > 0 and p.weight >= share * mean}
 
 
+def link_lists(nodes: list[Node]) -> set[int]:
+    """Blocks of links only that are in a list or stand next to another such block."""
+    plain, listed = {}, set()
+    for x in nodes:
+        if x.text.strip():
+            plain[x.block] = plain.get(x.block, False) or not x.linked
+            listed |= {x.block} if x.listed else set()
+    order = sorted(plain)
+    links = [False, *[not plain[k] for k in order], False]
+    return {k for i, k in enumerate(order, 1) if links[i] and (k in listed or links[i - 1] or links[i + 1])}
+
+
 def main_text(page: str | None, share: float = 0.2) -> str:
     """The blocks of a page's content nodes, joined by an empty line."""
     nodes = [x for x in text_nodes(page or "") if not x.barred]
+    size = lambda some: sum(len(x.text.strip()) for x in some)
     marked = [x for x in nodes if x.marked]
-    if any(x.text.strip() for x in marked):
-        nodes, share = marked, 0
-    good = content_paths(nodes, share)
-    in_text = {x.block for x in nodes if x.path in good and x.text.strip()}
-    kept = [x for x in nodes if x.block in in_text]
+    if 0 < size(marked) >= FAIR_SHARE * size(nodes):
+        lists = link_lists(marked)
+        kept = [x for x in marked if x.block not in lists]
+    else:
+        good = content_paths(nodes, share)
+        in_text = {x.block for x in nodes if x.path in good and x.text.strip()}
+        kept = [x for x in nodes if x.block in in_text]
     blocks: dict[int, list[str]] = defaultdict(list)
     for x in kept:
         blocks[x.block].append(x.text)

@@ -178,7 +178,8 @@ def predicted(text: str | None, profiles: Profiles) -> tuple[str, float]:
     """Language and score: by how much of the largest possible distance the nearest profile is nearer than that."""
     grams, times = gram_counts(text or "")
     own = ranked(grams, times, profiles.size)
-    if not len(own) or not profiles.langs:
+    # Marks take part in n-grams, but are no letters by themselves.
+    if not len(own) or not profiles.langs or not any(map(str.isalpha, text)):
         return UNDETERMINED, 0.0
     at = np.minimum(np.searchsorted(profiles.grams, own), len(profiles.grams) - 1)
     ranks = np.where((profiles.grams[at] == own)[:, None], profiles.ranks[at], profiles.size)

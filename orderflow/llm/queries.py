@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderflow.llm.alignment import align_tokenizers
 from orderflow.llm.chat import chat_digest, rendered, replayed
@@ -52,8 +53,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     )
-    # Every row of the table is a whole message.
-    log = turns.unionByName(probe).withColumns({"seq": F.col("turn"), "kind": F.lit("message")})
+    # Every row of the table is an event that sets the whole text of a message; rows of one turn are messages of their own.
+    same_turn = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    log = turns.unionByName(probe).withColumns(
+        {"seq": F.col("turn"), "kind": F.lit("edit"), "message": F.row_number().over(same_turn).cast("long")}
+    )
     return chat_digest(rendered(replayed(log)))
 
 

@@ -9,9 +9,9 @@ other within ``scope`` characters:
 - an identifier next to a secret (random-looking, base assignment or hex),
 - an endpoint that has both an identifier and a secret next to it.
 
-A weak candidate that overlaps a base span is not one. The interval join sorts the parts of a
-document and looks at the nearest part of the other kind before and behind, so it is linear in
-the parts and makes no pairs.
+A weak candidate that overlaps a base span is not one, and parts that overlap do not complement each other: they are one
+value. The interval join sorts the begins and ends of a document's parts and looks at the nearest part of
+the other kind before and behind, so it makes no pairs and sorts are all that it costs.
 
 Positions count code points; the end is exclusive. Null and empty texts have no spans. Rows that
 share id and text have the same spans.
@@ -42,71 +42,81 @@ KINDS = (*BASE, "identifier", "secret", "endpoint")
 SPAN = "array<struct<start int, kind int, end int>>"
 
 
-def found(pattern: str, kind: str) -> Column:
-    """Spans of all matches of a pattern, from the lengths of matches and of the text between them."""
-    number = KINDS.index(kind)
-    between = F.split("text", pattern, -1)
-    matches = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    total = lambda parts: F.aggregate(parts, F.lit(0), lambda so_far, x: so_far + F.length(x))
+#: Matches whose starts share a sum of what is before them.
+BLOCK = 256
 
-    def span(match: Column, k: Column) -> Column:
-        start = total(F.slice("_between", F.lit(1), k + 1)) + total(F.slice("_matches", F.lit(1), k))
-        return F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + F.length(match)).alias("end"))
 
-    spans = F.transform("_matches", span)
-    # The struct keeps both regular expressions from being written out in each use.
-    return between, matches, spans
+def computed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once, however often and wherever they are used: a generator's output isn't written out."""
+    return rows.select("*", F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
+def summed(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda so_far, x: so_far + x)
 
 
 def with_spans(docs: DataFrame, name: str, pattern: str, kind: str) -> DataFrame:
-    """Add an array of spans; texts without a match are scanned once."""
-    between, matches, spans = found(pattern, kind)
-    hit = F.col("text").rlike(pattern)
-    docs = docs.withColumn("_hit", hit)
-    docs = docs.withColumns({"_between": F.when(F.col("_hit"), between), "_matches": F.when(F.col("_hit"), matches)})
-    docs = docs.withColumn(name, F.coalesce(spans, F.array().cast(SPAN)))
+    """Add an array of the spans of a pattern's matches, from the lengths of matches and of the text between them.
+
+    A start is what blocks of matches before its own sum up to, and what is before it in its block: time grows with the
+    matches, not with their square. Texts without a match are scanned once.
+    """
+    docs = computed(docs, _hit=F.coalesce(F.col("text").rlike(pattern), F.lit(False)))
+    when = lambda column: F.when(F.col("_hit"), column)
+    matched = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    docs = computed(docs, _between=when(F.split("text", pattern, -1)), _matches=when(matched))
+    docs = computed(docs, _lengths=F.transform("_matches", lambda x, k: F.length(F.get("_between", k)) + F.length(x)))
+    last = F.shiftright(F.size("_lengths") - 1, 8)
+    docs = computed(docs, _blocks=when(F.transform(F.sequence(F.lit(0), last), lambda b: summed(F.slice("_lengths", b * BLOCK + 1, F.lit(BLOCK))))))
+    docs = computed(docs, _before=F.transform("_blocks", lambda _, b: summed(F.slice("_blocks", F.lit(1), b))))
+
+    def span(match: Column, k: Column) -> Column:
+        block = F.call_function("shiftright", k, F.lit(8))
+        inside = summed(F.slice("_lengths", block * BLOCK + 1, k - block * BLOCK))
+        start = F.get("_before", block) + inside + F.length(F.get("_between", k))
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), F.length(match).alias("length"))
+
+    docs = computed(docs, _spans=F.transform("_matches", span))
+    spans = F.transform("_spans", lambda x: F.struct(x["start"], x["kind"], (x["start"] + x["length"]).alias("end")))
     if kind == "assign":
-        values = F.when(F.col("_hit"), F.regexp_extract_all("text", F.lit(pattern), F.lit(2)))
-        docs = docs.withColumn("_values", values).withColumn(
-            name,
-            F.coalesce(
-                F.filter(name, lambda _, k: F.length(F.get("_values", k)) >= ASSIGN_LEAST), F.array().cast(SPAN)
-            ),
-        )
+        docs = computed(docs, _values=when(F.regexp_extract_all("text", F.lit(pattern), F.lit(2))))
+        spans = F.filter(spans, lambda _, k: F.length(F.get("_values", k)) >= ASSIGN_LEAST)
     elif kind == "secret":
-        mixed = F.filter(
-            name,
-            lambda x, k: F.get("_matches", k).rlike("[0-9]")
-            & F.get("_matches", k).rlike("[A-Z]")
-            & F.get("_matches", k).rlike("[a-z]"),
-        )
-        docs = docs.withColumn(name, F.coalesce(mixed, F.array().cast(SPAN)))
-    return docs.drop("_hit", "_between", "_matches", "_values")
+        match = lambda k: F.get("_matches", k)
+        spans = F.filter(spans, lambda _, k: match(k).rlike("[0-9]") & match(k).rlike("[A-Z]") & match(k).rlike("[a-z]"))
+    docs = docs.withColumn(name, F.coalesce(spans, F.array().cast(SPAN)))
+    return docs.drop("_hit", "_between", "_matches", "_lengths", "_blocks", "_before", "_spans", "_values")
 
 
 def linked_parts(parts: DataFrame, scope: int) -> DataFrame:
-    """Weak parts that complementary parts stand next to.
+    """Weak parts that complementary parts stand next to, without overlapping them.
 
-    parts: ``doc``, ``start``, ``kind``, ``end``, a row each.
+    parts: ``doc``, ``start``, ``kind``, ``end``, a row each. Begins and ends of all parts of a text are sorted. A begin looks at the
+    nearest end before it, an end at the nearest begin behind it, of each kind; both are running sums.
     """
-    order = Window.partitionBy("doc").orderBy("start", "end", "kind")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    behind = order.rowsBetween(1, Window.unboundedFollowing)
     is_a = {
         "identifier": F.col("kind").isin(KINDS.index("access"), KINDS.index("identifier")),
         "secret": F.col("kind").isin(*[KINDS.index(x) for x in ("assign", "hex", "secret")]),
         "endpoint": F.col("kind") == KINDS.index("endpoint"),
     }
-    near = {
-        f"near_{name}": (
-            F.coalesce(F.col("start") - F.max(F.when(test, F.col("end"))).over(before) <= scope, F.lit(False))
-            | F.coalesce(F.min(F.when(test, F.col("start"))).over(behind) - F.col("end") <= scope, F.lit(False))
-        )
-        for name, test in is_a.items()
-    }
+    events = parts.select(
+        "doc", "start", "kind", "end", F.inline(F.expr("array(struct(start as at, true as opens), struct(end as at, false as opens))"))
+    )
+    of_text, at, opens = Window.partitionBy("doc"), F.col("at"), F.col("opens")
+    # An end counts for a begin at the same place, and a begin for an end there.
+    forth = of_text.orderBy("at", "opens").rowsBetween(Window.unboundedPreceding, -1)
+    back = of_text.orderBy(F.desc("at"), F.desc("opens")).rowsBetween(Window.unboundedPreceding, -1)
+    near = {}
+    for name, test in is_a.items():
+        end_before = F.max(F.when(test & ~opens, at)).over(forth)
+        begin_behind = F.min(F.when(test & opens, at)).over(back)
+        close = F.when(opens, at - end_before <= scope).otherwise(begin_behind - at <= scope)
+        near[f"near_{name}"] = F.coalesce(close, F.lit(False))
     kind = F.col("kind")
     return (
-        parts.withColumns(near)
+        events.withColumns(near)
+        .groupBy("doc", "start", "kind", "end")
+        .agg(*[F.max(x).alias(x) for x in near])
         .where(
             ((kind == KINDS.index("secret")) & (F.col("near_identifier") | F.col("near_endpoint")))
             | ((kind == KINDS.index("identifier")) & F.col("near_secret"))

@@ -1,8 +1,10 @@
 import hashlib
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from orderflow.llm import queries
 from orderflow.llm.chat import chat_digest, rendered, replayed
 
 TURNS = [
@@ -54,5 +56,34 @@ def test_events_fold_into_messages(spark):
     assert got == [(1, 0, "user", "Hey"), (1, 1, "assistant", "Good day"), (1, 2, "user", "Bye"), (2, 0, "", "")]
 
 
+def test_messages_of_one_turn_are_told_apart(spark):
+    rows = [(1, 0, 0, "edit", "user", "same", 1), (1, 0, 0, "edit", "user", "same", 2), (1, 0, 0, "delta", "user", "more", 2)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, seq long, kind string, role string, text string, message long")
+    got = sorted(r.text for r in replayed(frame).collect())
+    assert got == ["same", "same"] or got == ["moresame", "same"] or got == ["same", "samemore"]
+    ordered = frame.withColumn("seq", F.when(F.col("kind") == "delta", 1).otherwise(F.col("seq")).cast("long"))
+    assert sorted(r.text for r in replayed(ordered).collect()) == ["same", "samemore"]
+
+
+def test_the_query_folds_every_row(spark, monkeypatch):
+    """What the fold makes of the rows is what is rendered."""
+    seen = []
+    monkeypatch.setattr(queries, "replayed", lambda log: seen.append(log) or replayed(log))
+    queries.op5_chat_formatting(spark, "/root/testdata/sf0.001").count()
+    assert {r.kind for r in seen[0].select("kind").distinct().collect()} == {"edit"}
+    assert seen[0].groupBy("conv_id", "turn", "message").count().where("count > 1").isEmpty()
+
+
+def test_long_logs_fold_in_time(spark):
+    def seconds(count):
+        rows = spark.range(count).selectExpr("1L as conv_id", "0L as turn", "id as seq", "'delta' as kind", "'user' as role", "'ab' as text")
+        began = time.perf_counter()
+        assert len(replayed(rows).collect()[0].text) == 2 * count
+        return time.perf_counter() - began
+
+    seconds(10)
+    assert seconds(160_000) < 10 * seconds(40_000)
+
+
 def test_empty_table(spark):
     assert chat_digest(rendered(replayed(log(spark, TURNS).where(F.lit(False))))).count() == 0

@@ -1,4 +1,7 @@
 import html
+import html.parser
+import random
+import time
 
 import pytest
 
@@ -28,6 +31,18 @@ PAGES = {
     "inline": (f"<article><p>a<b>b</b> <i>c</i>\n\t d<!-- no --><span hidden>no</span></p>{LONG}</article>", ["ab c d", LONG]),
     "layout words": (f"<body class=has-sidebar><div class='content with-sidebar'><p>{LONG}</p><p>{MORE}</p></div>", [LONG, MORE]),
     "unclosed": (f"<article><div><p>{LONG}<div>{MORE}", [LONG, MORE]),
+    "stray quotes": (f"<article><p title=it's>{LONG}</p><p x=a\"b y='>'>{MORE}</p><p \">{LONG}</p><p z = \"a>b\">{MORE}</p></article>", [LONG, MORE, LONG, MORE]),
+    "linked blocks": (
+        f"<article><header><h1>Title</h1></header><h2><a href=1>A heading</a></h2><p>{LONG}</p><p><a href=2>A whole paragraph.</a></p><p>{MORE}</p>"
+        "<p><a href=3>one</a></p><p><a href=4>two</a></p><ul><li><a href=5>three</a></ul></article>",
+        ["Title", "A heading", LONG, "A whole paragraph.", MORE],
+    ),
+    "names inside": (
+        f"<article><section id=discussion><p>{LONG}</p></section><div class='legal tags side-by-side notice'><p>{MORE}</p></div>"
+        f"<div class=related>{LONG}</div><div id=comments>{LONG}</div><div class='share'>{MORE}</div></article>",
+        [LONG, MORE],
+    ),
+    "teaser": (f"<main><p>Welcome.</p></main><div class=story><p>{LONG}</p><p>{MORE}</p></div>", ["Welcome.", LONG, MORE]),
     "quoted": (f"<article title='a > b'><p data-x=\"</p>\">{LONG}</p></article>", [LONG]),
 }
 
@@ -53,8 +68,46 @@ def test_long_page():
     assert main_text(page).count("\n\n") == 4_999
 
 
+@pytest.mark.parametrize("piece", ["<b>", "<div>", "<li>", "<p><i>", "<b>x<div>", "</b>", "<a class=x><p>", "<ul><li>"])
+def test_time_grows_with_the_page(piece):
+    def seconds(count):
+        page = f"<article>{piece * count}{LONG}"
+        best = 9.0
+        for _ in range(3):
+            began = time.perf_counter()
+            main_text(page)
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    assert seconds(40_000) < 12 * seconds(5_000) + 0.2
+
+
+class Reader(html.parser.HTMLParser):
+    """Texts outside of tags by another parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found = []
+
+    def handle_data(self, data):
+        self.found.append(data)
+
+
+def test_attributes_as_another_parser_reads_them():
+    rnd = random.Random(4)
+    values = ["it's", '"a>b"', "'a>b'", '"it\'s"', "x", "a/b", '""', "''", '"<p>"', "'&gt;'", "a=b", "1.5", "é"]
+    for _ in range(3000):
+        given = "".join(f" {rnd.choice('abxyz')}{rnd.choice(['=', ' = ', '= '])}{rnd.choice(values)}" for _ in range(rnd.randrange(4)))
+        page = f"<div{given}>one<b{given}>two</b> three</div><p{given} hidden2>four</p>"
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        assert "".join(x.text for x in text_nodes(page)) == "".join(reader.found) == "onetwo threefour", page
+
+
 def test_paths_and_smoothing():
-    assert [x.path for x in text_nodes("<div class='a b'><p>x<b>y")] == ["/div.a/p", "/div.a/p/b"]
+    paths = [x.path for x in text_nodes("<div class='a b'><p>x<b>y</b></p><p>z</div><div class=a><p>u</div><div><p>v")]
+    assert paths == [paths[0], paths[1], paths[0], paths[0], paths[4]] and len(set(paths)) == 3
     assert smoothed([0.0, 3.0, 0.0]).tolist() == [1.5, 1.0, 1.5]
 
 

@@ -42,7 +42,7 @@ def test_texts_longer_than_a_part(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, parts))
 
 
-@pytest.mark.parametrize("text", [None, "", "12 !?", "_"])
+@pytest.mark.parametrize("text", [None, "", "12 !?", "_", "\u0301\u0302 12", "\u0903" * 50])
 def test_no_letter(text):
     profiles = op.Profiles(["en"], np.array([97]), np.array([[0]]), 400)
     assert op.predicted(text, profiles) == ("und", 0.0)
@@ -80,3 +80,35 @@ def test_predictions_ignore_the_language_column(spark):
 def test_nothing_to_learn_from(spark):
     assert op.identify_languages(samples.documents(spark), F.lit(False)).select("lang_pred").distinct().collect()[0][0] == "und"
     assert op.identify_languages(samples.empty(spark), F.lit(True)).count() == 0
+
+
+def brute_prediction(text, training, size):
+    """Out-of-place distance between lists of n-grams, looked up one by one."""
+    rank = lambda times: sorted(times, key=lambda g: (-times[g], g))[:size]
+    profiles = {}
+    for lang in sorted({x for x, _ in training}):
+        times = Counter()
+        for own, other in training:
+            if own == lang:
+                times += counts(other) if other else Counter()
+        profiles[lang] = {g: k for k, g in enumerate(rank(times))}
+    own = rank(counts(text or ""))
+    if not own or not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    away = {lang: sum(abs(held[g] - k) if g in held else size for k, g in enumerate(own)) for lang, held in profiles.items()}
+    best = min(away, key=lambda lang: (away[lang], lang))
+    return best, 1 - away[best] / (size * len(own))
+
+
+def test_predictions_equal_brute_force(spark):
+    words = {lang: [samples.prose(k * 100 + n, 6).replace("\n", " ") for n in range(12)] for k, lang in enumerate(("de", "en", "fr"))}
+    training = [(lang, text) for lang, some in words.items() for text in some[:8]] + [("en", None), ("fr", "été 漢字 漢")]
+    asked = [text for some in words.values() for text in some] + [r[1] for r in samples.awkward_rows() if len(r[1] or "") < 20_000] + ["漢字", "\u0301 1"]
+    rows = [(k, text, lang, "a", 1) for k, (lang, text) in enumerate(training)]
+    rows += [(1000 + k, text, None, "a", 1) for k, text in enumerate(asked)]
+    for size in (20, 400):
+        got = op.identify_languages(samples.documents(spark, rows), training=F.col("doc_id") < 1000, size=size).collect()
+        found = {r.doc_id: (r.lang_pred, r.score) for r in got}
+        for k, text in enumerate(asked):
+            lang, score = brute_prediction(text, training, size)
+            assert found[1000 + k] == (lang, pytest.approx(score)), text

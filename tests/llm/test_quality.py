@@ -1,10 +1,13 @@
+import math
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import samples
 
 from orderflow.llm import quality as op
+from orderflow.llm import words as hashing
 
 
 def base(text):
@@ -52,3 +55,57 @@ def test_without_any_language(spark):
 def test_js_distance():
     same, other = np.array([[0.5, 0.5, 0.0]]), np.array([0.0, 0.0, 1.0])
     assert op.js_distance(same, same[0])[0] == 0 and op.js_distance(same, other)[0] == 1
+
+
+def histograms(text):
+    """Character classes, and hash buckets of words, counted one by one."""
+    text = text or ""
+    classes = Counter(next((k for k, chars in SETS if c in chars), None) for c in text)
+    rest = [c for c in text if not any(c in chars for _, chars in SETS)]
+    del classes[None]
+    for c in rest:
+        kind = 10 if ord(c) >= 0x80 else 9 if c < " " or c == "\x7f" else 1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 7
+        classes[kind] += 1
+    buckets = Counter()
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+        at = hashing.texts(pa.array([word]))
+        starts, ends, _ = hashing.spans(at, hashing.NOT_WHITE)
+        buckets[int(hashing.span_hashes(at.data, starts, ends)[0] % np.uint64(op.BUCKETS))] += 1
+    return classes, buckets
+
+
+SETS = ((0, " \t\n\v\f\r"), (4, ".,;:!?"), (5, "\"'`"), (6, "()[]{}"), (8, "#*$%&|<>"))
+
+
+def distance(p, q):
+    """Jensen-Shannon distance of two counters."""
+    a, b = sum(p.values()), sum(q.values())
+    total = 0.0
+    for k in set(p) | set(q):
+        x, y = p[k] / max(1, a), q[k] / max(1, b)
+        total += sum(v / 2 * math.log2(2 * v / (x + y)) for v in (x, y) if v)
+    return math.sqrt(min(1, max(0, total)))
+
+
+def test_distances_equal_brute_force(spark):
+    rows = [r for r in samples.awkward_rows() if len(r[1] or "") < 10_000]
+    rows += [(200 + k, samples.prose(k, 260) + " the of and" * (k + 1), ("en", "de", "xx", None)[k % 4], "a", 1) for k in range(12)]
+    classes, words = {}, {}
+    for r in rows:
+        if r[1] is not None and r[2] is not None:
+            one, two = histograms(r[1])
+            classes[r[2]] = classes.get(r[2], Counter()) + one
+            words[r[2]] = words.get(r[2], Counter()) + two
+    common = {k: {b for b, _ in sorted(v.items(), key=lambda x: (-x[1], -x[0]))[: op.COMMON]} for k, v in words.items()}
+    binned = lambda lang, own: Counter({b: n for b, n in own.items() if b in common[lang]}) + Counter({-1: sum(n for b, n in own.items() if b not in common[lang])})
+    got = op.quality_rules(samples.documents(spark, rows)).collect()
+    assert any(len(v) > op.COMMON for v in words.values())
+    found = sorted(((r.doc_id, round(r.class_distance, 9), round(r.word_distance, 9)) for r in got if r.n_words), key=repr)
+    want = []
+    for r in rows:
+        one, two = histograms(r[1])
+        if two:
+            near = [(distance(one, classes[lang]), distance(binned(lang, two), binned(lang, words[lang]))) for lang in sorted(classes) if r[2] in (lang, None)]
+            best = min(near, key=sum)
+            want.append((r[0], round(best[0], 9), round(best[1], 9)))
+    assert found == sorted(want, key=repr)
