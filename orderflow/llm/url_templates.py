@@ -5,11 +5,14 @@ theirs; the longest wins. URLs that no rule fits are judged by the template of t
 
 1. Per host, digits and long hexadecimal runs in path segments become wildcards, and URLs
    become shapes with counts; the tree is built on shapes.
-2. From the root to the last segment, branches without labels and of a small share of their parent's
-   URLs become ``*``; where several have labels, those whose labelled share of bad URLs is statistically the parent's
-   become ``*#``, which no path contains. Others stay as they are, so that no label reaches unlabelled branches.
-3. A template is rejected when its smoothed share of good labels is below a limit and it has
-   enough labels. Labels are the verdicts of rules unless a column gives others.
+2. From the root to the last segment, branches are compared with their siblings. A segment is variable where
+   ``VARIABLE`` siblings or more have the same path behind them most of the time; these become ``*``, labelled or
+   not, unless their labelled share of bad URLs is statistically not that of all siblings. So do branches
+   without labels and of a small share of their parent's URLs. Where several have labels, those whose
+   share of bad URLs is that of all siblings become ``*#``, which no path contains. Others stay as they are.
+3. A template is rejected when its smoothed share of good labels is below a limit, and it has enough labels: some, and a
+   share of its URLs, so that a few labels don't judge many URLs. Labels are the verdicts of rules
+   unless a column gives others.
 
 Null URLs and those without ``://`` have an empty host and
 path and are allowed. Every row gets a row; a host of any number of rows is summed up before it is
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 from orderflow.llm.tables import kept_table, small_side
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Names of merged branches: small ones without labels, and labelled ones like their parent.
+#: Names of merged branches: values of a variable segment and small ones without labels, and labelled ones like their siblings.
 UNLABELLED, ALIKE = "*", "*#"
+VARIABLE = 8
 #: (verdict, host, path)
 RULES = (
     ("allow", "com", "/"),
@@ -79,27 +83,34 @@ def template_tree(shapes: DataFrame, least_share: float, z: float) -> DataFrame:
             open_rows.groupBy("host", "template").agg(F.min("rest").alias("low"), F.max("rest").alias("high")), "template-ends"
         )
         same = F.zip_with("low", "high", lambda x, y: x.eqNullSafe(y))
-        unlike = F.array_position(same, F.lit(False))
-        shared = ends.select("host", "template", F.when(unlike == 0, F.size(same)).otherwise(unlike - 1).cast("int").alias("shared"))
+        first_unlike = F.array_position(same, F.lit(False))
+        shared = ends.select("host", "template", F.when(first_unlike == 0, F.size(same)).otherwise(first_unlike - 1).cast("int").alias("shared"))
         rows = open_rows.join(small_side(kept_table(shared, "shared")), ["host", "template"]).select(
             *kept,
             F.concat("template", F.array_join(F.transform(F.slice("rest", F.lit(1), F.col("shared")), lambda x: F.concat(F.lit("/"), x)), "")).alias("template"),
             F.slice("rest", F.col("shared") + 1, F.size("rest")).alias("rest"),
         )
         rows = rows.withColumn("segment", F.get("rest", F.lit(0)))
-        branches = rows.where("segment is not null").groupBy("host", "template", "segment").agg(*counts)
+        tail = F.array_join(F.slice("rest", F.lit(2), F.size("rest")), "/").alias("tail")
+        tails = rows.where("segment is not null").groupBy("host", "template", "segment", tail).agg(*counts)
+        most = F.max_by("tail", F.struct("urls", "tail")).alias("tail")
+        branches = kept_table(tails.groupBy("host", "template", "segment").agg(*counts, most), "branches")
+        # How many siblings have the same path behind them.
+        alike = branches.groupBy("host", "template", "tail").agg(F.count("*").alias("alike")).where(F.col("alike") >= VARIABLE)
         parents = branches.groupBy("host", "template").agg(
             *[F.sum(c).alias(f"all_{c}") for c in ("urls", "good", "bad")], F.count(F.when(F.col("good") + F.col("bad") > 0, 1)).alias("labelled")
         )
         labels, all_labels = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad")
         pooled = (F.col("all_bad") + 0.5) / (all_labels + 1)
         differs = F.abs(F.col("bad") / labels - pooled) > z * F.sqrt(pooled * (1 - pooled) / labels)
+        unlike = (labels > 0) & F.coalesce(differs, F.lit(True))
         name = (
-            F.when((labels == 0) & (F.col("urls") < least_share * F.col("all_urls")), UNLABELLED)
+            F.when(F.col("alike").isNotNull() & ~unlike, UNLABELLED)
+            .when((labels == 0) & (F.col("urls") < least_share * F.col("all_urls")), UNLABELLED)
             .when((F.col("labelled") > 1) & (labels > 0) & ~F.coalesce(differs, F.lit(True)), ALIKE)
             .otherwise(F.col("segment"))
         )
-        named = branches.join(parents, ["host", "template"]).select("host", "template", "segment", name.alias("name"))
+        named = branches.join(parents, ["host", "template"]).join(alike, ["host", "template", "tail"], "left").select("host", "template", "segment", name.alias("name"))
         rows = kept_table(
             rows.join(named, ["host", "template", "segment"], "left").select(
                 *kept,
@@ -122,6 +133,7 @@ def url_verdicts(
     least_share: float = 0.02,
     z: float = 2.0,
     least_labels: int = 5,
+    labelled_share: float = 0.05,
     least_good: float = 0.5,
     weight: float = 2.0,
 ) -> DataFrame:
@@ -143,11 +155,12 @@ def url_verdicts(
     all_labels = tree.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     labels = (all_labels["good"] or 0) + (all_labels["bad"] or 0)
     prior = (all_labels["good"] or 0) / labels if labels else 1.0
-    purity = tree.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).select(
+    own = F.col("good") + F.col("bad")
+    purity = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("urls", "good", "bad")]).select(
         "host",
         "template",
-        ((F.col("good") + weight * prior) / (F.col("good") + F.col("bad") + weight)).alias("good_share"),
-        (F.col("good") + F.col("bad") >= least_labels).alias("known"),
+        ((F.col("good") + weight * prior) / (own + weight)).alias("good_share"),
+        ((own >= least_labels) & (own >= labelled_share * F.col("urls"))).alias("known"),
     )
     judged = kept_table(
         tree.join(purity, ["host", "template"]).select("host", "shape", "template", "good_share", "known"), "judged"

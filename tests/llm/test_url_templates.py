@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from orderflow.llm.url_templates import RULES, url_verdicts
@@ -71,5 +73,84 @@ def test_every_segment_counts(spark):
     }
 
 
+def brute_templates(shapes, least_share=0.02, z=2.0):
+    """Template of each (host, shape) of {(host, shape): (urls, good, bad)}, one tree at a time."""
+    out = {}
+
+    def rate(rows):
+        return sum(c[1] for *_, c in rows), sum(c[2] for *_, c in rows)
+
+    def grow(template, rows):
+        """rows: (key, rest, counts) of all shapes under a template."""
+        while len({tuple(r[1][:1]) for r in rows}) == 1 and rows[0][1]:
+            template += "/" + rows[0][1][0]
+            rows = [(k, rest[1:], c) for k, rest, c in rows]
+        branches = {}
+        for k, rest, c in rows:
+            if rest:
+                branches.setdefault(rest[0], []).append((k, rest[1:], c))
+            else:
+                out[k] = template
+        urls = sum(c[0] for some in branches.values() for *_, c in some)
+        good, bad = rate([r for some in branches.values() for r in some])
+        pooled = (bad + 0.5) / (good + bad + 1)
+        labelled = sum(sum(rate(some)) > 0 for some in branches.values())
+        tails = {}
+        for segment, some in branches.items():
+            times = {}
+            for _, rest, c in some:
+                times["/".join(rest)] = times.get("/".join(rest), 0) + c[0]
+            tails[segment] = max(times, key=lambda t: (times[t], t))
+        merged = {}
+        for segment, some in branches.items():
+            own_good, own_bad = rate(some)
+            labels, size = own_good + own_bad, sum(c[0] for *_, c in some)
+            differs = labels > 0 and abs(own_bad / labels - pooled) > z * (pooled * (1 - pooled) / labels) ** 0.5
+            alike = sum(t == tails[segment] for t in tails.values())
+            if alike >= 8 and not differs or labels == 0 and size < least_share * urls:
+                name = "*"
+            else:
+                name = "*#" if labelled > 1 and labels > 0 and not differs else segment
+            merged.setdefault(name, []).extend(some)
+        for name, some in merged.items():
+            grow(f"{template}/{name}", some)
+
+    for host in {h for h, _ in shapes}:
+        grow("", [((h, shape), shape.split("/")[1:], c) for (h, shape), c in shapes.items() if h == host])
+    return out
+
+
+def test_templates_equal_a_tree_grown_one_by_one(spark):
+    rnd = random.Random(8)
+    urls, labels = [], []
+    for _ in range(1500):
+        host = rnd.choice(["a.org", "b.net", "c.io"])
+        first = rnd.choice(["x", "y", "blog", *[f"u{c}" for c in "abcdefghijklm"]])
+        path = f"/{first}" + rnd.choice(["", "/{n}", "/{n}/edit", "/p/{n}", "/p/{n}/q", f"/tag/{rnd.choice('abcdefghijkl')}"])
+        urls.append(f"x://{host}{path}")
+        labels.append(rnd.choice([None, None, True, False]) if first < "n" else None if rnd.random() < 0.7 else host == "a.org")
+    label = F.element_at(F.array(*[F.lit(x).cast("boolean") for x in labels]), F.col("page_id").cast("int") + 1)
+    got = url_verdicts(pages(spark, urls), rules=(), label=label).collect()
+    shapes = {}
+    for url, x in zip(urls, labels):
+        host, path = url[4:].split("/", 1)
+        n, g, b = shapes.get((host, f"/{path}"), (0, 0, 0))
+        shapes[host, f"/{path}"] = (n + 1, g + (x is True), b + (x is False))
+    want = brute_templates(shapes)
+    wrong = {(r.path, r.template, want[r.host, r.path]) for r in got if r.template != want[r.host, r.path]}
+    assert wrong == set() and len({r.template for r in got}) > 10
+
+
+def test_a_variable_segment_passes_labels_on(spark):
+    """The registered rules block /es/ and /fr/ of a host whose first segment is one of many alike; few alike keep apart."""
+    codes = [f"{a}{b}" for a in "abcdefghij" for b in "xy"] + ["es", "fr"]
+    urls = [f"x://many.net/{code}/{n}.html" for code in codes for n in range(10)]
+    urls += [f"x://few.net/{code}/{n}.html" for code in ("en", "de", "es", "fr") for n in range(50)]
+    urls += [f"x://shop.net/{name}{c}/{n}" for name in ("p", "q") for c in "abcdefghijklmnopqrst" for n in range(30)] + ["x://shop.net/es/1"] * 3
+    got = url_verdicts(pages(spark, urls)).collect()
+    assert {r.verdict for r in got if r.host == "many.net"} == {"block"} and {r.rule for r in got if r.host == "many.net"} == {None, "net/es/", "net/fr/"}
+    assert all((r.verdict == "block") == (r.rule is not None) for r in got if r.host != "many.net")
+
+
 def test_empty_table(spark):
     assert url_verdicts(pages(spark, ["a"]).limit(0)).count() == 0
