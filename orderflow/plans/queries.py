@@ -73,9 +73,20 @@ def _notify_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.order_facts(prepare.parse_orders(_stream(spark, sf_dir), S.NOTIFY_RULES))
 
 
+def _by_code(orders: DataFrame) -> DataFrame:
+    """Facts whose province is its code: running sums are kept by code, and published by name (``_named``)."""
+    return metrics.order_facts(orders.withColumn("province", F.col("province_code")))
+
+
+def _named(spark: SparkSession, sf_dir: str, sums: DataFrame) -> DataFrame:
+    """Sums by code as sums by province; codes without a province are left out."""
+    named = lookup.provinces_of_sums(sums.withColumnRenamed("province", "province_code"), fixtures.provinces(spark, sf_dir), "inner")
+    keys = [c for c in sums.columns if c in ("weekday", "hour", "day", "slot_start", "province")]
+    return named.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums.columns if c not in keys])
+
+
 def _notify_province_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = prepare.parse_orders(_stream(spark, sf_dir), S.NOTIFY_RULES)
-    return _located(spark, sf_dir, orders)
+    return _by_code(prepare.parse_orders(_stream(spark, sf_dir), S.NOTIFY_RULES))
 
 
 def _all_province_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +265,7 @@ def stream_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_failures_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     failures = metrics.failures_weekday_hour_province(_notify_province_stream(spark, sf_dir))
     history = running.touched_keys(spark, failures, new_folder(spark, "failures"))
-    return batches.running_totals(history, "weekday", "hour", "province")
+    return _named(spark, sf_dir, batches.running_totals(history, "weekday", "hour", "province"))
 
 
 def stream_weekday_hour_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,15 +277,15 @@ def stream_weekday_hour_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_province_day_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = metrics.province_day_volume(_notify_province_stream(spark, sf_dir))
     history = running.touched_keys(spark, volume, new_folder(spark, "province-day"))
-    return _shown_day(batches.running_totals(history, "day", "province"))
+    return _shown_day(_named(spark, sf_dir, batches.running_totals(history, "day", "province")))
 
 
 def _windows(spark: SparkSession, sf_dir: str, length: str, name: str) -> DataFrame:
     """Event-time windows of a stream in time order; state of a window goes two hours after its end."""
     orders = prepare.parse_orders(_stream(spark, sf_dir, "ts"), S.NOTIFY_RULES)
-    volume = metrics.windowed_province_volume(_located(spark, sf_dir, orders), length, "2 hours")
+    volume = metrics.windowed_province_volume(_by_code(orders), length, "2 hours")
     history = running.touched_keys(spark, volume, new_folder(spark, "windows"))
-    newest = batches.newest_per_key(history, "slot_start", "province")
+    newest = _named(spark, sf_dir, batches.newest_per_key(history, "slot_start", "province"))
     return _shown_slot(newest.withColumnRenamed("slot_start", name), name)
 
 
@@ -465,7 +476,7 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise
     run(write)
     history = batches.read_batches(spark, folder)
-    return batches.newest_per_key(history, "weekday", "hour", "province")
+    return _named(spark, sf_dir, batches.newest_per_key(history, "weekday", "hour", "province"))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -524,9 +535,10 @@ def sink_partition_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running failures appended by every batch; the last row per key is returned."""
-    failures = metrics.failures_province_hour(_all_province_stream(spark, sf_dir))
+    orders = prepare.parse_orders(_stream(spark, sf_dir), S.ALL_ORDERS_RULES)
+    failures = metrics.failures_province_hour(_by_code(orders))
     history = running.touched_keys(spark, failures, new_folder(spark, "history"), deliveries=2)
-    return batches.running_totals(history, "province", "hour")
+    return _named(spark, sf_dir, batches.running_totals(history, "province", "hour"))
 
 
 # --- offsets -----------------------------------------------------------------

@@ -1,6 +1,7 @@
 from builders import as_set, dimension
 
 from orderflow.operators import lookup
+from orderflow.session import settings
 from orderflow.sources.dimension import read_province_dimension
 from orderflow.sources.provinces import provinces
 
@@ -47,3 +48,13 @@ def test_built_in_provinces(spark):
     assert rows.count() == 31
     assert rows.select("province_code").distinct().count() == 31
     assert rows.filter("province_code = '100'").first()["province"] == "北京"
+
+
+def test_a_dimension_is_measured_before_it_is_broadcast(spark):
+    names = dimension(spark, {"1": "North", "2": "South"})
+    assert lookup.is_small(names) and lookup.is_small(names.limit(0))
+    for size, small in (("-1", False), ("50b", False), ("1k", True), ("10MB", True), ("1g", True)):
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": size}):
+            assert lookup.is_small(names) is small, size
+    many = spark.range(lookup.MEASURED_ROWS + 1).selectExpr("cast(id as string) as province_code", "'x' as province")
+    assert not lookup.is_small(many)
