@@ -94,7 +94,7 @@ def test_a_query_without_its_checkpoint_goes_on_from_earlier_totals(spark, tmp_p
 def test_running_sums_keep_null_keys_and_null_measures(spark, tmp_path):
     landed, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = [(dt.datetime(2024, 1, 1), None, 1), (dt.datetime(2024, 1, 1), None, None), (dt.datetime(2024, 1, 1), "a", None)]
-    spark.createDataFrame(rows, FIELDS).write.parquet(landed)
+    spark.createDataFrame(rows, FIELDS).coalesce(1).write.parquet(landed)
     stream = read(spark, landed).withColumn("orders", F.coalesce("orders", F.lit(0)))
     run(spark, state.running_sums(stream, ("ends", "province"), ("orders",)), out, "checkpoint")
     assert as_set(batches.read_batches(spark, out).select("province", "orders")) == {(None, 1), ("a", 0)}
