@@ -15,6 +15,7 @@ from orderflow.sources.messages import (
     landed_messages,
     text_messages,
 )
+from orderflow.sources.positions import earliest_offsets, log_stream
 from orderflow.sources.provinces import provinces
 
 REPORTS = {"notify": jobs.NotifyReport, "all-orders": jobs.AllOrdersReport}
@@ -28,6 +29,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         source = report.add_mutually_exclusive_group(required=True)
         source.add_argument("--brokers", help="Kafka brokers, host:port,...")
         source.add_argument("--landed", help="folder of landed message files")
+        source.add_argument("--log", help="log of messages by topic, partition and segment")
         report.add_argument("--topics", default="recharge", help="topics, comma separated")
         report.add_argument("--starting-offsets", help="JSON, for a query with no checkpoint yet")
         report.add_argument("--checkpoint", help="of the query; inside --out if left out")
@@ -35,6 +37,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
             "--resume-from",
             help="parquet of topic, partition, earliest_offset: start a new query at the saved offsets in --out",
         )
+        report.add_argument("--resume", action="store_true", help="with --log: start a new query at the saved offsets in --out")
         report.add_argument(
             "--max-offsets-per-trigger", type=int, default=5_000_000, help="messages a batch takes at most"
         )
@@ -83,6 +86,10 @@ def _stream(spark: SparkSession, args: argparse.Namespace, report: jobs.Report)
     if args.landed:
         return landed_messages(spark, args.landed, args.files_per_batch)
     start = args.starting_offsets
+    if args.log:
+        if args.resume:
+            start = jobs.resume_offsets(spark, report, args.out, earliest_offsets(spark, args.log), all_listed=True)
+        return log_stream(spark, args.log, start, limit=None if args.once else args.max_offsets_per_trigger)
     if args.resume_from:
         start = jobs.resume_offsets(spark, report, args.out, spark.read.parquet(args.resume_from))
     options = kafka_options(

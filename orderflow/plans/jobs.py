@@ -19,6 +19,7 @@ from orderflow.streaming.run import start
 
 _KEYS = ("minute_start", "day", "weekday", "hour", "minute")
 FOLD_EVERY = 100  # batches
+GRACE_SECONDS = 24 * 3600  # for readers of what folds have replaced
 
 
 class NotifyReport:
@@ -173,17 +174,20 @@ def start_report(
     interval: str | None = "5 seconds",
     checkpoint: str | None = None,
     fold_every: int = FOLD_EVERY,
+    grace_seconds: float = GRACE_SECONDS,
 ) -> StreamingQuery:
     """Start a streaming report on a message stream (``MESSAGE_SCHEMA``).
 
     A restart with the same ``folder`` goes on where the last run stopped. A new query with
-    another ``checkpoint``, started from ``resume_offsets``, adds to the results of the old one.
+    another ``checkpoint``, started from ``resume_offsets``, adds to the results of the old one. Finished batches are
+    folded, and what that replaces is removed after ``grace_seconds``.
     """
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         write_increments(report, rows, dimension, folder, batch_id)
         if batch_id % fold_every == fold_every - 1:
             fold_report(rows.sparkSession, report, folder)
+            batches.prune(rows.sparkSession, folder, grace_seconds)
 
     return start(messages, on_batch, checkpoint or f"{folder}/checkpoint", interval=interval)
 

@@ -18,7 +18,7 @@ from orderflow.sinks import batches, partitions
 from orderflow.sources import fixtures
 from orderflow.sources.dimension import read_province_dimension
 from orderflow.sources.messages import landed_messages, text_messages
-from orderflow.sources.positions import log_range, log_stream, write_log
+from orderflow.sources.positions import earliest_offsets, log_range, log_stream, write_log
 from orderflow.streaming import late, state
 from orderflow.streaming import metrics as running
 from orderflow.streaming.run import run_to_end
@@ -346,45 +346,42 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole
 
 
+#: Logs that this application has written already.
+_logs: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _second_half(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The log as segments, and the positions (JSON) at which the second half of every partition begins."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _logs:
+        folder = new_folder(spark, "log")
+        records = fixtures.records(spark, sf_dir).persist()
+        try:
+            # Segments are small here, so that the halves are several files each.
+            write_log(records, folder, max(1, records.count() // 20))
+            middle = records.groupBy("topic", "partition").agg(F.expr("(max(`offset`) + 1) div 2").alias("start_offset"))
+            _logs[key] = folder, offsets.starting_offsets_json(middle)
+        finally:
+            records.unpersist()
+    return _logs[key]
+
+
 def stream_reseed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half the log with one query, the rest with a new one that the ledger seeds.
+    """Half the log with one query, the rest with a new one that begins where the ledger says.
 
-    The second query has a checkpoint of its own and counts its batches from 0; the results
-    hold both.
+    The second query has a checkpoint of its own and counts its batches from 0; the results hold both. It opens no
+    file before its positions.
     """
+    log, middle = _second_half(spark, sf_dir)
     folder = new_folder(spark, "reseed")
     report, dimension = jobs.AllOrdersReport(), fixtures.provinces(spark, sf_dir)
-    landed, files_per_batch = fixtures.land(spark, sf_dir)
-    half = (spark.read.parquet(landed).agg(F.max("offset")).first()[0] or 0) // 2
-    stream = landed_messages(spark, landed, files_per_batch)
-    held = stream.filter(F.col("offset") < half)
-    jobs.start_report(report, held, dimension, folder, interval=None).awaitTermination()
-    saved = jobs.saved_positions(spark, report, folder)
-    rest = (
-        stream.join(saved, ["topic", "partition"], "left")
-        .filter("offset >= coalesce(saved_offset, 0)")
-        .select(*stream.columns)
-    )
-    jobs.start_report(
-        report, rest, dimension, folder, interval=None, checkpoint=f"{folder}/second"
-    ).awaitTermination()
+    jobs.start_report(report, log_stream(spark, log, ending=middle), dimension, folder, interval=None).awaitTermination()
+    start = jobs.resume_offsets(spark, report, folder, earliest_offsets(spark, log), all_listed=True)
+    rest = log_stream(spark, log, starting=start)
+    jobs.start_report(report, rest, dimension, folder, interval=None, checkpoint=f"{folder}/second").awaitTermination()
     return report.views(spark, folder)["global_overview"]
 
 
-def _second_half(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """The log as segments, and the positions (JSON) at which the second half of every partition begins."""
-    folder = new_folder(spark, "log")
-    records = fixtures.records(spark, sf_dir).persist()
-    try:
-        # Segments are small here, so that the halves are many files each.
-        size = max(1, records.count() // 50)
-        write_log(records, folder, size)
-        middle = records.groupBy("topic", "partition").agg(F.expr("(max(`offset`) + 1) div 2").alias("start_offset"))
-        return folder, offsets.starting_offsets_json(middle)
-    finally:
-        records.unpersist()
-
-
 def stream_from_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a stream reads that begins at given positions, and what a range before them holds."""
     log, middle = _second_half(spark, sf_dir)

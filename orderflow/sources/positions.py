@@ -255,3 +255,9 @@ def log_range(spark: SparkSession, folder: str, starting: str | None = None, end
     """The messages from ``starting`` up to ``ending``."""
     spark.dataSource.register(LandedLog)
     return spark.read.format("landed_log").options(**_options(folder, starting, ending)).load()
+
+
+def earliest_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """The first offset that each partition of a log still has: ``topic``, ``partition``, ``earliest_offset``."""
+    found = [(t, int(p), first) for t, held in _Log(folder).starts({}).items() for p, first in held.items()]
+    return spark.createDataFrame(found, "topic string, partition int, earliest_offset bigint")

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from builders import as_set, dimension, message, messages
+from builders import as_set, dimension, message, messages, records
 from test_streaming import NAMES, land, order
 
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from orderflow.operators import leaders, lookup, metrics, prepare
 from orderflow.plans import jobs
 from orderflow.sinks import batches
 from orderflow.sources.messages import landed_messages
+from orderflow.sources.positions import write_log
 
 TEXTS = [
     [order("1", 0), order("1", 0, "1001"), order("2", 5, fee=7), "nope"],
@@ -209,3 +210,28 @@ def test_every_message_of_the_daily_report_is_accounted_for(spark, tmp_path):
     unknown = read("unknown_codes").agg(F.sum("orders")).first()[0]
     assert counted + unknown + read("rejected").count() == len(texts)
     assert {r.reason for r in read("rejected").collect()} == {"unreadable", "bad_day"}
+
+
+def test_a_report_resumes_in_a_log_by_its_ledger(spark, tmp_path):
+    """The second query has no checkpoint and a partition that the first one did not know."""
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    common = ["all-orders", "--log", log, "--out", out, "--once"]
+    place = lambda partition, first, texts: records(spark, *[(t, "t", partition, first + n) for n, t in enumerate(texts)])
+    write_log(place(0, 0, [order("1", 0)] * 5), log, 3)
+    cli.run(spark, cli.arguments([*common, "--checkpoint", f"{out}/one"]))
+    write_log(place(0, 5, [order("2", 1)] * 2).union(place(1, 0, [order("2", 1)] * 4)), log, 3)
+    cli.run(spark, cli.arguments([*common, "--checkpoint", f"{out}/two", "--resume"]))
+    report = jobs.AllOrdersReport()
+    assert batches.read_batches(spark, out, "offsets").agg(F.sum(F.expr("until_offset - from_offset"))).first()[0] == 11
+    saved = {(r.partition, r.saved_offset) for r in jobs.saved_positions(spark, report, out).collect()}
+    assert saved == {(0, 7), (1, 4)}
+
+
+def test_a_running_report_prunes_what_it_folds(spark, landed, tmp_path):
+    out = str(tmp_path / "out")
+    report = jobs.NotifyReport()
+    stream = landed_messages(spark, landed, 1)
+    jobs.start_report(report, stream, dimension(spark, NAMES), out, interval=None, fold_every=1, grace_seconds=0).awaitTermination()
+    facts = batch_facts(spark, S.NOTIFY_RULES)
+    assert as_set(report.views(spark, out)["daily_overview"]) == as_set(metrics.daily_overview(facts))
+    assert len(list((tmp_path / "out" / "data").glob("run=*/batch=*/attempt=*"))) <= 1
