@@ -1,3 +1,5 @@
+from collections import defaultdict
+
 import samples
 
 from orderflow.llm.line_dedup import line_dedup
@@ -34,7 +36,12 @@ def brute(rows, min_words=5, near_words=10):
         first.setdefault(x[4], x)
     order = {w: i for i, w in enumerate(first)}
     long = [w for w in first if len(w) >= near_words]
-    near = {w for w in long for v in long if order[v] < order[w] and one_edit(v, w)}
+    # One word away leaves the first or the last word as it is.
+    ends = defaultdict(list)
+    for w in long:
+        ends[0, w[0]].append(w)
+        ends[1, w[-1]].append(w)
+    near = {w for w in long for v in {*ends[0, w[0]], *ends[1, w[-1]]} if order[v] < order[w] and one_edit(v, w)}
     exact_at, near_at = set(), set()
     for x in lines:
         if first[x[4]] != x:

@@ -1,9 +1,17 @@
+import hashlib
 import os
+import re
+from collections import defaultdict
 
 import compare
 import corpus_pipeline
 import pytest
 import samples
+import test_curriculum
+import test_decontamination
+import test_jaccard_join
+import test_line_dedup
+import test_quality
 
 import __spark_entry__ as contract
 from orderflow.llm import queries
@@ -39,6 +47,47 @@ def test_stages_stand_awkward_rows(spark, stage):
     assert stage(spark, docs.limit(0), SF_DIR).count() == 0
 
 
+def brute_mix(rows):
+    """(id, words of the pass, text) for each use of a document, in the order of md5 of ids within a source."""
+    by_source, out = defaultdict(list), []
+    for r in rows:
+        by_source[r[3]].append(r)
+    sizes = {source: sum(test_curriculum.size(r[1]) for r in some) for source, some in by_source.items()}
+    targets = test_curriculum.targets(sizes)
+    for source, some in by_source.items():
+        wanted, total, start = int(targets[source] + 0.5), sizes[source], 0
+        whole = wanted // total if total else 0
+        for r in sorted(some, key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest()):
+            words = re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")
+            part = max(0, min(len(words), wanted - whole * total - start))
+            out += [(r[0], len(words), r[1])] * (whole if words else 0)
+            if part:
+                out.append((r[0], part, r[1] if part == len(words) else " ".join(words[:part])))
+            start += len(words)
+    return sorted(out)
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Every stage by its brute force, over the whole smallest tables."""
+    columns = ("doc_id", "text", "lang", "source")
+    rows = [tuple(r) for r in corpus_pipeline.table(spark, SF_DIR, "documents").select(*columns).collect()]
+    items = [tuple(r) for r in corpus_pipeline.table(spark, SF_DIR, "benchmark").select("item_id", "text").collect()]
+    counts = [len(rows)]
+    rows = [r for r, kept in zip(rows, test_quality.brute_kept(rows)) if kept]
+    counts.append(len(rows))
+    texts = {r[0]: r[1] for r in test_line_dedup.brute(rows)}
+    rows = [(r[0], texts[r[0]], *r[2:]) for r in rows]
+    first = {r[0] for r in test_jaccard_join.brute(rows) if r[0] == r[2]}
+    rows = [r for r in rows if r[0] in first]
+    counts.append(len(rows))
+    dirty = {r[0] for r in test_decontamination.brute(rows, items) if r[-1]}
+    rows = [r for r in rows if r[0] not in dirty]
+    counts.append(len(rows))
+    got = corpus_pipeline.run(spark, SF_DIR).select("doc_id", "pass_words", "text").collect()
+    assert sorted(map(tuple, got)) == brute_mix(rows)
+    assert counts[0] > counts[1] >= counts[2] > counts[3] > 0
+
+
 def test_another_text_of_the_same_id_stays(spark):
     copied, other = samples.prose(1, 120), samples.prose(2, 120)
     docs = samples.documents(spark, [(1, copied, "en", "a", 0), (2, copied, "en", "a", 0), (2, other, "en", "a", 0), (None, copied, "en", "a", 0)])

@@ -66,11 +66,9 @@ def histograms(text):
     for c in rest:
         kind = 10 if ord(c) >= 0x80 else 9 if c < " " or c == "\x7f" else 1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 7
         classes[kind] += 1
-    buckets = Counter()
-    for word in re.findall(r"[^\x20\x09-\x0D]+", text):
-        at = hashing.texts(pa.array([word]))
-        starts, ends, _ = hashing.spans(at, hashing.NOT_WHITE)
-        buckets[int(hashing.span_hashes(at.data, starts, ends)[0] % np.uint64(op.BUCKETS))] += 1
+    at = hashing.texts(pa.array([" ".join(re.findall(r"[^\x20\x09-\x0D]+", text))]))
+    starts, ends, _ = hashing.spans(at, hashing.NOT_WHITE)
+    buckets = Counter((hashing.span_hashes(at.data, starts, ends) % np.uint64(op.BUCKETS)).tolist())
     return classes, buckets
 
 
@@ -87,25 +85,47 @@ def distance(p, q):
     return math.sqrt(min(1, max(0, total)))
 
 
-def test_distances_equal_brute_force(spark):
-    rows = [r for r in samples.awkward_rows() if len(r[1] or "") < 10_000]
-    rows += [(200 + k, samples.prose(k, 260) + " the of and" * (k + 1), ("en", "de", "xx", None)[k % 4], "a", 1) for k in range(12)]
-    classes, words = {}, {}
-    for r in rows:
+def brute_distances(rows):
+    """Distances of classes and common words of each row (id, text, lang) to its language, or the nearest; none without words."""
+    classes, words, own = {}, {}, [histograms(r[1]) for r in rows]
+    for r, (one, two) in zip(rows, own):
         if r[1] is not None and r[2] is not None:
-            one, two = histograms(r[1])
             classes[r[2]] = classes.get(r[2], Counter()) + one
             words[r[2]] = words.get(r[2], Counter()) + two
     common = {k: {b for b, _ in sorted(v.items(), key=lambda x: (-x[1], -x[0]))[: op.COMMON]} for k, v in words.items()}
-    binned = lambda lang, own: Counter({b: n for b, n in own.items() if b in common[lang]}) + Counter({-1: sum(n for b, n in own.items() if b not in common[lang])})
+
+    def binned(lang, counts):
+        kept = Counter({b: n for b, n in counts.items() if b in common[lang]})
+        return kept + Counter({-1: sum(n for b, n in counts.items() if b not in common[lang])})
+
+    out = []
+    for r, (one, two) in zip(rows, own):
+        langs = [x for x in sorted(classes) if r[2] in (x, None)]
+        near = [(distance(one, classes[x]), distance(binned(x, two), binned(x, words[x]))) for x in langs]
+        out.append(min(near, key=sum) if near and two else None)
+    return out
+
+
+def brute_kept(rows):
+    """The verdict of each row, with the query's limits."""
+    out = []
+    for r, far in zip(rows, brute_distances(rows)):
+        n, *_, failed = base(r[1])
+        noise = lambda bins, size: op.NOISE_SHARE * (bins - 1) / (8 * math.log(2) * size)
+        away = far is not None and (
+            far[0] ** 2 > 0.31**2 + noise(len(op.CLASSES), len(r[1])) or far[1] ** 2 > 0.4**2 + noise(op.COMMON + 1, n)
+        )
+        out.append(not failed and not (away and n >= 50))
+    return out
+
+
+def test_distances_equal_brute_force(spark):
+    rows = [r for r in samples.awkward_rows() if len(r[1] or "") < 10_000]
+    rows += [(200 + k, samples.prose(k, 260) + " the of and" * (k + 1), ("en", "de", "xx", None)[k % 4], "a", 1) for k in range(12)]
+    rows += [(300 + k, "%# $& " * 40 + samples.prose(k, 60 + 20 * k), "en", "a", 1) for k in range(4)]
     got = op.quality_rules(samples.documents(spark, rows)).collect()
-    assert any(len(v) > op.COMMON for v in words.values())
     found = sorted(((r.doc_id, round(r.class_distance, 9), round(r.word_distance, 9)) for r in got if r.n_words), key=repr)
-    want = []
-    for r in rows:
-        one, two = histograms(r[1])
-        if two:
-            near = [(distance(one, classes[lang]), distance(binned(lang, two), binned(lang, words[lang]))) for lang in sorted(classes) if r[2] in (lang, None)]
-            best = min(near, key=sum)
-            want.append((r[0], round(best[0], 9), round(best[1], 9)))
+    want = [(r[0], round(d[0], 9), round(d[1], 9)) for r, d in zip(rows, brute_distances(rows)) if d]
     assert found == sorted(want, key=repr)
+    kept = sorted(((r[0], k) for r, k in zip(rows, brute_kept(rows))), key=repr)
+    assert sorted(((r.doc_id, r.kept) for r in got), key=repr) == kept and {k for _, k in kept} == {True, False}
