@@ -23,7 +23,10 @@ REWIND = 700
 BEHIND_GROUP = "auditing"  # always one batch behind
 
 # Messages numbered in one window task; ids are unique, so no group is larger.
-NUMBERING_BLOCK = 1 << 20
+NUMBERING_BLOCK = 1 << 17
+
+# Messages of an average landed file; a file is one task where it is written and one where it is read.
+FILE_MESSAGES = 1 << 16
 
 
 def _events_as_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,40 +141,48 @@ _landed: dict[tuple, tuple[str, int]] = {}
 
 
 def land(
-    spark: SparkSession, sf_dir: str, batches: int = 4, order: str = "event_id"
+    spark: SparkSession, sf_dir: str, batches: int = 4, order: str = "event_id", per_file: int = FILE_MESSAGES
 ) -> tuple[str, int]:
     """Write the records as files for a stream; returns folder and files per batch.
 
     Files of a later batch hold later records, by ``order`` (an expression), as a broker delivers them.
-    Their number follows the input, so a batch of a large input is many files. An application lands a log once;
-    streams only read it.
+    Their number follows the messages, ``per_file`` of them on average, so a batch of a large input is many files.
+    Every batch has as many, some of them empty where it is short of messages: a stream takes files by number. An
+    application lands a log once; streams only read it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, batches, order)
+    key = (spark.sparkContext.applicationId, sf_dir, batches, order, per_file)
     if key not in _landed:
-        _landed[key] = _land(spark, sf_dir, batches, order)
+        _landed[key] = _land(spark, sf_dir, batches, order, per_file)
     return _landed[key]
 
 
-def _land(spark: SparkSession, sf_dir: str, batches: int, order: str) -> tuple[str, int]:
-    stored = _events_as_stored(spark, sf_dir)
-    files = -(-max(batches, scan_splits(stored)) // batches)
+def _land(spark: SparkSession, sf_dir: str, batches: int, order: str, per_file: int) -> tuple[str, int]:
     folder = new_folder(spark, "landed")
     place = F.expr(order)
     # The log is numbered once for all batches.
     placed = _placed_events(spark, sf_dir, NUMBERING_BLOCK).withColumn("place", place).persist()
     try:
-        first, last = placed.agg(F.min("place"), F.max("place")).first()
+        first, last, held = placed.agg(F.min("place"), F.max("place"), F.count("*")).first()
+        files = max(1, -(-held // (batches * per_file)))
         cuts = [first + (last - first) * k / batches for k in range(1, batches)] if first is not None else []
-        for low, high in zip([None, *cuts], [*cuts, None]):
+        for nth, (low, high) in enumerate(zip([None, *cuts], [*cuts, None]), 1):
             part = placed if low is None else placed.filter(F.col("place") >= F.lit(low))
             part = part if high is None else part.filter(F.col("place") < F.lit(high))
             rows = _as_messages(part.repartition(files, "event_id"), "topic", "partition", "offset")
             rows.write.mode("append").parquet(folder)
+            _fill_up(spark, folder, nth * files)
     finally:
         placed.unpersist()
     return folder, files
 
 
+def _fill_up(spark: SparkSession, folder: str, files: int) -> None:
+    """Add empty files up to a number; a task without rows has written none."""
+    written = len(spark.read.schema(S.MESSAGE_SCHEMA).parquet(folder).inputFiles())
+    for _ in range(files - written):
+        spark.createDataFrame([], S.MESSAGE_SCHEMA).write.mode("append").parquet(folder)
+
+
 def _topic() -> Column:
     failed = F.col("event_type") == "error"
     return F.when(failed, "orders_failed").otherwise("orders").alias("topic")
