@@ -3,13 +3,14 @@
 Two documents link when the Jaccard similarity of their sets of distinct word
 shingles reaches a threshold. The join is exact, up to 64-bit hashes of shingles:
 
-1. One pass over the texts gives each document its set's size, an identity of
-   the set, a bitmap of its hashed shingles, and the shingles with the smallest
-   hashes: linked sets share at least one of these.
+1. One pass over the texts counts shingles that come again in a task, another gives each document its
+   set's size, an identity of the set, a bitmap of its hashed shingles, and the first of its
+   shingles: common ones come last, the others by hash. Linked sets share at least one of these,
+   and sets that only have a common passage share none.
 2. Shingles that several sets have are found by an aggregation, and so is the most central set of each.
    Sets are tied to the central sets of their shingles; ties that a full comparison confirms make first
    groups. This is linear in the rows, also for thousands of near copies.
-3. Sets tied to one central set, in several first groups, get signature trees. A
+3. Other sets tied to one central set, in several first groups, get signature trees. A
    node holds the OR of its sets' bitmaps, their size range, and whether all are
    in one group. Two trees are descended together; a pair of nodes ends where sizes
    or bitmaps rule the overlap out or where both are one group already. Sets of
@@ -41,6 +42,8 @@ from orderflow.session import settings
 LEAF = 32
 FAN = 8
 BLOCK_SHINGLES = 8e6  # of the sets of one block
+COMMON = 1 << 17  # shingles whose counts every task knows
+COUNTED = 1 << 22  # shingles that a task counts at once
 #: Rows that go to Python at once: a pair of large sets is some hundred thousand bytes.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
 SIGNATURE = "doc_id long, doc long, set_id long, n long, bits binary, prefix array<long>"
@@ -84,7 +87,67 @@ def needed_overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def _signatures(size: int, percent: int):
+def _repeated(size: int):
+    """Shingles that several sets have among those a task counts at once, and how many; equal sets count once."""
+
+    def counts(held: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, rows = np.unique(np.concatenate(held), return_counts=True)
+        several = rows > 1
+        return pa.RecordBatch.from_arrays([pa.array(tokens[several].view(np.int64)), pa.array(rows[several], pa.int64())], names=["token", "rows"])
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], np.ndarray] = {}
+        total = 0
+        for batch in batches:
+            for part in words.pieces(batch, "text"):
+                for _, tokens in shingle_sets(part, size):
+                    if held.setdefault((len(tokens), int(tokens.sum(dtype=np.uint64))), tokens) is tokens:
+                        total += len(tokens)
+                    if total >= COUNTED:
+                        yield counts([*held.values()])
+                        held, total = {}, 0
+        if total:
+            yield counts([*held.values()])
+
+    return repeated
+
+
+def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
+    """The shingles that most sets have, rarer ones first, as hashes.
+
+    The counts are of those that tasks see more than once. They decide which shingles of a set
+    are looked at first, the same for all sets, and so no link depends on them.
+    """
+    level = F.floor(F.log2("rows") * 8)
+    counted = kept_table(
+        docs.select("text").mapInArrow(_repeated(size), "token long, rows long").groupBy("token").agg(F.sum("rows").alias("rows")), "counted"
+    )
+    least, room = None, COMMON
+    for step in sorted(counted.groupBy(level.alias("level")).count().collect(), reverse=True):
+        room -= step["count"]
+        if room < 0:
+            break
+        least = step["level"]
+    found = counted.where(level >= F.lit(least)).toArrow()
+    discard(counted)
+    tokens, rows = (found[c].to_numpy() for c in ("token", "rows"))
+    return tokens[np.lexsort((tokens, rows))].view(np.uint64)
+
+
+def first_shingles(tokens: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
+    """Of a set's sorted shingles those that it shares one of with each set it is linked with; ``common`` is sorted, too."""
+    first = len(tokens) - needed_overlap(len(tokens), percent) + 1
+    if len(common):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        known = common[at] == tokens
+        if known.any():
+            tokens = np.concatenate([tokens[~known], tokens[known][np.argsort(rank[at[known]])]])
+    return tokens[:first]
+
+
+def _signatures(size: int, percent: int, common: np.ndarray):
+    rank = np.argsort(common)
+    common = common[rank]
     schema = pa.schema(
         [("doc_id", pa.int64()), ("doc", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("prefix", pa.list_(pa.int64()))]
     )
@@ -100,7 +163,7 @@ def _signatures(size: int, percent: int):
                     sizes.append(n)
                     bits.append(bitmap(tokens) if n else b"")
                     if n and identity not in recent:
-                        prefixes.append(tokens[: n - needed_overlap(n, percent) + 1].view(np.int64))
+                        prefixes.append(first_shingles(tokens, common, rank, percent).view(np.int64))
                         recent.add(identity)
                     else:
                         prefixes.append(np.zeros(0, np.int64))
@@ -172,7 +235,7 @@ def _linked(percent: int):
 
 def full_sets_of(wanted: DataFrame, sets: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """``set_id`` and all its ``tokens`` of the sets in ``wanted``."""
-    of_docs = sets.join(wanted, "set_id", "left_semi").select("doc")
+    of_docs = small_side(kept_table(sets.join(wanted, "set_id", "left_semi").select("doc"), "docs"))
     return kept_table(
         docs.select("doc", "text")
         .join(of_docs, "doc", "left_semi")
@@ -381,7 +444,7 @@ def blocked(rows: DataFrame) -> DataFrame:
 
 
 def shared_postings(signed: DataFrame) -> DataFrame:
-    """``token``, ``set_id``, ``n`` of shingles that several sets have among their smallest, and ``rows`` of the shingle.
+    """``token``, ``set_id``, ``n`` of shingles that several sets have among their first, and ``rows`` of the shingle.
 
     A shingle of any number of sets is summed up before it is shuffled; its postings meet the one row of the sum.
     """
@@ -425,12 +488,12 @@ def tree_links(stars: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataF
     """Links (a, b) between sets of different groups that join all groups which links join.
 
     Sets that share a shingle are tied to the same central set, so there is one
-    tree for each central set and not for each shingle. A block has ``block`` sets at most, and
+    tree for each central set and not for each shingle. It lacks the central set, which
+    all its sets have been compared with. A block has ``block`` sets at most, and
     fewer where they are so large that their shingles would not fit into a task.
     """
     members = (
         stars.select(F.col("b").alias("anchor"), F.col("a").alias("set_id"), F.col("na").alias("n"))
-        .union(stars.select("b", "b", "nb").distinct())
         .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
         .select("anchor", "set_id", "n", F.coalesce("root", "set_id").alias("group"))
     )
@@ -493,7 +556,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, block: int =
     with settings(docs.sparkSession, SMALL_BATCHES):
         doc_id = F.col("doc_id").cast("long")
         docs = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc"), "text")
-        signed = kept_table(docs.mapInArrow(_signatures(size, percent), SIGNATURE), "signatures")
+        signed = kept_table(docs.mapInArrow(_signatures(size, percent, common_shingles(docs, size)), SIGNATURE), "signatures")
         stars = ties_to_central(signed)
         # All later steps are about these sets only.
         tied = small_side(kept_table(stars.select(F.col("a").alias("set_id")).union(stars.select("b")).distinct(), "tied"))

@@ -65,6 +65,44 @@ def test_equals_brute_force(spark, rows, block):
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
 
 
+def test_a_passage_that_many_texts_share_ties_none_of_them(spark, monkeypatch):
+    """Rows of a step grow with near copies, not with the texts that only have a passage in common."""
+    passage = samples.prose(99, 20)
+    rows = [(k, samples.prose(1000 + k, 60 + k % 40) + " " + passage, "en", "a", 1) for k in range(300)]
+    rows += [(1000 + k, samples.edited(rows[k][1], 40, k + 1), "en", "a", 1) for k in range(10)]
+    written, keep = Counter(), op.kept_table
+
+    def counted(frame, label):
+        kept = keep(frame, label)
+        written[label] = max(written[label], kept.count())
+        return kept
+
+    monkeypatch.setattr(op, "kept_table", counted)
+    got = op.jaccard_join(samples.documents(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+    assert sum(r["component_id"] != r["doc_id"] for r in got) == 10
+    assert 10 <= written["stars"] <= 20 and written["members"] <= 40
+
+
+@pytest.mark.parametrize("common", [0, 3, 40, 200])
+def test_first_shingles_meet_whichever_are_common(common):
+    """Linked sets share one of their first shingles by any order that all sets follow."""
+    rnd = np.random.default_rng(common)
+    base = np.unique(rnd.integers(1, 1 << 62, 200, dtype=np.uint64))
+    known = np.sort(rnd.permutation(base)[:common])
+    rank = rnd.permutation(len(known))
+    met = 0
+    for _ in range(100):
+        a, b = (np.sort(np.delete(base, rnd.permutation(200)[: int(rnd.integers(5, 60))])) for _ in range(2))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 75 * (len(a) + len(b) - both):
+            met += 1
+            first = [op.first_shingles(x, known, rank, 75) for x in (a, b)]
+            assert len(np.intersect1d(*first))
+            assert [len(x) for x in first] == [len(x) - op.needed_overlap(len(x), 75) + 1 for x in (a, b)]
+    assert met > 20
+
+
 def test_empty_table(spark):
     got = op.jaccard_join(samples.empty(spark))
     assert got.columns == ["doc_id", "n_shingles", "component_id"] and got.count() == 0
