@@ -465,19 +465,20 @@ def ties_to_central(signed: DataFrame) -> DataFrame:
     """Each set of a shared shingle (``a``, ``na``) with the shingle's most central set (``b``, ``nb``).
 
     Central is the set whose shingles are shared most often for its size: the
-    original more than its edited copies.
+    original more than its edited copies. ``several`` is true where a third set has such a shingle.
     """
     postings = shared_postings(signed)
     central = postings.groupBy("set_id", "n").agg((F.sum("rows") / F.col("n")).alias("central"))
     placed = kept_table(postings.select("token", "set_id", "n").join(central, ["set_id", "n"]), "central")
     best = F.min(F.struct((-F.col("central")).alias("central"), "set_id", "n"))
-    anchors = kept_table(placed.groupBy("token").agg(best.alias("anchor")), "anchors")
+    anchors = kept_table(placed.groupBy("token").agg(best.alias("anchor"), F.count("*").alias("sets")), "anchors")
     stars = kept_table(
         placed.select("token", "set_id", "n")
         .join(anchors, "token")
         .where("set_id != anchor.set_id")
-        .select(F.col("set_id").alias("a"), F.col("anchor.set_id").alias("b"), F.col("n").alias("na"), F.col("anchor.n").alias("nb"))
-        .distinct(),
+        .select(F.col("set_id").alias("a"), F.col("anchor.set_id").alias("b"), F.col("n").alias("na"), F.col("anchor.n").alias("nb"), "sets")
+        .groupBy("a", "b", "na", "nb")
+        .agg((F.max("sets") > 2).alias("several")),
         "stars",
     )
     discard(postings, placed, anchors)
@@ -489,11 +490,12 @@ def tree_links(stars: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataF
 
     Sets that share a shingle are tied to the same central set, so there is one
     tree for each central set and not for each shingle. It lacks the central set, which
-    all its sets have been compared with. A block has ``block`` sets at most, and
+    all its sets have been compared with, and sets that no third one shares a shingle with. A block has ``block`` sets at most, and
     fewer where they are so large that their shingles would not fit into a task.
     """
     members = (
-        stars.select(F.col("b").alias("anchor"), F.col("a").alias("set_id"), F.col("na").alias("n"))
+        stars.where("several")
+        .select(F.col("b").alias("anchor"), F.col("a").alias("set_id"), F.col("na").alias("n"))
         .join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
         .select("anchor", "set_id", "n", F.coalesce("root", "set_id").alias("group"))
     )

@@ -84,6 +84,21 @@ def test_a_passage_that_many_texts_share_ties_none_of_them(spark, monkeypatch):
     assert 10 <= written["stars"] <= 20 and written["members"] <= 40
 
 
+def test_sets_that_share_shingles_with_one_set_only_get_no_tree(spark, monkeypatch):
+    """Of a text that quotes many others, each has been compared with them, and they have nothing in common."""
+    quotes = [samples.prose(k, 20) for k in range(12)]
+    rows = [(k, samples.prose(1000 + k, 100) + " " + q, "en", "a", 1) for k, q in enumerate(quotes)]
+    rows += [(100, " ".join(quotes), "en", "a", 1), (101, samples.edited(" ".join(quotes), 60), "en", "a", 1)]
+    monkeypatch.setattr(op, "COMMON", 0)
+    written, keep = {}, op.kept_table
+    monkeypatch.setattr(op, "kept_table", lambda frame, label: written.setdefault(label, []).append(kept := keep(frame, label)) or kept)
+    got = op.jaccard_join(samples.documents(spark, rows[:-1])).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows[:-1])
+    assert written["stars"][0].count() > 6 and written["members"][0].count() == 0
+    got = op.jaccard_join(samples.documents(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
 @pytest.mark.parametrize("common", [0, 3, 40, 200])
 def test_first_shingles_meet_whichever_are_common(common):
     """Linked sets share one of their first shingles by any order that all sets follow."""
