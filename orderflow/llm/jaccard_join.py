@@ -43,7 +43,7 @@ LEAF = 32
 FAN = 8
 BLOCK_SHINGLES = 8e6  # of the sets of one block
 COMMON = 1 << 17  # shingles whose counts every task knows
-COUNTED = 1 << 22  # shingles that a task counts at once
+COUNTED = 1 << 20  # shingles that a task counts at once
 #: Rows that go to Python at once: a pair of large sets is some hundred thousand bytes.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
 SIGNATURE = "doc_id long, doc long, set_id long, n long, bits binary, prefix array<long>"
